@@ -207,13 +207,13 @@ def comments_of_posts(spark, sf_dir):
 @query("B7_user_lookup")
 def user_lookup(spark, sf_dir):
     items = ex.event_items(spark, sf_dir)
-    return gather.user_lookup(items, "17").unionByName(gather.user_lookup(items, "nobody"))
+    return gather.user_lookup(items, "8").unionByName(gather.user_lookup(items, "nobody"))
 
 
 @query("B8_user_posts")
 def user_posts(spark, sf_dir):
     now = 1_706_659_200.0
-    return gather.user_items(ex.event_items(spark, sf_dir), "17", now, 20, "new", 10).select("id", "author", "created")
+    return gather.user_items(ex.event_items(spark, sf_dir), "8", now, 20, "new", 10).select("id", "author", "created")
 
 
 @query("B8_posts_of_all_users")

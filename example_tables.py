@@ -104,7 +104,7 @@ def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("subreddit"),
         F.col("props").alias("body"),
         F.col("value").alias("score"),
-        F.unix_seconds("ts").cast("double").alias("created"),
+        F.expr("timestampdiff(second, timestamp_ntz'1970-01-01', ts)").cast("double").alias("created"),
     )
 
 

@@ -210,8 +210,8 @@ SELECT id, subreddit, draw, query, created FROM candidates WHERE rn <= requested
     "B5_term_match_by_join": f"WITH {POSTS}, {POST_TEXTS}, {TERM_MATCHES} SELECT id, term FROM matches",
     "B6_comments_of_posts": f"""WITH RECURSIVE {THREADS}, {TREE}
 SELECT t.id, t.post_id, t.depth, t.body FROM tree t JOIN tp ON tp.id = t.post_id WHERE tp.author = 'user'""",
-    "B7_user_lookup": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS username FROM events WHERE user_id = 17",
-    "B8_user_posts": f"""WITH {ITEMS}, top AS (SELECT * FROM items WHERE author = '17' ORDER BY created DESC, id LIMIT 20)
+    "B7_user_lookup": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS username FROM events WHERE user_id = 8",
+    "B8_user_posts": f"""WITH {ITEMS}, top AS (SELECT * FROM items WHERE author = '8' ORDER BY created DESC, id LIMIT 20)
 SELECT id, author, created FROM top WHERE created >= {EVENT_NOW - 10 * DAY}""",
     "B8_posts_of_all_users": f"""WITH {ITEMS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY created DESC, id) AS rn FROM items)
 SELECT id, author, created FROM ranked WHERE rn <= 5 AND created >= {EVENT_NOW - 2 * DAY}""",

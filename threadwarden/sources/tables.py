@@ -128,7 +128,7 @@ def config_attributes(config: DataFrame) -> DataFrame:
 
 def read_asset(spark: SparkSession, path: str) -> str:
     """A prompt or response schema file as one text."""
-    rows = spark.read.option("wholetext", "true").text(path).take(1)
+    rows = spark.read.text(path, wholetext=True).take(1)
     if not rows:
         raise ValueError(f"Asset file does not exist or is empty: {path}")
     return rows[0][0]

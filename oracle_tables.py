@@ -122,7 +122,7 @@ maxima AS (SELECT *, {pick("'{a}'")} AS max_attribute, {pick("{a}_max_span_begin
 
 
 def sent(source: str = "SELECT CAST(doc_id AS VARCHAR) AS post_id, text AS full_conversation FROM documents") -> str:
-    return f"\nsent AS (SELECT post_id, substr(full_conversation, 1, 19000) AS text, length(substr(full_conversation, 1, 19000)) AS n FROM ({source}))"
+    return f"\nsent AS (SELECT post_id, substr(full_conversation, 1, 19000) AS text, CAST(length(substr(full_conversation, 1, 19000)) AS INTEGER) AS n FROM ({source}))"
 
 
 ANSWERED = "n % 10 NOT IN (1, 5, 7, 9)"
@@ -145,7 +145,7 @@ def answer_columns() -> str:
 
 PROMPTS = f"""
 {sent()},
-prompts AS (SELECT post_id, n, '[Post ID: ' || post_id || '] ' || text AS prompt, length('[Post ID: ' || post_id || '] ' || text) AS pn FROM sent)"""
+prompts AS (SELECT post_id, n, '[Post ID: ' || post_id || '] ' || text AS prompt, CAST(length('[Post ID: ' || post_id || '] ' || text) AS INTEGER) AS pn FROM sent)"""
 
 
 def compact_verdict() -> str:

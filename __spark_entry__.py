@@ -9,16 +9,22 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import example_tables as ex
+import threadwarden
 from oracle_tables import ORACLES
 from threadwarden import schemas
 from threadwarden.functions import clean, scores, text
 from threadwarden.operators import assess, distributed, gather, rank, review, threads
 from threadwarden.sources import staging, tables
 
+# The scorers run in Python workers, which need not have this folder on their path.
+cloudpickle.register_pickle_by_value(threadwarden)
+cloudpickle.register_pickle_by_value(ex)
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 

@@ -99,6 +99,9 @@ def call_scorer(
     seconds between calls, so that together they keep one call per ``pace``. A 429 is
     retried ``max_retries`` times after ``backoff`` seconds; any other failure is not.
     Every failure is an element of ``errors``; nothing is lost silently.
+
+    Save the result before using it more than once: each use of the lazy result, and each
+    task that is run again, repeats its calls.
     """
     wait = pace * tasks if tasks else pace
     kept = items.columns

@@ -73,6 +73,8 @@ def running_total(
     rows are range-partitioned, each slice is summed, the few slice sums are accumulated,
     and only rows of one slice meet in a window. The slice number is frozen in a stage
     table, so a task that is run again sees the same slices. ``order`` must be total.
+    ``df`` is evaluated twice, to sample the ranges and to write the slices: pass narrow
+    rows of a stored table.
 
     ``totals`` names group aggregates taken along with the slice sums, each as an
     aggregate that can be applied again to its own results (sum, min, max) and a column.
@@ -104,7 +106,7 @@ def running_total(
     return (
         sliced.join(before, [*within, "_slice"])
         .withColumn(into, F.col("_before") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .drop("_slice", "_value", "_before")
+        .select(*df.columns, into, *totals)
     )
 
 

@@ -23,7 +23,7 @@ from threadwarden.functions.clean import (
     require_columns,
 )
 from threadwarden.operators.distributed import HOT_ROWS, keep_first, running_total, skew_join
-from threadwarden.sources.staging import stage_measured
+from threadwarden.sources.staging import stage, stage_measured
 
 POST_COLUMNS = ("id", "title", "selftext", "author")
 COMMENT_COLUMNS = ("id", "body", "parent_id", "author")
@@ -98,9 +98,9 @@ def _sort_text(order: Sequence[str], df: DataFrame) -> Column:
             parts.append(F.concat(F.coalesce(F.col(name), F.lit("")), F.lit("\u0001")))
         else:
             # epoch seconds keep microseconds; flipping the sign bit makes negatives sort first
-            number = F.col(name).cast("decimal(38,6)") * 1_000_000 if kind in ("double", "float") else F.col(name)
+            number = F.col(name).try_cast("decimal(32,6)") * 1_000_000 if kind in ("double", "float") else F.col(name)
             flipped = number.cast("long").bitwiseXOR(F.lit(-(1 << 63)))
-            parts.append(F.lpad(F.hex(F.coalesce(flipped, F.lit((1 << 63) - 1))), 16, "0"))
+            parts.append(F.lpad(F.hex(F.coalesce(flipped, F.lit(-1).cast("long"))), 16, "0"))
     return F.concat(*parts)
 
 
@@ -209,8 +209,10 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
     header = post_header(F.col("id"), F.col("title"), F.col("selftext"), F.col("author"))
     ranked = _order_columns(posts, order)
     rank = F.struct(_sort_text(ranked, posts) if ranked else F.lit(""), _content(posts))
-    headers = filled.groupBy("id").agg(
-        F.min_by(F.length(header), rank).alias("chars"), F.count(F.lit(1)).alias("copies")
+    # staged, so that sampling the ranges of the running total does not read all posts again
+    headers = stage(
+        filled.groupBy("id").agg(F.min_by(F.length(header), rank).alias("chars"), F.count(F.lit(1)).alias("copies")),
+        "headers",
     )
     lines = headers.select(
         F.col("id").alias("post_id"),

@@ -31,7 +31,8 @@ def read_csv(
     """CSV table with lower-cased header; empty and null-like cells become null.
 
     Cells are read as text and cast, so that a null-like cell of a number column is null
-    rather than an error. Ids stay text.
+    rather than an error. Ids stay text. Since cells may hold line breaks, each file is
+    read by one task: deliver large tables as many files.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = lower_header(spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path))

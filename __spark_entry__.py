@@ -486,11 +486,13 @@ def duplicates_repeated(spark, sf_dir):
 
 
 def _calls(spark, sf_dir):
-    return assess.score_conversations(ex.document_conversations(spark, sf_dir), ex.stand_in_toxicity, backoff=0.0)
+    options = {"tasks": spark.sparkContext.defaultParallelism, "backoff": 0.0}
+    return assess.score_conversations(ex.document_conversations(spark, sf_dir), ex.stand_in_toxicity, **options)
 
 
 def _judged(spark, sf_dir):
-    return assess.judge_conversations(ex.document_conversations(spark, sf_dir), ex.stand_in_judge, backoff=0.0)
+    options = {"tasks": spark.sparkContext.defaultParallelism, "backoff": 0.0}
+    return assess.judge_conversations(ex.document_conversations(spark, sf_dir), ex.stand_in_judge, **options)
 
 
 @query("E1_E9_toxicity_scores")

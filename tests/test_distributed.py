@@ -12,12 +12,13 @@ from threadwarden.operators.distributed import keep_first, ranked_top_n, row_pos
 @pytest.fixture(scope="module")
 def rows(spark):
     rng = random.Random(3)
-    data = [(i, "hot" if rng.random() < 0.4 else f"k{rng.randrange(60)}", rng.randrange(100)) for i in range(3000)]
+    keys = ["hot", None] + [f"k{i}" for i in range(60)]
+    data = [(i, rng.choices(keys, [40, 15] + [1] * 60)[0], rng.randrange(100)) for i in range(3000)]
     return spark.createDataFrame(data, "id bigint, key string, v bigint").repartition(8)
 
 
 def collected(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_running_total_within_groups(rows):
@@ -35,6 +36,11 @@ def test_position_over_the_whole_table_falls_with_the_order(rows):
     assert [(r.v, r.id) for r in got] == sorted(((r.v, r.id) for r in got), key=lambda p: (-p[0], p[1]))
 
 
+def test_null_groups_can_be_dropped(rows):
+    got = running_total(rows, ["id"], F.lit(1), "before", ["key"], null_groups=False)
+    assert got.count() == rows.filter("key is not null").count()
+
+
 def test_running_total_of_nothing(spark):
     empty = spark.createDataFrame([], "id bigint, v bigint")
     assert running_total(empty, ["id"], F.col("v"), "before").collect() == []
@@ -42,7 +48,7 @@ def test_running_total_of_nothing(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_join(spark, rows, how):
-    side = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("zz", 5)], "key string, w int")
+    side = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("zz", 5), (None, 6)], "key string, w int")
     plain = rows.join(side, ["key"], how)
     got = skew_join(rows, side, ["key"], how, hot_rows=100, salts=7)
     assert got.columns == plain.columns

@@ -1,36 +1,82 @@
 """The whole chain, its incremental form and the driver contract."""
 
 import os
+import sys
+
+import pytest
+from pyspark import cloudpickle
 
 import example_tables as ex
 import __spark_entry__ as contract
-from threadwarden.operators import assess, rank, threads
-from threadwarden.plans.screening import screen
+from threadwarden.operators import assess, rank
+from threadwarden.plans.screening import Screening
 from threadwarden.streaming.assessing import assess_stream
 
+# workers cannot import test modules
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SF = "/root/testdata/sf0.001"
 
 
-def test_screening_run_is_saved_and_reused(spark, folder):
+def never():
+    raise AssertionError("saved calls must be reused")
+
+
+def test_screening_run_is_saved_and_goes_on(spark, folder):
     posts, comments = ex.thread_posts(spark, SF), ex.thread_comments(spark, SF)
-    run = screen(posts, comments, ex.stand_in_toxicity, ex.stand_in_judge, folder, top_k=5, backoff=0.0)
-    ranked = run.ranked.collect()
-    assert len(ranked) == 5
+    run = Screening(spark, folder, ex.stand_in_toxicity, ex.stand_in_judge, backoff=0.0)
+    run.run(posts=posts, comments=comments)
+    conversations = {r.post_id: r.full_conversation for r in run.table("conversations").collect()}
+    assert set(conversations) == {r.id for r in posts.collect()}
+    ranked = run.rank().collect()
+    assert all(conversations[r.post_id] == r.full_conversation for r in ranked)
     assert [r.max_score for r in ranked] == sorted((r.max_score for r in ranked), reverse=True)
-    conversations = {r.post_id: r.full_conversation for r in threads.compose(posts, comments).collect()}
-    assert all(conversations[r.post_id][:19000] == r.full_conversation for r in ranked)
-    # every conversation is a score or an error
-    failed = {r.post_id for r in run.score_errors.collect()}
-    scored = {r.post_id for r in run.scores.collect()}
-    assert failed | scored == set(conversations)
-    assert run.totals.first().total_requests == 5
-    assert {r.post_id for r in run.verdicts.collect()} <= {r.post_id for r in ranked}
-
-    def never():
-        raise AssertionError("saved calls must be reused")
-
-    again = screen(posts, comments, never, never, folder, top_k=5)
-    assert again.ranked.collect() == ranked
+    # every conversation ends as a score or as an error
+    failed = {r.post_id for r in run.errors().filter("stage = 'score'").collect()}
+    scored = {r.post_id for r in run.table("scores").collect()}
+    assert failed | scored == set(conversations) and len(scored) == len(ranked)
+    verdicts = run.table("verdicts")
+    assert verdicts.count() > 0 and {r.post_id for r in verdicts.collect()} <= scored
+    assert run.totals().first().total_requests == len(ranked)
+
+    again = Screening(spark, folder, never, never)
+    again.run()
+    assert again.table("verdicts").count() == verdicts.count()
+    assert [r.post_id for r in again.rank(["THREAT", "insult"], k=2).collect()] == [
+        r.post_id for r in ranked if r.max_attribute in ("threat", "insult")
+    ][:2]
+    with pytest.raises(ValueError, match="Unknown stages"):
+        again.run(["polish"])
+
+
+def test_start_row_skips_the_first_conversations(spark, folder):
+    run = Screening(spark, folder, ex.stand_in_toxicity, backoff=0.0)
+    run.process(ex.thread_posts(spark, SF), ex.thread_comments(spark, SF))
+    run.score(start_row=15)
+    assert run.table("toxicity_calls").count() == 5
+    run.score()
+    assert run.table("toxicity_calls").count() == 20
+    before = run.table("scores").count()
+    run.score(retry_failed=True)
+    assert run.table("scores").count() == before and run.table("toxicity_calls").count() > 20
+
+
+def test_gathered_screening(spark, folder):
+    posts = spark.createDataFrame(
+        [(f"p{i}", "s1", f"red {i}", "text", "u", float(i)) for i in range(6)],
+        "id string, subreddit string, title string, selftext string, author string, created double",
+    )
+    comments = spark.createDataFrame(
+        [(f"c{i}", f"t3_p{i}", "body", "v", "s1", "", float(i)) for i in range(6)] + [("d", "t1_c5", "deep", "w", "s1", "", 9.0)],
+        "id string, parent_id string, body string, author string, subreddit string, query string, created double",
+    )
+    config = spark.createDataFrame([(["s1", "s2"], ["red"])], "subreddits array<string>, search_terms array<string>")
+    run = Screening(spark, folder)
+    progress = {r.subreddit: tuple(r)[1:] for r in run.gather(posts, comments, config, now=100.0, num_posts=2).collect()}
+    assert progress == {"s1": (2, 2, 3), "s2": (2, 0, 0)}
+    assert sorted((r.id, r.query) for r in run.table("comments").collect()) == [("c4", "red"), ("c5", "red"), ("d", "red")]
+    got = {r.post_id: r.full_conversation for r in run.process().collect()}
+    assert set(got) == {"p4", "p5"} and "parent comment: c5" in got["p5"]
 
 
 def test_stream_assesses_each_conversation_once(spark, folder):

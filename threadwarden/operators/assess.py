@@ -20,6 +20,7 @@ from threadwarden import schemas
 from threadwarden.functions.scores import best_span
 from threadwarden.functions.text import CONTEXT_LIMIT, prompt, stable_id, token_estimate, truncated
 from threadwarden.operators.distributed import row_position, skew_join
+from threadwarden.sources.staging import table_exists
 
 # Seconds between calls, seconds before the one retry after a 429, rows per
 # batch, and the sheet name stamped on conversation results.
@@ -41,7 +42,7 @@ class ScorerError(Exception):
         self.reason = reason
 
 
-# A factory runs once per task and returns the call: text in, response JSON (or None) out.
+# A factory runs once per task that has rows and returns the call: text in, response JSON (or None) out.
 ScorerFactory = Callable[[], Callable[[str], str | None]]
 
 
@@ -110,8 +111,9 @@ def call_scorer(
     schema = T.StructType(items.schema.fields + outcome.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = factory()
+        call = None
         for batch in batches:
+            call = call or factory()
             answers = [_attempt(call, value, wait, max_retries, backoff) for value in batch[send]]
             out = batch[kept].copy()
             for field in outcome.names:
@@ -359,3 +361,24 @@ def judge_conversations(
 ) -> DataFrame:
     """Verdict calls of a conversations table: feed to parse_verdicts, error_rows, run_totals."""
     return call_scorer(prepare_prompts(conversations, context_size=context_size), factory, send="prompt", **call_options)
+
+
+def continue_calls(
+    items: DataFrame,
+    path: str,
+    factory: ScorerFactory,
+    send: str = "text",
+    retry_failed: bool = False,
+    **call_options,
+) -> DataFrame:
+    """Call the scorer for the items not yet in the calls table at ``path``, and append them.
+
+    A run that stopped goes on where it ended. With ``retry_failed`` items that so far
+    have only errors are sent again.
+    """
+    spark = items.sparkSession
+    if table_exists(spark, path):
+        done = spark.read.parquet(path)
+        items = not_yet_done(items, done.filter(F.col("response_json").isNotNull()) if retry_failed else done)
+    call_scorer(items, factory, send, **call_options).write.mode("append").parquet(path)
+    return spark.read.parquet(path)

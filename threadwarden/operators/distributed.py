@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,7 +52,9 @@ def skew_join(
     keys = list(on)
     hot = F.broadcast(hot_keys(left, keys, hot_rows).withColumn("_hot", F.lit(True)))
     hashed = [f.name for f in left.schema if not isinstance(f.dataType, T.MapType)]
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashed), F.lit(salts))).otherwise(F.lit(0).cast("long"))
+    # rows with a null key match nothing, so they may lie anywhere
+    scattered = reduce(or_, [F.col(k).isNull() for k in keys], F.coalesce(F.col("_hot"), F.lit(False)))
+    spread = F.when(scattered, F.pmod(F.xxhash64(*hashed), F.lit(salts))).otherwise(F.lit(0).cast("long"))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(
         F.array(F.lit(0).cast("long"))
     )
@@ -66,6 +70,7 @@ def running_total(
     into: str,
     within: Sequence[str] = (),
     totals: dict[str, tuple[Callable, str]] | None = None,
+    null_groups: bool = True,
 ) -> DataFrame:
     """Sum of ``value`` over the rows before each row, as column ``into``.
 
@@ -78,6 +83,7 @@ def running_total(
 
     ``totals`` names group aggregates taken along with the slice sums, each as an
     aggregate that can be applied again to its own results (sum, min, max) and a column.
+    ``null_groups=False`` drops rows whose group is null, which saves one shuffle.
     """
     totals = totals or {}
     group = [F.col(c) for c in within]
@@ -101,11 +107,16 @@ def running_total(
     )
     if not within:
         # one row per partition of the table
-        before = F.broadcast(before)
+        joined = sliced.join(F.broadcast(before), "_slice")
+    elif null_groups:
+        named = before.withColumnsRenamed({c: f"_of_{c}" for c in [*within, "_slice"]})
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*within, "_slice"]]
+        joined = sliced.join(named, same)
+    else:
+        joined = sliced.join(before, [*within, "_slice"])
     inside = Window.partitionBy(*group, "_slice").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.join(before, [*within, "_slice"])
-        .withColumn(into, F.col("_before") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        joined.withColumn(into, F.col("_before") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
         .select(*df.columns, into, *totals)
     )
 

@@ -21,8 +21,8 @@ SORT_COLUMNS = {"new": "created", "top": "score"}
 
 # Terms up to this number are matched inside each row; more are matched by a join.
 MAX_INLINE_TERMS = 2_000
-# Chosen (id, draw, query) rows are broadcast to fetch their posts up to this number, which
-# the requested totals bound; more are joined by shuffle.
+# Draws, and the (id, draw, query) rows chosen by them, are broadcast up to this number, which
+# is counted first (the requested totals bound the chosen rows); more are joined by shuffle.
 MAX_BROADCAST_HITS = 200_000
 
 
@@ -157,11 +157,15 @@ def gather(
     draw applies before recency, as for a single search. A post found by two draws appears
     twice. Only ids and sort keys are ranked; texts are fetched for the chosen posts.
     """
-    asked = draws.agg(F.max("requested").alias("most"), F.sum("requested").alias("total")).first()
+    asked = draws.agg(
+        F.max("requested").alias("most"), F.sum("requested").alias("total"), F.count(F.lit(1)).alias("n_draws")
+    ).first()
     order = list(order or sort_order("new", SEARCH_SORTS))
     terms = draws.select(F.col("query").alias("term"))
     text = post_text(F.col("title"), F.col("selftext"))
     matches = term_matches(posts, text, terms, ["id", "subreddit", "created"])
+    if asked.n_draws <= MAX_BROADCAST_HITS:
+        draws = F.broadcast(draws)
     candidates = matches.withColumnRenamed("term", "query").join(draws, ["subreddit", "query"])
     chosen = (
         ranked_top_n(candidates, ["subreddit", "draw"], order, asked.most or 0, "_rank")

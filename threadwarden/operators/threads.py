@@ -242,6 +242,7 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
         "offset",
         within=["post_id"],
         totals={"n_comments": (F.sum, "is_comment"), "copies": (F.sum, "post_rows")},
+        null_groups=False,
     )
     return placed.filter(F.col("copies") > 0).drop("post_rows", "is_comment", "chars")
 

@@ -85,6 +85,17 @@ def test_retries_and_errors(spark):
     assert results.filter(F.col("response_json").isNull() & (F.size("errors") == 0)).count() == 0
 
 
+def test_calls_are_saved_in_batches_and_go_on(spark, folder):
+    items = assess.prepare(spark.createDataFrame([(f"t{i}", f"t{i}") for i in range(20)] + [("jam", "jam")], "post_id string, full_conversation string"))
+    path = f"{folder}/calls"
+    first = assess.continue_calls(items.filter("post_id < 't15'"), path, scripted, batches=3, backoff=0.0)
+    n = first.count()
+    assert 0 < n < 21
+    rest = assess.continue_calls(items, path, scripted, batches=3, backoff=0.0)
+    assert rest.count() == 21 and rest.select("post_id").distinct().count() == 21
+    assert assess.continue_calls(items, path, scripted, retry_failed=True, backoff=0.0).count() == 22
+
+
 def test_pace_is_kept_across_tasks(spark):
     items = assess.prepare(spark.createDataFrame([(str(i), f"t{i}") for i in range(8)], "post_id string, full_conversation string"))
     start = time.time()

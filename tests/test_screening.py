@@ -36,12 +36,13 @@ def test_screening_run_is_saved_and_goes_on(spark, folder):
     scored = {r.post_id for r in run.table("scores").collect()}
     assert failed | scored == set(conversations) and len(scored) == len(ranked)
     verdicts = run.table("verdicts")
-    assert verdicts.count() > 0 and {r.post_id for r in verdicts.collect()} <= scored
+    n_verdicts = verdicts.count()
+    assert n_verdicts > 0 and {r.post_id for r in verdicts.collect()} <= scored
     assert run.totals().first().total_requests == len(ranked)
 
     again = Screening(spark, folder, never, never)
     again.run()
-    assert again.table("verdicts").count() == verdicts.count()
+    assert again.table("verdicts").count() == n_verdicts
     assert [r.post_id for r in again.rank(["THREAT", "insult"], k=2).collect()] == [
         r.post_id for r in ranked if r.max_attribute in ("threat", "insult")
     ][:2]

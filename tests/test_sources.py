@@ -82,5 +82,6 @@ def test_stage_tables(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         assert staging.stage_root(spark).startswith(base)
-    _, seen = staging.stage_measured(spark.range(10), "y", most=F.max("id"))
+    path, seen = staging.write_stage(spark.range(10), "y", most=F.max("id"))
     assert seen["most"] == 9
+    assert staging.read_stages(spark.range(1), path, path).count() == 20

@@ -20,7 +20,7 @@ from threadwarden import schemas
 from threadwarden.functions.scores import best_span
 from threadwarden.functions.text import CONTEXT_LIMIT, prompt, stable_id, token_estimate, truncated
 from threadwarden.operators.distributed import row_position, skew_join
-from threadwarden.sources.staging import table_exists
+from threadwarden.sources.staging import stage, table_exists
 
 # Seconds between calls, seconds before the one retry after a 429, rows per
 # batch, and the sheet name stamped on conversation results.
@@ -369,16 +369,22 @@ def continue_calls(
     factory: ScorerFactory,
     send: str = "text",
     retry_failed: bool = False,
+    batches: int = 1,
     **call_options,
 ) -> DataFrame:
     """Call the scorer for the items not yet in the calls table at ``path``, and append them.
 
-    A run that stopped goes on where it ended. With ``retry_failed`` items that so far
+    A run that stopped goes on where it ended; answers are saved after each of ``batches``
+    jobs, so a long, paced run should have many. With ``retry_failed`` items that so far
     have only errors are sent again.
     """
     spark = items.sparkSession
     if table_exists(spark, path):
         done = spark.read.parquet(path)
         items = not_yet_done(items, done.filter(F.col("response_json").isNotNull()) if retry_failed else done)
-    call_scorer(items, factory, send, **call_options).write.mode("append").parquet(path)
+        # what is open now is fixed before the first batch changes the table
+        items = stage(items, "open_items") if batches > 1 else items
+    for number in range(batches):
+        batch = items.filter(F.pmod(F.xxhash64("post_id"), F.lit(batches)) == number) if batches > 1 else items
+        call_scorer(batch, factory, send, **call_options).write.mode("append").parquet(path)
     return spark.read.parquet(path)

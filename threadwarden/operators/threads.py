@@ -23,7 +23,7 @@ from threadwarden.functions.clean import (
     require_columns,
 )
 from threadwarden.operators.distributed import HOT_ROWS, keep_first, running_total, skew_join
-from threadwarden.sources.staging import stage, stage_measured
+from threadwarden.sources.staging import read_stages, stage, write_stage
 
 POST_COLUMNS = ("id", "title", "selftext", "author")
 COMMENT_COLUMNS = ("id", "body", "parent_id", "author")
@@ -139,63 +139,59 @@ def link_comments(
     if duplicates == "repeat":
         # tells identical copies apart; frozen by the stage table
         own.insert(1, F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
-    open_rows = F.count("ancestor")
-    nodes, seen = stage_measured(
-        narrow.filter(kind.isNotNull()).select(
-            "id",
-            F.when(kind == "comment", key).alias("ancestor"),
-            F.when(kind == "post", key).alias("post_id"),
-            F.when(kind == "comment", key).alias("parent_comment_id"),
-            F.when(kind == "comment", 1).otherwise(0).alias("depth"),
-            F.concat(*own).alias("path"),
-            "author_chars",
-            "body_chars",
-        ),
-        "links",
-        waiting=open_rows,
+    nodes = narrow.filter(kind.isNotNull()).select(
+        "id",
+        F.when(kind == "comment", key).alias("ancestor"),
+        F.when(kind == "post", key).alias("post_id"),
+        F.when(kind == "comment", key).alias("parent_comment_id"),
+        F.when(kind == "comment", 1).otherwise(0).alias("depth"),
+        F.concat(*own).alias("path"),
+        "author_chars",
+        "body_chars",
     )
-    unfinished = nodes.filter(F.col("ancestor").isNotNull())
-    linked = nodes.filter(F.col("post_id").isNotNull())
-    waiting = seen["waiting"]
-    reach = 1
+    open_rows = F.count("ancestor")
+    path, seen = write_stage(nodes, "links", waiting=open_rows)
+    paths, waiting, reach = [path], seen["waiting"], 1
     while waiting:
         if duplicates == "repeat" and reach > max_depth:
             raise ValueError(f"Reply chain longer than {max_depth}: cycle among copied comments")
-        known = linked.unionByName(unfinished).select(
+        # a row is written as linked once, and as unfinished in every table up to that one
+        unfinished = read_stages(nodes, paths[-1]).filter(F.col("ancestor").isNotNull())
+        known = _linked(nodes, paths).unionByName(unfinished).select(
             F.col("id").alias("ancestor"),
             F.col("ancestor").alias("next_ancestor"),
             F.col("post_id").alias("known_post"),
             F.col("depth").alias("steps"),
             F.col("path").alias("upper_path"),
         )
-        narrow_open = unfinished.drop("post_id")
+        unfinished = unfinished.drop("post_id")
         joined = (
-            skew_join(narrow_open, known, ["ancestor"], "inner", hot_rows)
+            skew_join(unfinished, known, ["ancestor"], "inner", hot_rows)
             if waiting > hot_rows
-            else narrow_open.join(known, "ancestor")
+            else unfinished.join(known, "ancestor")
         )
-        step, seen = stage_measured(
-            joined.select(
-                "id",
-                F.col("next_ancestor").alias("ancestor"),
-                F.col("known_post").alias("post_id"),
-                "parent_comment_id",
-                (F.col("depth") + F.col("steps")).alias("depth"),
-                F.concat("upper_path", "path").alias("path"),
-                "author_chars",
-                "body_chars",
-            ),
-            "links",
-            waiting=open_rows,
+        step = joined.select(
+            "id",
+            F.col("next_ancestor").alias("ancestor"),
+            F.col("known_post").alias("post_id"),
+            "parent_comment_id",
+            (F.col("depth") + F.col("steps")).alias("depth"),
+            F.concat("upper_path", "path").alias("path"),
+            "author_chars",
+            "body_chars",
         )
-        linked = linked.unionByName(step.filter(F.col("post_id").isNotNull()))
-        unfinished = step.filter(F.col("ancestor").isNotNull())
+        path, seen = write_stage(step, "links", waiting=open_rows)
+        paths.append(path)
         if seen["waiting"] == waiting and duplicates != "repeat":
             # nothing finished and nothing lost its ancestor: the rest hangs on a cycle
             break
         waiting = seen["waiting"]
         reach *= 2
-    return linked.drop("ancestor")
+    return _linked(nodes, paths).drop("ancestor")
+
+
+def _linked(nodes: DataFrame, paths: Sequence[str]) -> DataFrame:
+    return read_stages(nodes, *paths).filter(F.col("post_id").isNotNull())
 
 
 def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None = None) -> DataFrame:

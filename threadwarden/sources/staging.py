@@ -33,19 +33,26 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
-    spark = df.sparkSession
-    path = new_stage_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def write_stage(df: DataFrame, name: str, **measures: Column) -> tuple[str, dict]:
+    """Write ``df`` once; returns the path and the measures, aggregates taken while writing."""
+    path = new_stage_path(df.sparkSession, name)
+    if not measures:
+        df.write.parquet(path)
+        return path, {}
+    seen = Observation()
+    df.observe(seen, *[m.alias(k) for k, m in measures.items()]).write.parquet(path)
+    return path, seen.get
 
 
-def stage_measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
-    """As ``stage``, with aggregates over the rows taken while they are written."""
-    seen = Observation()
-    written = stage(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name)
-    return written, seen.get
+def read_stages(like: DataFrame, *paths: str) -> DataFrame:
+    """Written tables of the same columns as one."""
+    return like.sparkSession.read.schema(like.schema).parquet(*paths)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and return the written table."""
+    path, _ = write_stage(df, name)
+    return read_stages(df, path)
 
 
 def drop_stages(spark: SparkSession) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadwarden.functions.clean import recent
 from threadwarden.functions.text import matched_terms, post_text, term_tokens, tokens
-from threadwarden.operators.distributed import ranked_top_n, skew_join, top_n_per_group
+from threadwarden.operators.distributed import SALTS, ranked_top_n, skew_join, top_n_per_group
 
 # Posts asked for per draw, and the sort names each listing accepts.
 POSTS_PER_DRAW = 40
@@ -69,7 +69,12 @@ def term_matches(df: DataFrame, text: Column, terms: DataFrame, keys: Sequence[s
 
 
 def term_matches_by_join(df: DataFrame, text: Column, terms: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """``term_matches`` for term lists of any length: all words of a term must be met."""
+    """``term_matches`` for term lists of any length: all words of a term must be met.
+
+    Common words are hot keys of the text side, which is much the larger one. So that it is
+    read only once, hot words are not counted first: every text has a salt, and the words
+    of the terms are copied to each salt.
+    """
     words = F.array_distinct(F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != ""))
     wanted = (
         terms.select("term")
@@ -77,9 +82,11 @@ def term_matches_by_join(df: DataFrame, text: Column, terms: DataFrame, keys: Se
         .select("term", words.alias("words"))
         .select("term", F.size("words").alias("n_words"), F.explode("words").alias("word"))
     )
-    occurring = df.select(*keys, F.explode(F.array_distinct(tokens(text))).alias("word"))
+    salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("salt")
+    occurring = df.select(*keys, salt, F.explode(F.array_distinct(tokens(text))).alias("word"))
+    copied = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return (
-        skew_join(occurring, wanted, ["word"])
+        occurring.join(copied, ["word", "salt"])
         .groupBy(*keys, "term")
         .agg(F.count(F.lit(1)).alias("n_met"), F.first("n_words").alias("n_words"))
         .filter(F.col("n_met") == F.col("n_words"))

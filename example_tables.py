@@ -178,10 +178,14 @@ def stand_in_toxicity():
 
 
 def stand_in_judge():
-    """A language model whose verdicts follow from the prompt length alone."""
+    """A language model whose verdicts follow from the prompt's length and post id.
+
+    The first verdict names the post's own comment, later ones name any.
+    """
 
     def judge(prompt: str) -> str | None:
         n = len(prompt)
+        post_id = prompt.removeprefix("[Post ID: ").partition("]")[0]
         if n % 7 == 0:
             return "[]"
         if n % 7 == 1:
@@ -192,7 +196,7 @@ def stand_in_judge():
             {
                 "user_id": f"u{n % 5}" if i else "[deleted]",
                 "post_id": "made up",
-                "comment_id": f"c{n % 11 + i}",
+                "comment_id": f"c{n % 11 + i}" if i else f"c{post_id}",
                 "is_flagged": (n + i) % 3 == 0,
                 "reasoning": f"length {n}",
                 "suggested_prompt_modifications": "" if i else f"hint {n % 4}",

@@ -160,7 +160,7 @@ def compact_verdict() -> str:
 VERDICTS = f"""
 {PROMPTS},
 raw AS (SELECT post_id, n, pn, i, CASE WHEN i = 0 THEN '[deleted]' ELSE 'u' || (pn % 5) END AS user_id,
-               'c' || (pn % 11 + i) AS comment_id, (pn + i) % 3 = 0 AS is_flagged, 'length ' || pn AS reasoning,
+               CASE WHEN i = 0 THEN 'c' || post_id ELSE 'c' || (pn % 11 + i) END AS comment_id, (pn + i) % 3 = 0 AS is_flagged, 'length ' || pn AS reasoning,
                CASE WHEN i = 0 THEN 'hint ' || (pn % 4) ELSE '' END AS suggested_prompt_modifications
         FROM (SELECT *, unnest(range(0, pn % 7 - 2)) AS i FROM prompts WHERE pn % 7 > 2)),
 response AS (SELECT post_id, length('[' || string_agg({compact_verdict()}, ', ' ORDER BY i) || ']') AS rn FROM raw GROUP BY post_id),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import os
 import sys
@@ -42,12 +43,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return ranked_threads(spark, "/root/testdata/sf0.001")
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the llm subpackage; none if it has been taken out."""
+    if importlib.util.find_spec("threadwarden.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return {}, {}
+    import corpus_pipeline
+    from threadwarden.llm import queries as llm
+
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLES, **pipeline_sql}
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **_llm()[1]}
 
 
 # ---- A: scans, sources, sinks ----

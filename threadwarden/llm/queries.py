@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadwarden.llm import exact_dedup, mixing, topk_search, url_filter
+from threadwarden.llm import exact_dedup, minhash, mixing, topk_search, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,23 @@ def topk_search_query(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").filter(topk_search.usable(F.col("embedding")))
     vectors = vectors.select("vec_id", topk_search.quantised(F.col("embedding")).alias("vector"))
     return topk_search.exact_top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query(
+    "op9_minhash",
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _LOWERED)} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s AS a JOIN s AS b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS node, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON r.node = e.a WHERE r.c < e.b),
+    m AS (SELECT node AS doc_id, min(c) AS component_id FROM r GROUP BY node)
+    SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
+)
+def minhash_query(spark, sf_dir):
+    """Two-word shingles, as the query fixes; the operator's own default is five."""
+    return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.Scheme(words=2))

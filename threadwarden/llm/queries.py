@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadwarden.llm import exact_dedup, minhash, mixing, topk_search, url_filter
+from threadwarden.llm import exact_dedup, minhash, mixing, token_blocks, topk_search, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,3 +138,8 @@ def topk_search_query(spark, sf_dir):
 def minhash_query(spark, sf_dir):
     """Two-word shingles, as the query fixes; the operator's own default is five."""
     return minhash.near_groups(table(spark, sf_dir, "documents"), minhash.Scheme(words=2))
+
+
+@query("op10_token_blocks")
+def token_blocks_query(spark, sf_dir):
+    return token_blocks.tokenise(table(spark, sf_dir, "documents"), token_blocks.default_tokenizer())

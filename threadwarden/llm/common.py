@@ -134,3 +134,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def slices_by_bytes(texts: list[bytes], limit: int = 1 << 22) -> Iterator[slice]:
+    """Slices of consecutive texts that hold about ``limit`` bytes, at least one text each."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text) > limit:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadwarden.llm import exact_dedup, minhash, mixing, token_blocks, topk_search, url_filter
+from threadwarden.llm import (
+    exact_dedup,
+    language_id,
+    minhash,
+    mixing,
+    sentencepiece_viterbi,
+    token_blocks,
+    topk_search,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +152,18 @@ def minhash_query(spark, sf_dir):
 @query("op10_token_blocks")
 def token_blocks_query(spark, sf_dir):
     return token_blocks.tokenise(table(spark, sf_dir, "documents"), token_blocks.default_tokenizer())
+
+
+@query("op2_language_id")
+def language_id_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.fold(F.col("doc_id"), 4) == 2
+    found = language_id.identify(docs, language_id.learn_profiles(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_sentencepiece")
+def sentencepiece_query(spark, sf_dir):
+    """Every document encoded and decoded; ids as their number and checksum."""
+    docs = table(spark, sf_dir, "documents")
+    return sentencepiece_viterbi.digests(sentencepiece_viterbi.encode_documents(docs, sentencepiece_viterbi.default_model()))

@@ -173,7 +173,8 @@ def screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
 def differing_bytes(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Digests of ``pairs`` (digest, doc_id) whose texts are not identical in every byte."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(pairs, "doc_id").select("digest", text.alias("text"))
+    # positives grow with the snapshot: never broadcast them, whatever their size here
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(pairs.hint("merge"), "doc_id").select("digest", text.alias("text"))
     # a doc_id may stand before other texts too
     own = texts.filter(F.unhex(F.sha2("text", 256)) == F.col("digest"))
     checked = own.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most"))
@@ -229,7 +230,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     if shape["nameless"] == 0 and shape["most"] == 1 and ids.filter("n > 1").isEmpty():
         # ids name rows: the dropped ids are all it takes
         gone = found.filter("not kept").select(F.col("doc_id").alias("_gone"))
-        return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+        return docs.join(gone.hint("merge"), F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
     kept = found.filter("kept").select(F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest")).distinct()
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_digest"))

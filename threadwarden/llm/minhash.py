@@ -77,8 +77,8 @@ class Scheme:
         seeds = mix64(np.arange(1, 2 * self.slots + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         return (seeds[: self.slots] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[self.slots :] >> np.uint64(32)).astype(np.uint32)
 
-    def signatures(self, sets: list[np.ndarray]) -> np.ndarray:
-        """One row of 16-bit slots per non-empty set."""
+    def least_hashes(self, sets: list[np.ndarray]) -> np.ndarray:
+        """For every non-empty set, the least of its hashes under each function."""
         out = np.empty((len(sets), self.slots), np.uint32)
         factors, offsets = self.coefficients()
         at = 0
@@ -94,7 +94,11 @@ class Scheme:
             for s in range(self.slots):
                 out[at:to, s] = np.minimum.reduceat(flat * factors[s] + offsets[s], starts)
             at = to
-        return (mix64(out) & np.uint64(0xFFFF)).astype(np.uint16)
+        return out
+
+    def signatures(self, sets: list[np.ndarray]) -> np.ndarray:
+        """One row of 16-bit slots per non-empty set."""
+        return (mix64(self.least_hashes(sets)) & np.uint64(0xFFFF)).astype(np.uint16)
 
     def bucket_keys(self, signatures: np.ndarray) -> np.ndarray:
         """The key of every bucket of every signature."""
@@ -177,7 +181,9 @@ def full_sets(docs: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string")).join(nodes, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string"))
+    # candidates grow with the documents: never broadcast them, whatever their number here
+    texts = texts.join(nodes.hint("merge"), "node", "left_semi")
     return texts.mapInArrow(read, "node bigint, shingles array<bigint>")
 
 
@@ -413,7 +419,7 @@ def drop_near_copies(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     """
     gone = stage(near_groups(docs, scheme).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near")
     id_ = F.col("doc_id").cast("bigint")
-    left = docs.join(gone, id_ == F.col("_gone"), "left_anti").withColumns({"_id": id_, "_mark": F.xxhash64(F.col("text").cast("string"))})
+    left = docs.join(gone.hint("merge"), id_ == F.col("_gone"), "left_anti").withColumns({"_id": id_, "_mark": F.xxhash64(F.col("text").cast("string"))})
     repeats = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
     if repeats.isEmpty():
         return left.select(*docs.columns)

@@ -15,6 +15,7 @@ from threadwarden.llm import (
     sentencepiece_viterbi,
     token_blocks,
     topk_search,
+    toxicity,
     url_filter,
 )
 
@@ -167,3 +168,15 @@ def sentencepiece_query(spark, sf_dir):
     """Every document encoded and decoded; ids as their number and checksum."""
     docs = table(spark, sf_dir, "documents")
     return sentencepiece_viterbi.digests(sentencepiece_viterbi.encode_documents(docs, sentencepiece_viterbi.default_model()))
+
+
+def toxicity_detector(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Detector:
+    """Learned from labelled documents outside the held-out fold."""
+    return toxicity.learn(docs, table(spark, sf_dir, "labels"), toxicity.fold(F.col("doc_id"), 3) != 1)
+
+
+@query("op1_toxicity")
+def toxicity_query(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score_documents(docs, toxicity_detector(spark, sf_dir, docs))
+    return found.select("doc_id", (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")

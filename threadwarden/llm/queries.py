@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadwarden.llm import (
+    chat_format,
     exact_dedup,
     language_id,
     minhash,
@@ -180,3 +181,32 @@ def toxicity_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = toxicity.score_documents(docs, toxicity_detector(spark, sf_dir, docs))
     return found.select("doc_id", (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+TRICKY = ((-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
+_CONTROL = r"[<\[]\\*/?(?:s>|INST\])"
+_TURN_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
+
+
+@query(
+    "op3_chat_format",
+    f"""
+    WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES {", ".join(map(str, TRICKY))}),
+    t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+    e AS (SELECT *, replace(replace(role, chr(92), repeat(chr(92), 2)), chr(10), chr(92) || 'n') AS name FROM t)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' {_TURN_ORDER})) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' {_TURN_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(8 + length(name) + len(regexp_extract_all(name, '{_CONTROL}')) + length(text) + len(regexp_extract_all(text, '{_CONTROL}'))
+               + CASE WHEN role = 'user' THEN 15 ELSE 0 END)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def chat_format_query(spark, sf_dir):
+    """All conversations, and one whose texts hold control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(list(TRICKY), "conv_id bigint, turn bigint, role string, text string"))
+    found = chat_format.read_back(chat_format.format_trees(chat_format.conversation_trees(rows)))
+    conv_id = F.when(F.col("tree_id") != "", F.col("tree_id").cast("bigint"))
+    return found.select(conv_id.alias("conv_id"), *[c for c in found.columns if c != "tree_id"])

@@ -140,7 +140,7 @@ def csv_sink(spark, sf_dir):
     """Rebuilt conversation texts keep their blanks and line breaks through CSV."""
     path = staging.new_stage_path(spark, "csv")
     tables.write_csv(composed(spark, sf_dir), path)
-    return tables.read_csv(spark, path, "post_id string, full_conversation string")
+    return tables.read_csv(spark, path, "post_id string, part bigint, full_conversation string")
 
 
 @query("A9_entity_json_sink")
@@ -216,10 +216,12 @@ def term_match_by_join(spark, sf_dir):
 
 @query("B6_comments_of_posts")
 def comments_of_posts(spark, sf_dir):
-    """Comments at any depth below posts written by the user role."""
-    posts, comments = ex.thread_posts(spark, sf_dir), ex.thread_comments(spark, sf_dir)
+    """Comments at any depth below posts written by the user role, the latest days only."""
+    posts = ex.thread_posts(spark, sf_dir)
+    comments = ex.thread_comments(spark, sf_dir).withColumn("created", F.col("ord") * 86_400.0)
     tree = threads.link_comments(comments)
-    return threads.comments_of_posts(tree, posts.filter(F.col("author") == "user"), comments).select("id", "post_id", "depth", "body")
+    chosen = posts.filter(F.col("author") == "user")
+    return threads.comments_of_posts(tree, chosen, comments, 7 * 86_400.0, 5).select("id", "post_id", "depth", "body")
 
 
 @query("B7_user_lookup")
@@ -397,7 +399,7 @@ def stable_id(spark, sf_dir):
 
 
 def composed(spark, sf_dir, **options):
-    return threads.compose(ex.thread_posts(spark, sf_dir), ex.thread_comments(spark, sf_dir), **options).drop("part")
+    return threads.compose(ex.thread_posts(spark, sf_dir), ex.thread_comments(spark, sf_dir), **options)
 
 
 @query("D1_top_level_comments")
@@ -451,7 +453,7 @@ def empty_threads(spark, sf_dir):
         F.lit("rater").alias("author"),
         F.col("doc_id").alias("ord"),
     )
-    return threads.compose(ex.document_posts(spark, sf_dir), answers).drop("part")
+    return threads.compose(ex.document_posts(spark, sf_dir), answers)
 
 
 @query("D7_compose_conversations")
@@ -468,7 +470,7 @@ def compose_big_thread(spark, sf_dir):
 def conversation_beginnings(spark, sf_dir):
     """What a model reads of each conversation."""
     posts, comments = ex.event_posts(spark, sf_dir), ex.event_comments(spark, sf_dir)
-    return threads.compose(posts, comments, max_chars=text.CONTEXT_LIMIT).drop("part")
+    return threads.compose(posts, comments, max_chars=text.CONTEXT_LIMIT)
 
 
 @query("D8_unreached_comments")
@@ -483,7 +485,7 @@ def unreached_comments(spark, sf_dir):
 def duplicates_once(spark, sf_dir):
     posts, comments = ex.thread_posts(spark, sf_dir), ex.thread_comments(spark, sf_dir)
     later = comments.withColumns({"ord": F.col("ord") + 100, "body": F.lit("a later copy")})
-    return threads.compose(posts.unionByName(posts), comments.unionByName(later)).drop("part")
+    return threads.compose(posts.unionByName(posts), comments.unionByName(later))
 
 
 @query("D9_duplicates_repeated")
@@ -491,7 +493,7 @@ def duplicates_repeated(spark, sf_dir):
     """First-level comments held twice: each copy brings its replies again."""
     posts, comments = ex.thread_posts(spark, sf_dir), ex.thread_comments(spark, sf_dir)
     copies = comments.filter("ord < 3").withColumns({"ord": F.col("ord") + 100, "body": F.lit("a later copy")})
-    return threads.compose(posts, comments.unionByName(copies), duplicates="repeat").drop("part")
+    return threads.compose(posts, comments.unionByName(copies), duplicates="repeat")
 
 
 # ---- E: assessment ----
@@ -499,7 +501,10 @@ def duplicates_repeated(spark, sf_dir):
 
 def _calls(spark, sf_dir):
     options = {"tasks": spark.sparkContext.defaultParallelism, "backoff": 0.0}
-    return assess.score_conversations(ex.document_conversations(spark, sf_dir), ex.stand_in_toxicity, **options)
+    known = ex.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("post_id"), F.col("source").alias("subreddit"), F.col("text").alias("full_conversation")
+    )
+    return assess.score_conversations(known, ex.stand_in_toxicity, **options)
 
 
 def _judged(spark, sf_dir):
@@ -509,7 +514,7 @@ def _judged(spark, sf_dir):
 
 @query("E1_E9_toxicity_scores")
 def toxicity_scores(spark, sf_dir):
-    return assess.flatten_scores(_calls(spark, sf_dir)).drop("subreddit")
+    return assess.flatten_scores(_calls(spark, sf_dir))
 
 
 @query("E2_E11_verdicts")
@@ -517,39 +522,6 @@ def verdicts(spark, sf_dir):
     return assess.parse_verdicts(_judged(spark, sf_dir))
 
 
-@query("E3_scorer_contract")
-def scorer_contract(spark, sf_dir):
-    """The request each call sends, echoed back by the service."""
-    wanted = [a.upper() for a in schemas.ATTRIBUTES]
-
-    def echo(request):
-        return {"languages": [], "detectedLanguages": sorted(request["requestedAttributes"]), "attributeScores": {}, "n": len(request["comment"]["text"])}
-
-    factory = lambda: assess.toxicity_scorer(echo, wanted)
-    calls = assess.call_scorer(assess.prepare(ex.document_conversations(spark, sf_dir)), factory)
-    echoed = F.from_json("response_json", "detectedLanguages array<string>, n int")
-    return calls.select("post_id", "attempts", echoed["n"].alias("sent_chars"), F.array_join(echoed["detectedLanguages"], ",").alias("attributes"))
-
-
-@query("E4_generate_contract")
-def generate_contract(spark, sf_dir):
-    def echo(prompt, system_instruction, response_schema, **params):
-        return json.dumps({"n": len(prompt), "s": system_instruction, **params})
-
-    factory = lambda: assess.verdict_scorer(echo, "be fair", {"type": "array"}, max_output_tokens=200)
-    calls = assess.judge_conversations(ex.document_conversations(spark, sf_dir), factory)
-    got = F.from_json("response_json", "n int, s string, temperature double, max_output_tokens int, top_p double, top_k int")
-    return calls.select("post_id", got["n"].alias("n"), got["s"].alias("s"), *[got[p].alias(p) for p in assess.GENERATE_PARAMS])
-
-
-@query("E5_paced_calls")
-def paced_calls(spark, sf_dir):
-    """Calls spread over a fixed number of tasks, which is what the pace is divided by."""
-    items = assess.prepare(ex.document_conversations(spark, sf_dir))
-    calls = assess.call_scorer(items, ex.stand_in_toxicity, tasks=4, pace=0.0, backoff=0.0)
-    return calls.groupBy("attempts").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("E6_retry_once")
 def retry_once(spark, sf_dir):
     calls = _calls(spark, sf_dir)
@@ -683,11 +655,18 @@ def rank_conversations(spark, sf_dir):
 
 @query("F8_ranked_threads")
 def ranked_threads(spark, sf_dir):
-    """The flagship: threads rebuilt, scored by the stand-in, ranked by worst attribute."""
-    conversations = staging.stage(composed(spark, sf_dir), "conversations")
+    """The flagship: threads rebuilt, scored by the stand-in, ranked by worst attribute.
+
+    Small threads, and all events as one thread that is far longer than a part: each post is
+    scored once, by the beginning that the classifier reads.
+    """
+    posts = ex.thread_posts(spark, sf_dir).unionByName(ex.event_posts(spark, sf_dir))
+    comments = ex.thread_comments(spark, sf_dir).unionByName(ex.event_comments(spark, sf_dir))
+    beginnings = threads.compose(posts, comments, part_chars=5_000, max_chars=text.CONTEXT_LIMIT)
+    conversations = staging.stage(beginnings.select("post_id", "full_conversation"), "conversations")
     calls = staging.stage(assess.score_conversations(conversations, ex.stand_in_toxicity, backoff=0.0), "calls")
     maxima = rank.with_worst_attribute(assess.flatten_scores(calls))
-    return rank.rank_conversations(conversations, rank.shortlist(maxima, 20))
+    return rank.rank_conversations(conversations, maxima)
 
 
 @query("F9_attribute_filter")

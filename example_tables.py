@@ -15,7 +15,7 @@ from threadwarden.schemas import ATTRIBUTES
 
 # One multiplier per attribute: a stand-in score that any engine can compute.
 MULTIPLIERS = (7, 11, 13, 17, 19, 23, 29, 31, 37)
-TERMS = ("the of", "und die", "que", "that with this", "les des", "el la", "nothing matches this", "Is It")
+TERMS = ("the of", "und die", "que", "that with this", "les des", "el la", "nothing matches this", "Is It", "the-of", "***", "the\u00a0and")
 NOW = 1_700_000_000.0 + 86_400 * 30
 
 
@@ -154,7 +154,7 @@ def stand_in_toxicity():
         if kind == 9:
             return None
         if kind == 5:
-            return "{bad"
+            return "{bad" if n % 20 == 5 else "{}"
         scores = {}
         for i, (name, m) in enumerate(zip(ATTRIBUTES, MULTIPLIERS)):
             value = (n * m) % 1000 / 1000.0
@@ -192,6 +192,7 @@ def stand_in_judge():
             return '{"comment_id": "alone"}'
         if n % 7 == 2:
             return "[broken"
+        odd = [5] if n % 14 == 6 else []
         return json.dumps([
             {
                 "user_id": f"u{n % 5}" if i else "[deleted]",
@@ -202,6 +203,6 @@ def stand_in_judge():
                 "suggested_prompt_modifications": "" if i else f"hint {n % 4}",
             }
             for i in range(n % 7 - 2)
-        ])
+        ] + odd)
 
     return judge

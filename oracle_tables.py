@@ -73,13 +73,16 @@ def term_rows() -> str:
     return ", ".join(f"({i}, '{t}')" for i, t in enumerate(TERMS))
 
 
+BREAK = r"[^\p{L}\p{N}]+"
 TERM_MATCHES = f"""
 terms(term_no, term) AS (VALUES {term_rows()}),
-words AS (SELECT DISTINCT term, unnest(string_split(lower(term), ' ')) AS word FROM terms),
+words AS (SELECT DISTINCT term, word FROM (SELECT term, unnest(regexp_split_to_array(lower(term), '{BREAK}')) AS word FROM terms) WHERE word <> ''),
+symbols AS (SELECT DISTINCT term FROM terms WHERE NOT regexp_matches(term, '[\\p{{L}}\\p{{N}}]') AND trim(term) <> ''),
 needed AS (SELECT term, count(*) AS n_words FROM words GROUP BY term),
 seen AS (SELECT DISTINCT id, unnest(regexp_split_to_array(lower(body), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM texts),
 matches AS (SELECT s.id, w.term FROM seen s JOIN words w USING (word) JOIN needed n USING (term)
-            GROUP BY s.id, w.term, n.n_words HAVING count(*) = n.n_words)"""
+            GROUP BY s.id, w.term, n.n_words HAVING count(*) = n.n_words
+            UNION ALL SELECT t.id, s.term FROM texts t JOIN symbols s ON contains(lower(t.body), lower(s.term)))"""
 POST_TEXTS = """
 texts AS (SELECT id, title || ' ' || selftext AS body FROM dp)"""
 
@@ -121,8 +124,13 @@ maxima AS (SELECT *, {pick("'{a}'")} AS max_attribute, {pick("{a}_max_span_begin
                   {pick("{a}_max_span_end")} AS max_span_end FROM tops)"""
 
 
-def sent(source: str = "SELECT CAST(doc_id AS VARCHAR) AS post_id, text AS full_conversation FROM documents") -> str:
-    return f"\nsent AS (SELECT post_id, substr(full_conversation, 1, 19000) AS text, CAST(length(substr(full_conversation, 1, 19000)) AS INTEGER) AS n FROM ({source}))"
+DOCUMENT_TEXTS = "SELECT CAST(doc_id AS VARCHAR) AS post_id, text AS full_conversation FROM documents"
+
+
+def sent(source: str = DOCUMENT_TEXTS, limit: int = 19_000, name: str = "sent") -> str:
+    """What a model reads of each conversation."""
+    cut = f"substr(full_conversation, 1, {limit})"
+    return f"\n{name} AS (SELECT post_id, {cut} AS text, CAST(length({cut}) AS INTEGER) AS n FROM ({source}))"
 
 
 ANSWERED = "n % 10 NOT IN (1, 5, 7, 9)"
@@ -144,8 +152,8 @@ def answer_columns() -> str:
 
 
 PROMPTS = f"""
-{sent()},
-prompts AS (SELECT post_id, n, '[Post ID: ' || post_id || '] ' || text AS prompt, CAST(length('[Post ID: ' || post_id || '] ' || text) AS INTEGER) AS pn FROM sent)"""
+{sent(limit=1_000_000, name="whole")},
+prompts AS (SELECT post_id, n, '[Post ID: ' || post_id || '] ' || text AS prompt, CAST(length('[Post ID: ' || post_id || '] ' || text) AS INTEGER) AS pn FROM whole)"""
 
 
 def compact_verdict() -> str:
@@ -163,7 +171,7 @@ raw AS (SELECT post_id, n, pn, i, CASE WHEN i = 0 THEN '[deleted]' ELSE 'u' || (
                CASE WHEN i = 0 THEN 'c' || post_id ELSE 'c' || (pn % 11 + i) END AS comment_id, (pn + i) % 3 = 0 AS is_flagged, 'length ' || pn AS reasoning,
                CASE WHEN i = 0 THEN 'hint ' || (pn % 4) ELSE '' END AS suggested_prompt_modifications
         FROM (SELECT *, unnest(range(0, pn % 7 - 2)) AS i FROM prompts WHERE pn % 7 > 2)),
-response AS (SELECT post_id, length('[' || string_agg({compact_verdict()}, ', ' ORDER BY i) || ']') AS rn FROM raw GROUP BY post_id),
+response AS (SELECT post_id, length('[' || string_agg({compact_verdict()}, ', ' ORDER BY i) || CASE WHEN max(pn) % 14 = 6 THEN ', 5' ELSE '' END || ']') AS rn FROM raw GROUP BY post_id),
 verdicts AS (SELECT raw.*, sha256('conversations:' || raw.post_id || ':' || i) AS gemini_id, 'conversations' AS sheet_name,
                     CAST(n AS BIGINT) AS conversation_length, CAST(pn // 4 + rn // 4 AS BIGINT) AS tokens_used
              FROM raw JOIN response USING (post_id))"""
@@ -193,7 +201,7 @@ UNION ALL SELECT 'attribute', unnest([{", ".join(f"'{a}'" for a in ATTRIBUTES)}]
     "A6_prompt_asset": f"SELECT CAST(doc_id AS VARCHAR) AS post_id, 'Judge each comment.' || {LF} || 'Answer as a list.' AS system_instruction FROM documents",
     "A7_aligned_append": """SELECT doc_id, source, n_chars FROM documents
 UNION ALL SELECT doc_id, NULL, NULL FROM labels""",
-    "A8_csv_sink": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, full_conversation FROM conv",
+    "A8_csv_sink": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, 0::BIGINT AS part, full_conversation FROM conv",
     "A9_entity_json_sink": f"WITH {POSTS} SELECT id, subreddit, selftext, created FROM dp",
     "A10_materialize_once": "SELECT doc_id, n_chars FROM documents",
     "A11_input_fallback": "SELECT CAST(doc_id AS VARCHAR) AS post_id, text AS full_conversation FROM documents",
@@ -209,7 +217,7 @@ SELECT id, subreddit, draw, query, created FROM candidates WHERE rn <= requested
     "B5_term_match": f"WITH {POSTS}, {POST_TEXTS}, {TERM_MATCHES} SELECT id, term FROM matches",
     "B5_term_match_by_join": f"WITH {POSTS}, {POST_TEXTS}, {TERM_MATCHES} SELECT id, term FROM matches",
     "B6_comments_of_posts": f"""WITH RECURSIVE {THREADS}, {TREE}
-SELECT t.id, t.post_id, t.depth, t.body FROM tree t JOIN tp ON tp.id = t.post_id WHERE tp.author = 'user'""",
+SELECT t.id, t.post_id, t.depth, t.body FROM tree t JOIN tp ON tp.id = t.post_id WHERE tp.author = 'user' AND CAST(split_part(t.id, '_', 2) AS INTEGER) >= 2""",
     "B7_user_lookup": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS username FROM events WHERE user_id = 8",
     "B8_user_posts": f"""WITH {ITEMS}, top AS (SELECT * FROM items WHERE author = '8' ORDER BY created DESC, id LIMIT 20)
 SELECT id, author, created FROM top WHERE created >= {EVENT_NOW - 10 * DAY}""",
@@ -260,14 +268,14 @@ FROM documents WHERE doc_id <> 3""",
 SELECT post_id, id, depth, offset_ AS "offset", n_comments FROM placed WHERE depth >= 0""",
     "D5_post_header": f"WITH {THREADS} SELECT id AS post_id, {HEADER} AS header FROM tp",
     "D6_empty_threads": f"""WITH {POSTS}
-SELECT id AS post_id, {HEADER} || CASE WHEN l.doc_id IS NULL THEN 'No comments' || {LF} ELSE 'Comment ID: c' || l.doc_id || {LF} ||
+SELECT id AS post_id, 0::BIGINT AS part, {HEADER} || CASE WHEN l.doc_id IS NULL THEN 'No comments' || {LF} ELSE 'Comment ID: c' || l.doc_id || {LF} ||
        'Comment Author: rater' || {LF} || 'Comment Body: quality ' || l.quality || {LF} || '{COMMENT_RULE}' || {LF} END AS full_conversation
 FROM dp LEFT JOIN labels l ON l.doc_id = dp.doc_id""",
-    "D7_compose_conversations": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, full_conversation FROM conv",
+    "D7_compose_conversations": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, 0::BIGINT AS part, full_conversation FROM conv",
     "D7_compose_big_thread_in_parts": f"""WITH RECURSIVE {EVENT_THREAD}, {TREE}, {LINES}, {ALL_LINES}
 SELECT post_id, offset_ // 50000 AS part, string_agg(line, '' ORDER BY path) AS full_conversation FROM placed GROUP BY post_id, offset_ // 50000""",
     "D7_conversation_beginnings": f"""WITH RECURSIVE {EVENT_THREAD}, {TREE}, {LINES}, {CONVERSATIONS}
-SELECT post_id, substr(full_conversation, 1, 19000) AS full_conversation FROM conv""",
+SELECT post_id, 0::BIGINT AS part, substr(full_conversation, 1, 19000) AS full_conversation FROM conv""",
     "D8_unreached_comments": """WITH RECURSIVE tc AS (
   SELECT conv_id || '_' || turn AS id, conv_id, turn,
          CASE WHEN (turn - 1) // 2 = 0 THEN 't3_' ELSE 't1_' END || conv_id || '_' || ((turn - 1) // 2) AS parent_id
@@ -277,29 +285,24 @@ linked(id, conv_id) AS (SELECT id, conv_id FROM tc WHERE parent_id LIKE 't3_%'
 SELECT c.id, c.parent_id, CASE WHEN l.id IS NULL THEN 'no post' ELSE 'unknown post' END AS reason
 FROM tc c LEFT JOIN linked l ON l.id = c.id
 WHERE l.id IS NULL OR c.conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0 AND role = 'system')""",
-    "D9_duplicates_kept_once": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, full_conversation FROM conv",
+    "D9_duplicates_kept_once": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, 0::BIGINT AS part, full_conversation FROM conv",
     "D9_duplicates_repeated": f"""WITH RECURSIVE {THREADS.replace('tc AS', 'tc0 AS')},
 tc AS (SELECT id, ord, body, author, parent_id FROM tc0 UNION ALL SELECT id, ord + 100, body, author, parent_id FROM tc0 WHERE ord < 3),
-{TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, full_conversation FROM conv""",
+{TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, 0::BIGINT AS part, full_conversation FROM conv""",
     "E1_E9_toxicity_scores": f"""WITH {sent()}
-SELECT sha256('conversations:' || post_id) AS perspective_id, 'conversations' AS sheet_name, post_id,
+SELECT sha256('conversations:' || post_id) AS perspective_id, 'conversations' AS sheet_name, d.source AS subreddit, post_id,
        CASE WHEN n % 2 = 0 THEN 'en' ELSE 'fr de' END AS languages, 'en' AS detected_languages, {answer_columns()}
-FROM sent WHERE {ANSWERED}""",
+FROM sent JOIN documents d ON CAST(d.doc_id AS VARCHAR) = post_id WHERE {ANSWERED}""",
     "E2_E11_verdicts": f"""WITH {VERDICTS}
 SELECT user_id, post_id, comment_id, is_flagged, reasoning, suggested_prompt_modifications, gemini_id, sheet_name, conversation_length, tokens_used FROM verdicts""",
-    "E3_scorer_contract": f"""WITH {sent()}
-SELECT post_id, 1 AS attempts, n AS sent_chars, '{",".join(sorted(a.upper() for a in ATTRIBUTES))}' AS attributes FROM sent""",
-    "E4_generate_contract": f"""WITH {PROMPTS}
-SELECT post_id, pn AS n, 'be fair' AS s, 0.7::DOUBLE AS temperature, 200 AS max_output_tokens, 0.95::DOUBLE AS top_p, 40 AS top_k FROM prompts""",
-    "E5_paced_calls": f"WITH {sent()} SELECT CASE WHEN n % 10 IN (1, 3) THEN 2 ELSE 1 END AS attempts, count(*) AS n FROM sent GROUP BY 1",
     "E6_retry_once": f"""WITH {sent()}
 SELECT post_id, CASE WHEN n % 10 IN (1, 3) THEN 2 ELSE 1 END AS attempts,
        CASE n % 10 WHEN 1 THEN 2 WHEN 3 THEN 1 WHEN 7 THEN 1 WHEN 9 THEN 1 ELSE 0 END AS n_errors, n % 10 NOT IN (1, 7, 9) AS answered FROM sent""",
     "E7_E15_error_rows": f"""WITH {sent()}
-SELECT post_id, n AS text_length, 429 AS error_code, 'HTTP Error 429' AS message, 'Status: 429, Reason: slow down' AS details FROM sent WHERE n % 10 IN (1, 3)
-UNION ALL SELECT post_id, n, 429, 'HTTP Error on retry 429', 'Status: 429, Reason: slow down' FROM sent WHERE n % 10 = 1
-UNION ALL SELECT post_id, n, 400, 'HTTP Error 400', 'Status: 400, Reason: bad request' FROM sent WHERE n % 10 = 7
-UNION ALL SELECT post_id, n, NULL, 'Response is None', 'Bad request or unknown language detected' FROM sent WHERE n % 10 = 9""",
+SELECT post_id, n AS text_length, 429 AS error_code, 'call 1 refused' AS message, 'slow down' AS details FROM sent WHERE n % 10 IN (1, 3)
+UNION ALL SELECT post_id, n, 429, 'call 2 refused', 'slow down' FROM sent WHERE n % 10 = 1
+UNION ALL SELECT post_id, n, 400, 'call 1 refused', 'bad request' FROM sent WHERE n % 10 = 7
+UNION ALL SELECT post_id, n, NULL, 'no answer', 'the model returned nothing' FROM sent WHERE n % 10 = 9""",
     "E8_batch_slices": """SELECT doc_id, position, (position - 120) // 50 AS batch
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) WHERE position >= 120""",
     "E8_resume": "SELECT CAST(doc_id AS VARCHAR) AS post_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
@@ -317,8 +320,10 @@ SELECT p.post_id, t.summary_score AS max_score, t.attribute AS max_score_attribu
 FROM placed p JOIN placed t ON t.post_id = p.post_id AND t.position = 0""",
     "E13_languages": f"""WITH {sent()} SELECT CASE WHEN n % 2 = 0 THEN 'en' ELSE 'fr de' END AS languages, 'en' AS detected_languages, count(*) AS n
 FROM sent WHERE {ANSWERED} GROUP BY 1, 2""",
-    "E14_unparseable_responses": f"""WITH {PROMPTS}
-SELECT post_id, n AS text_length, CAST(NULL AS INTEGER) AS error_code, 'JSONDecodeError' AS message, '{{bad' AS details FROM sent WHERE n % 10 = 5
+    "E14_unparseable_responses": f"""WITH {PROMPTS}, {sent()}
+SELECT post_id, n AS text_length, CAST(NULL AS INTEGER) AS error_code, 'JSONDecodeError' AS message, '{{bad' AS details FROM sent WHERE n % 20 = 5
+UNION ALL SELECT post_id, n, NULL, 'no scores', '{{}}' FROM sent WHERE n % 20 = 15
+UNION ALL SELECT post_id, n, NULL, 'no verdict', '5' FROM prompts WHERE pn % 14 = 6
 UNION ALL SELECT post_id, n, NULL, 'JSONDecodeError', CASE pn % 7 WHEN 1 THEN '{{"comment_id": "alone"}}' ELSE '[broken' END FROM prompts WHERE pn % 7 IN (1, 2)""",
     "E16_run_totals": f"""WITH {VERDICTS},
 answers AS (SELECT p.pn, CASE pn % 7 WHEN 0 THEN 2 WHEN 1 THEN length('{{"comment_id": "alone"}}') WHEN 2 THEN 7 ELSE r.rn END AS rn
@@ -338,11 +343,14 @@ SELECT post_id, greatest({", ".join(f"{a}_score" for a in ATTRIBUTES if a not in
 SELECT post_id, {SCORE_COLUMNS}, max_attribute, max_score, max_span_begin, max_span_end, text AS full_text FROM maxima ORDER BY max_score DESC, post_id""",
     "F8_rank_conversations": f"""WITH {SCORES}, {MAXIMA}
 SELECT post_id, text AS full_conversation, max_score, max_attribute FROM maxima ORDER BY max_score DESC, post_id""",
-    "F8_ranked_threads": f"""WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS}, {sent("SELECT post_id, full_conversation FROM conv")},
+    "F8_ranked_threads": f"""WITH RECURSIVE {THREADS.replace("tp AS", "tp1 AS").replace("tc AS", "tc1 AS")}, {EVENT_THREAD.replace("tp AS", "tp2 AS").replace("tc AS", "tc2 AS")},
+tp AS (SELECT id, title, selftext, author FROM tp1 UNION ALL SELECT id, title, selftext, author FROM tp2),
+tc AS (SELECT id, ord, body, author, parent_id FROM tc1 UNION ALL SELECT id, ord, body, author, parent_id FROM tc2),
+{TREE}, {LINES}, {CONVERSATIONS}, {sent("SELECT post_id, full_conversation FROM conv")},
 scores AS (SELECT post_id, {answer_columns()} FROM sent WHERE {ANSWERED}),
 tops AS (SELECT *, greatest({", ".join(f"{a}_score" for a in ATTRIBUTES)}) AS max_score FROM scores),
-maxima AS (SELECT post_id, max_score, {pick("'{a}'")} AS max_attribute FROM tops ORDER BY max_score DESC, post_id LIMIT 20)
-SELECT post_id, full_conversation, max_score, max_attribute FROM conv JOIN maxima USING (post_id) ORDER BY max_score DESC, post_id""",
+maxima AS (SELECT post_id, max_score, {pick("'{a}'")} AS max_attribute FROM tops)
+SELECT post_id, text AS full_conversation, max_score, max_attribute FROM sent JOIN maxima USING (post_id) ORDER BY max_score DESC, post_id""",
     "F9_attribute_filter": f"""WITH {SCORES}, {MAXIMA}
 SELECT post_id, text AS full_conversation, max_score, max_attribute FROM maxima WHERE max_attribute IN ('toxicity', 'threat') ORDER BY max_score DESC, post_id""",
     "F9_attribute_filter_without_match": f"""WITH {SCORES}, {MAXIMA}

@@ -79,8 +79,8 @@ def test_retries_and_errors(spark):
     got = {r.post_id: (r.response_json is not None, r.attempts, len(r.errors)) for r in results.collect()}
     assert got == {"fine": (True, 1, 0), "slow": (True, 2, 1), "jam": (False, 2, 2), "bad": (False, 1, 1), "nothing": (False, 1, 1), "crash": (False, 1, 1)}
     errors = sorted((r.post_id, r.error_code, r.message, r.text_length) for r in assess.error_rows(results).collect() if r.error_code)
-    assert errors == [("bad", 400, "HTTP Error 400", 3), ("jam", 429, "HTTP Error 429", 3), ("jam", 429, "HTTP Error on retry 429", 3), ("slow", 429, "HTTP Error 429", 4)]
-    assert {r.message for r in assess.error_rows(results).collect()} >= {"Response is None", "Unexpected error: RuntimeError"}
+    assert errors == [("bad", 400, "call 1 refused", 3), ("jam", 429, "call 1 refused", 3), ("jam", 429, "call 2 refused", 3), ("slow", 429, "call 1 refused", 4)]
+    assert {r.message for r in assess.error_rows(results).collect()} >= {"no answer", "call 1 raised RuntimeError"}
     # every item ends as a result or as an error
     assert results.filter(F.col("response_json").isNull() & (F.size("errors") == 0)).count() == 0
 
@@ -116,6 +116,99 @@ def test_verdicts(spark):
     assert totals.total_tokens == 4 * 2 + sum(len(v) // 4 for v in answers.values() if v)
 
 
+@pytest.mark.parametrize("answer", ['""', "{}", "null", "[1]", '{"attributeScores": {}}', '{"attributeScores": null}', "{bad", "", "[]"])
+def test_answers_without_scores_are_errors(spark, answer):
+    calls = spark.createDataFrame([("p", "t", 1, answer)], "post_id string, text string, text_length int, response_json string")
+    parsed = assess.parse_responses(calls)
+    assert assess.flatten_scores(parsed).count() == 0 and assess.ranked_attributes(parsed).count() == 0
+    assert [r.details for r in assess.parse_error_rows(parsed).collect()] == [answer]
+
+
+@pytest.mark.parametrize("answer, good, bad", [
+    ("[1,2]", 0, 2), ('["x"]', 0, 1), ('[{"comment_id": "c"}, 5]', 1, 1), ("[null, []]", 0, 2), ("[]", 0, 0), ("null", 0, 1), ('""', 0, 1), ('[{"is_flagged": 3}]', 0, 1), ("[{}]", 1, 0),
+])
+def test_every_list_element_is_a_verdict_or_an_error(spark, answer, good, bad):
+    calls = spark.createDataFrame([("p", "pp", 2, answer)], "post_id string, prompt string, text_length int, response_json string")
+    assert (assess.parse_verdicts(calls).count(), assess.verdict_error_rows(calls).count()) == (good, bad)
+
+
+def test_attribute_without_summary_comes_last(spark):
+    answer = json.dumps({"attributeScores": {"THREAT": {"spanScores": []}, "INSULT": score(0.1)}})
+    calls = spark.createDataFrame([("p", "t", 1, answer)], "post_id string, text string, text_length int, response_json string")
+    row = assess.ranked_attributes(assess.parse_responses(calls)).first()
+    assert (row.max_score, row.max_score_attribute, [s.attribute for s in row.scores]) == (0.1, "INSULT", ["INSULT", "THREAT"])
+
+
+def test_requests_carry_the_contract(spark):
+    sent = {}
+    assess.toxicity_scorer(lambda request: sent.update(request) or {}, ["toxicity", "Threat"])("hello")
+    assert sent["comment"] == {"text": "hello"} and set(sent["requestedAttributes"]) == {"TOXICITY", "THREAT"} and sent["spanAnnotations"]
+    assert assess.toxicity_scorer(lambda request: None, [])("x") is None
+    got = {}
+    judge = assess.verdict_scorer(lambda prompt, **given: got.update(given, prompt=prompt) or "[]", "be fair", {"type": "array"}, max_output_tokens=200)
+    assert judge("p") == "[]"
+    assert got == {"prompt": "p", "system_instruction": "be fair", "response_schema": {"type": "array"}, "temperature": 0.7, "max_output_tokens": 200, "top_p": 0.95, "top_k": 40}
+
+
+def test_pace_without_tasks_is_refused(spark):
+    items = assess.prepare(spark.createDataFrame([("a", "a")], "post_id string, full_conversation string"))
+    with pytest.raises(ValueError, match="tasks"):
+        assess.call_scorer(items, scripted, pace=1.1)
+
+
+def test_the_judge_reads_more_than_the_classifier(spark):
+    long = spark.createDataFrame([("a", "x" * 100_000)], "post_id string, full_conversation string")
+    assert assess.prepare(long).first().text_length == 19_000
+    assert assess.prepare_prompts(long).first().text_length == 100_000
+    assert assess.prepare_prompts(long, context_size=50).first().text_length == 50 and assess.prepare(long, context_size=None).first().text_length == 100_000
+
+
+def test_one_call_per_conversation(spark):
+    """Joins of verdicts with their sources evaluate the calls once."""
+    from threadwarden.operators import review
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def judge(prompt):
+            calls.add(1)
+            return json.dumps([{"comment_id": f"c{len(prompt) % 3}", "user_id": "u", "is_flagged": True}])
+
+        return judge
+
+    conversations = spark.createDataFrame([(f"p{i}", "x" * i) for i in range(1, 31)], "post_id string, full_conversation string")
+    comments = spark.createDataFrame([("c0", "ann", "b", "p1"), ("c1", "bob", "b", "p2")], "id string, author string, body string, post_id string")
+    posts = spark.createDataFrame([(f"p{i}", "t", "ann") for i in range(40)], "id string, title string, author string")
+    uses = [
+        lambda v: assess.apply_missing_data_rules(v, comments),
+        lambda v: assess.fabricated_verdicts(v, comments),
+        lambda v: review.verdicts_with_source(v, comments, posts),
+    ]
+    for n, use in enumerate(uses, 1):
+        use(assess.parse_verdicts(assess.judge_conversations(conversations, factory))).collect()
+        assert calls.value == 30 * n
+
+
+def test_a_stopped_run_keeps_the_worst(spark, folder):
+    rows = [(f"p{i:02}", f"t{i:02}", 100.0 - i) for i in range(20)]
+    items = spark.createDataFrame(rows, "post_id string, text string, max_score double").withColumn("text_length", F.lit(3)).repartition(5)
+
+    def stopping():
+        def call(text):
+            if text >= "t08":
+                raise KeyboardInterrupt
+            return "{}"
+
+        return call
+
+    with pytest.raises(Exception):
+        assess.continue_calls(items, f"{folder}/calls", stopping, batches=5, order=[F.col("max_score").desc(), "post_id"])
+    kept = {r.post_id for r in spark.read.parquet(f"{folder}/calls").collect()}
+    assert kept == {f"p{i:02}" for i in range(8)}
+    done = assess.continue_calls(items, f"{folder}/calls", scripted, order=[F.col("max_score").desc(), "post_id"], backoff=0.0)
+    assert done.count() == 20
+
+
 def test_other_verdict_schema(spark):
     answer = json.dumps([{"comment_id": "c", "is_spam": True, "severity": 0.5}])
     calls = spark.createDataFrame([("p", "pp", 2, answer)], "post_id string, prompt string, text_length int, response_json string")

@@ -49,7 +49,9 @@ def test_recency_is_inclusive(spark):
 def test_truncation_counts_code_points(spark):
     texts = ["x" * 18999, "x" * 19000, "x" * 19001, "\U0001f600" * 19005]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(text.truncated(F.col("t"), 1_000_000).alias("t"))
-    assert [len(r.t) for r in df.collect()] == [18999, 19000, 19000, 19000]
+    assert [len(r.t) for r in df.collect()] == [18999, 19000, 19001, 19005]
+    shorter = spark.createDataFrame([(t,) for t in texts], "t string").select(text.truncated(F.col("t")).alias("t"))
+    assert [len(r.t) for r in shorter.collect()] == [18999, 19000, 19000, 19000]
     assert spark.createDataFrame([("abcdef",)], "t string").select(text.truncated(F.col("t"), 4)).first()[0] == "abcd"
 
 
@@ -62,6 +64,14 @@ def test_terms_need_every_word(spark):
     assert df.select(text.matched_terms(F.col("t"), []).alias("m")).first().m == []
 
 
+def test_terms_with_punctuation(spark):
+    terms = ["so-called", "word's", "(((echo)))", "***", "a\u00a0b", "***", " ", "!!"]
+    texts = ["a so called word's echo", "it is **** here", "b, a", "echo", "!", "!!"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.m for r in df.select("i", text.matched_terms(F.col("t"), terms).alias("m")).orderBy("i").collect()]
+    assert got == [["so-called", "word's", "(((echo)))"], ["***"], ["a\u00a0b"], ["(((echo)))"], [], ["!!"]]
+
+
 def test_token_estimate_and_prompt(spark):
     df = spark.createDataFrame([("abcdefg", "xyz1")], "p string, r string")
     assert df.select(text.token_estimate(F.col("p"), F.col("r"))).first()[0] == 2

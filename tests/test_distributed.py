@@ -1,4 +1,4 @@
-"""Skew-proof building blocks against plain Spark forms."""
+"""Distributed building blocks against plain Spark forms."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from threadwarden.operators.distributed import keep_first, ranked_top_n, row_position, running_total, skew_join, top_n_per_group
+from threadwarden.operators.distributed import keep_first, ranked_top_n, row_position, running_total, top_n_per_group
 
 
 @pytest.fixture(scope="module")
@@ -46,20 +46,6 @@ def test_running_total_of_nothing(spark):
     assert running_total(empty, ["id"], F.col("v"), "before").collect() == []
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_join(spark, rows, how):
-    side = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4), ("zz", 5), (None, 6)], "key string, w int")
-    plain = rows.join(side, ["key"], how)
-    got = skew_join(rows, side, ["key"], how, hot_rows=100, salts=7)
-    assert got.columns == plain.columns
-    assert collected(got) == collected(plain)
-
-
-def test_skew_join_refuses_right_preserving_joins(rows):
-    with pytest.raises(ValueError):
-        skew_join(rows, rows, ["key"], "full")
-
-
 def test_top_n_below_and_above_the_window_limit(spark, rows):
     order = [F.col("v").desc(), F.col("id")]
     for n in (5, 1200):

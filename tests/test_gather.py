@@ -78,11 +78,15 @@ def test_gather_of_nothing(spark, posts):
 
 
 def test_both_ways_to_match_terms_agree(spark, posts):
-    terms = spark.createDataFrame([("red fox",), ("BLUE",), ("title 7",), ("fox fox",), ("none of these",)], "term string")
+    terms = spark.createDataFrame([("red fox",), ("BLUE",), ("title 7",), ("fox fox",), ("none of these",), ("red-fox",), ("blue\u00a0fox",), ("***",), (" ",)], "term string")
     text = post_text(F.col("title"), F.col("selftext"))
     inline = sorted(tuple(r) for r in gather.term_matches(posts, text, terms).collect())
     joined = sorted(tuple(r) for r in gather.term_matches_by_join(posts, text, terms).collect())
-    assert inline == joined and ("p7", "title 7") in inline
+    assert inline == joined and ("p7", "title 7") in inline and ("p0", "blue\u00a0fox") in inline
+    # rows under one key: a term must be met within one of them
+    pairs = spark.createDataFrame([("k", "red"), ("k", "fox"), ("k", "red * fox"), ("k", "red fox")], "id string, t string")
+    forms = [f(pairs, F.col("t"), terms).collect() for f in (gather.term_matches, gather.term_matches_by_join)]
+    assert sorted(map(tuple, forms[0])) == sorted(map(tuple, forms[1])) == [("k", "fox fox"), ("k", "red fox"), ("k", "red-fox")]
 
 
 def test_long_term_lists_are_joined(spark, posts, monkeypatch):

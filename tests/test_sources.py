@@ -1,5 +1,7 @@
 import glob
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,16 @@ def test_stage_tables(spark):
     path, seen = staging.write_stage(spark.range(10), "y", most=F.max("id"))
     assert seen["most"] == 9
     assert staging.read_stages(spark.range(1), path, path).count() == 20
+
+
+def test_whole_numbers_written_with_a_point(spark, folder):
+    spark.createDataFrame([("12.0", "a", "1"), ("7", "b", "x"), ("1.5", "c", ""), ("bad", "d", "9")], "n string, id string, m string").write.option("header", "true").csv(f"{folder}/n")
+    got = tables.read_csv(spark, f"{folder}/n", "id string, n bigint, m int", malformed="odd")
+    assert sorted((r.id, r.n, r.m, r.odd) for r in got.collect()) == [("a", 12, 1, []), ("b", 7, None, ["m"]), ("c", None, None, ["n"]), ("d", None, 9, ["n"])]
+
+
+def test_entities_lie_in_a_bounded_number_of_files(spark, folder):
+    rows = spark.range(400).selectExpr("cast(id as string) as id", "concat('s', id % 3) as subreddit").repartition(16)
+    tables.write_entities(rows, f"{folder}/e")
+    assert tables.read_entities(spark, f"{folder}/e", rows.schema).count() == 400
+    assert all(sum(f.endswith(".json") for f in os.listdir(f"{folder}/e/subreddit=s{i}")) <= 4 for i in range(3))

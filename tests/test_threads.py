@@ -126,11 +126,25 @@ def test_copies_multiply_on_request(spark):
     assert sorted((r.post_id, r.full_conversation) for r in rows) == sorted([*expected.items(), ("p3", expected["p3"])])
 
 
-def test_copied_cycle_is_refused(spark):
-    loop = [("x", "t1_y", "b", "a", 1), ("y", "t1_x", "b", "a", 2)]
-    _, comments = frames(spark, POSTS, loop)
-    with pytest.raises(ValueError, match="cycle"):
-        threads.link_comments(comments, duplicates="repeat", max_depth=8).count()
+def test_copied_cycles_end(spark):
+    """Two comments that answer each other, held twice each, and a copy that answers its own reply."""
+    loop = [("x", "t1_y", "b", "a", 1), ("y", "t1_x", "b", "a", 2)] * 2
+    back = [("r", "t3_p1", "b", "a", 3), ("s", "t1_r", "b", "a", 4), ("r", "t1_s", "b", "a", 5)]
+    _, comments = frames(spark, POSTS, loop + back)
+    got = threads.link_comments(comments, duplicates="repeat").collect()
+    assert sorted((r.id, r.depth) for r in got) == [("r", 0), ("s", 1)]
+
+
+def test_siblings_follow_real_times(spark):
+    """Sub-second times, microseconds as numbers and decimals keep their order; null comes last."""
+    times = [0.9, 0.1, None, -1.5, 1.7e15, 3.0]
+    rows = [(f"c{i}", "t3_p1", "b", "a", t) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "id string, parent_id string, body string, author string, created double")
+    want = ["c3", "c1", "c0", "c5", "c4", "c2"]
+    casts = ["created", "cast(created as decimal(30,6))", "timestamp_micros(cast(if(created > 1e9, 1e9, created) * 1000000 as bigint))"]
+    for shown in casts:
+        tree = threads.link_comments(df.withColumn("created", F.expr(shown))).orderBy("path")
+        assert [r.id for r in tree.collect()] == want, shown
 
 
 def test_random_forest_matches_a_plain_walk(spark):
@@ -150,7 +164,7 @@ def test_random_forest_matches_a_plain_walk(spark):
     frame = frames(spark, posts, comments)
     expected = walk(posts, comments)
     assert whole(threads.compose(*frame, duplicates="none")) == expected
-    assert whole(threads.compose(*frame, hot_rows=20, part_chars=500)) == expected
+    assert whole(threads.compose(*frame, part_chars=500)) == expected
 
 
 def test_long_chain(spark):
@@ -169,10 +183,10 @@ def test_creation_time_orders_siblings_without_ord(spark):
 
 
 def test_one_hot_parent_is_spread(spark):
-    """Two thirds of the comments answer one comment; the salted join must lose none."""
+    """Two thirds of the comments answer one comment; the join must lose none."""
     hot = [("top", "t3_p1", "x", "u", 0)] + [(f"h{i}", "t1_top", "x", "u", i) for i in range(1, 400)]
     rest = [(f"r{i}", f"t1_h{i}", "x", "u", i) for i in range(1, 200)]
-    tree = threads.link_comments(spark.createDataFrame(hot + rest, COMMENT_DDL), hot_rows=50)
+    tree = threads.link_comments(spark.createDataFrame(hot + rest, COMMENT_DDL))
     assert tree.groupBy("depth").count().orderBy("depth").collect() == [(0, 1), (1, 399), (2, 199)]
 
 

@@ -18,13 +18,12 @@ from pyspark.sql import types as T
 
 from threadwarden import schemas
 from threadwarden.functions.scores import best_span
-from threadwarden.functions.text import CONTEXT_LIMIT, prompt, stable_id, token_estimate, truncated
-from threadwarden.operators.distributed import row_position, skew_join
-from threadwarden.sources.staging import stage, table_exists
+from threadwarden.functions.text import CONTEXT_LIMIT, JUDGE_LIMIT, prompt, stable_id, token_estimate, truncated
+from threadwarden.operators.distributed import row_position
+from threadwarden.sources.staging import new_stage_path, stage, table_exists
 
-# Seconds between calls, seconds before the one retry after a 429, rows per
-# batch, and the sheet name stamped on conversation results.
-CALL_PACE = 1.1
+# Seconds before the one retry after a 429, rows per batch, and the sheet name
+# stamped on conversation results.
 RETRY_WAIT = 10.0
 MAX_RETRIES = 1
 BATCH_SIZE = 50
@@ -68,20 +67,21 @@ def verdict_scorer(generate: Callable[..., str], system_instruction: str, respon
 
 
 def prepare(
-    conversations: DataFrame, text: str = "full_conversation", context_size: int = CONTEXT_LIMIT
+    conversations: DataFrame, text: str = "full_conversation", context_size: int | None = CONTEXT_LIMIT
 ) -> DataFrame:
-    """Rows with a text, cut to the model's limit: post_id, text, text_length."""
+    """Rows with a text, cut to the model's limit (None: whole): post_id, subreddit if known, text, text_length."""
+    kept = [c for c in ("post_id", "subreddit") if c in conversations.columns]
     return (
         conversations.filter(F.col(text).isNotNull())
-        .select("post_id", truncated(F.col(text), context_size).alias("text"))
+        .select(*kept, truncated(F.col(text), context_size).alias("text"))
         .withColumn("text_length", F.length("text"))
     )
 
 
 def prepare_prompts(
-    conversations: DataFrame, text: str = "full_conversation", context_size: int = CONTEXT_LIMIT
+    conversations: DataFrame, text: str = "full_conversation", context_size: int | None = JUDGE_LIMIT
 ) -> DataFrame:
-    """As ``prepare``, with the prompt that names the post."""
+    """As ``prepare``, with the prompt that names the post and the language model's larger limit."""
     return prepare(conversations, text, context_size).withColumn("prompt", prompt(F.col("post_id"), F.col("text")))
 
 
@@ -97,14 +97,17 @@ def call_scorer(
     """Send column ``send`` of each row to the scorer; adds response_json, attempts, errors.
 
     With ``tasks`` the rows are spread over that many tasks, each waiting ``pace * tasks``
-    seconds between calls, so that together they keep one call per ``pace``. A 429 is
+    seconds between calls, so that together they keep one call per ``pace``; a pace without
+    ``tasks`` would hold for each task alone and is refused. A 429 is
     retried ``max_retries`` times after ``backoff`` seconds; any other failure is not.
     Every failure is an element of ``errors``; nothing is lost silently.
 
     Save the result before using it more than once: each use of the lazy result, and each
     task that is run again, repeats its calls.
     """
-    wait = pace * tasks if tasks else pace
+    if pace and not tasks:
+        raise ValueError("pace needs tasks: the rate is kept by so many tasks together")
+    wait = pace * tasks if tasks else 0.0
     kept = items.columns
     spread = items.repartition(tasks) if tasks else items
     outcome = T.StructType.fromDDL(schemas.SCORER_OUTPUT)
@@ -129,17 +132,16 @@ def _attempt(call, value: str, wait: float, max_retries: int, backoff: float) ->
         try:
             response = call(value)
         except ScorerError as e:
-            where = "HTTP Error" if attempt == 1 else "HTTP Error on retry"
-            errors.append(_error(e.status, f"{where} {e.status}", f"Status: {e.status}, Reason: {e.reason}"))
+            errors.append(_error(e.status, f"call {attempt} refused", e.reason))
             if e.status != 429 or attempt > max_retries:
                 break
             time.sleep(backoff)
         except Exception as e:
-            errors.append(_error(None, f"Unexpected error: {type(e).__name__}", str(e)))
+            errors.append(_error(None, f"call {attempt} raised {type(e).__name__}", str(e)))
             break
         else:
             if response is None:
-                errors.append(_error(None, "Response is None", "Bad request or unknown language detected"))
+                errors.append(_error(None, "no answer", "the model returned nothing"))
             time.sleep(wait)
             return {"response_json": response, "attempts": attempt, "errors": errors}
     return {"response_json": None, "attempts": attempt, "errors": errors}
@@ -168,7 +170,8 @@ def flatten_scores(
 ) -> DataFrame:
     """Wide score rows: per attribute its summary score and the best span's begin and end.
 
-    Broken or absent responses give no row; absent attributes, spans or languages give null.
+    Broken, empty or absent responses give no row but an error row; absent attributes, spans
+    or languages give null.
     """
     usable = parsed.filter(_usable())
     scored: list[Column] = []
@@ -192,17 +195,20 @@ def flatten_scores(
 
 
 def _usable() -> Column:
-    return F.col("response_json").isNotNull() & F.col("response._corrupt_record").isNull()
+    """True for a response that scores at least one attribute, never null."""
+    scored = F.size("response.attributeScores") > 0
+    return F.col("response_json").isNotNull() & F.col("response._corrupt_record").isNull() & F.coalesce(scored, F.lit(False))
 
 
 def parse_error_rows(parsed: DataFrame) -> DataFrame:
-    """Responses that came but cannot be read, in the shape of ``error_rows`` without a time."""
-    return parsed.filter(F.col("response_json").isNotNull() & F.col("response._corrupt_record").isNotNull()).select(
+    """Responses that came but hold no scores, in the shape of ``error_rows`` without a time."""
+    broken = F.col("response._corrupt_record").isNotNull()
+    return parsed.filter(F.col("response_json").isNotNull() & ~_usable()).select(
         F.lit(None).cast("timestamp").alias("at"),
         "post_id",
         "text_length",
         F.lit(None).cast("int").alias("error_code"),
-        F.lit("JSONDecodeError").alias("message"),
+        F.when(broken, "JSONDecodeError").otherwise("no scores").alias("message"),
         F.col("response_json").alias("details"),
     )
 
@@ -222,7 +228,8 @@ def ranked_attributes(parsed: DataFrame) -> DataFrame:
     entries = F.transform(
         F.map_entries("response.attributeScores"),
         lambda e, i: F.struct(
-            (-e["value"]["summaryScore"]["value"]).alias("falling"),
+            # an attribute without a summary score comes last
+            F.coalesce(-e["value"]["summaryScore"]["value"], F.lit(float("inf"))).alias("falling"),
             i.alias("position"),
             e["key"].alias("attribute"),
             e["value"]["summaryScore"]["value"].alias("summary_score"),
@@ -255,14 +262,12 @@ def parse_verdicts(
     ``response_items`` may give the DDL of a verdict read from a response schema file.
     """
     item = response_items or schemas.verdict_type(verdict_col).simpleString()
-    listed = calls.filter(F.json_array_length("response_json") > 0).withColumn(
-        "found", F.from_json("response_json", f"array<{item}>")
-    )
-    verdicts = listed.select(
+    verdicts = _elements(calls, item).filter(F.col("verdict").isNotNull()).select(
         "post_id",
         F.col("text_length").cast("long").alias("conversation_length"),
         token_estimate(F.col("prompt"), F.col("response_json")).alias("tokens_used"),
-        F.posexplode("found").alias("position", "verdict"),
+        "position",
+        "verdict",
     )
     names = [f.name for f in T.StructType.fromDDL(item).fields if f.name != "post_id"]
     stamped = verdicts.select(
@@ -277,17 +282,39 @@ def parse_verdicts(
     return stamped.select(*wanted, *[c for c in stamped.columns if c not in wanted])
 
 
-def verdict_error_rows(calls: DataFrame) -> DataFrame:
-    """Responses that are no JSON list, in the shape of ``error_rows`` without a time."""
+def _elements(calls: DataFrame, item: str) -> DataFrame:
+    """Each element of a response list by itself: ``verdict`` is null if it is no such record."""
+    listed = calls.filter(F.json_array_length("response_json") > 0)
+    texts = F.from_json("response_json", "array<string>")
+    each = listed.select("*", F.posexplode(texts).alias("position", "element"))
+    inner = f"struct<{item[len('struct<') : -1]},_corrupt_record:string>"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = each.withColumn("found", F.from_json("element", inner, options))
+    good = F.col("element").rlike(r"^\s*\{") & F.col("found").isNotNull() & F.col("found._corrupt_record").isNull()
+    return parsed.withColumn("verdict", F.when(good, F.col("found"))).drop("found")
+
+
+def verdict_error_rows(
+    calls: DataFrame, verdict_col: str = "is_flagged", response_items: str | None = None
+) -> DataFrame:
+    """Responses that are no JSON list, and list elements that are no verdicts, in the shape of
+    ``error_rows`` without a time. So every answer ends in verdicts, errors or an empty list."""
     readable = F.coalesce(F.json_array_length("response_json") >= 0, F.lit(False))
-    return calls.filter(F.col("response_json").isNotNull() & ~readable).select(
-        F.lit(None).cast("timestamp").alias("at"),
-        "post_id",
-        "text_length",
-        F.lit(None).cast("int").alias("error_code"),
-        F.lit("JSONDecodeError").alias("message"),
-        F.col("response_json").alias("details"),
-    )
+    item = response_items or schemas.verdict_type(verdict_col).simpleString()
+
+    def shaped(rows: DataFrame, message: str, details: str) -> DataFrame:
+        return rows.select(
+            F.lit(None).cast("timestamp").alias("at"),
+            "post_id",
+            "text_length",
+            F.lit(None).cast("int").alias("error_code"),
+            F.lit(message).alias("message"),
+            F.col(details).alias("details"),
+        )
+
+    lists = shaped(calls.filter(F.col("response_json").isNotNull() & ~readable), "JSONDecodeError", "response_json")
+    bad = _elements(calls, item).filter(F.col("verdict").isNull())
+    return lists.unionByName(shaped(bad, "no verdict", "element"))
 
 
 def run_totals(calls: DataFrame) -> DataFrame:
@@ -324,7 +351,7 @@ def apply_missing_data_rules(verdicts: DataFrame, comments: DataFrame, verdict_c
     source = comments.select(
         F.col("id").alias("comment_id"), F.col("author").alias("_author"), F.col("body").alias("_body")
     ).withColumn("_found", F.lit(True))
-    joined = skew_join(verdicts, source, ["comment_id"], "left")
+    joined = verdicts.join(source, "comment_id", "left")
     no_author = F.col("user_id").isNull() | F.col("_author").isin(*DELETED) | F.col("user_id").isin("", *DELETED)
     no_comment = F.col("comment_id").isNull() | F.col("_found").isNull()
     return joined.withColumns({
@@ -342,14 +369,14 @@ def fabricated_verdicts(verdicts: DataFrame, members: DataFrame) -> DataFrame:
     """
     named = verdicts.filter(F.col("comment_id").isNotNull() & (F.col("comment_id") != NOT_AVAILABLE))
     known = members.select("post_id", F.col("id").alias("comment_id"))
-    return skew_join(named, known, ["post_id", "comment_id"], "left_anti").select(*verdicts.columns)
+    return named.join(known, ["post_id", "comment_id"], "left_anti").select(*verdicts.columns)
 
 
 def score_conversations(
     conversations: DataFrame,
     factory: ScorerFactory,
     attributes: Sequence[str] = schemas.ATTRIBUTES,
-    context_size: int = CONTEXT_LIMIT,
+    context_size: int | None = CONTEXT_LIMIT,
     **call_options,
 ) -> DataFrame:
     """Toxicity calls of a conversations table, parsed: feed to flatten_scores, error_rows."""
@@ -357,7 +384,7 @@ def score_conversations(
 
 
 def judge_conversations(
-    conversations: DataFrame, factory: ScorerFactory, context_size: int = CONTEXT_LIMIT, **call_options
+    conversations: DataFrame, factory: ScorerFactory, context_size: int | None = JUDGE_LIMIT, **call_options
 ) -> DataFrame:
     """Verdict calls of a conversations table: feed to parse_verdicts, error_rows, run_totals."""
     return call_scorer(prepare_prompts(conversations, context_size=context_size), factory, send="prompt", **call_options)
@@ -369,22 +396,35 @@ def continue_calls(
     factory: ScorerFactory,
     send: str = "text",
     retry_failed: bool = False,
-    batches: int = 1,
+    batches: int | None = None,
+    order: Sequence[Column | str] = ("post_id",),
     **call_options,
 ) -> DataFrame:
     """Call the scorer for the items not yet in the calls table at ``path``, and append them.
 
-    A run that stopped goes on where it ended; answers are saved after each of ``batches``
-    jobs, so a long, paced run should have many. With ``retry_failed`` items that so far
-    have only errors are sent again.
+    The open items are stored once, in batches by ``order`` (whose columns the items must
+    have; worst first, so that a quota cuts the least toxic), and answers are saved batch by
+    batch: a run that stopped goes on where it ended and loses one batch at most. Without
+    ``batches`` a batch holds BATCH_SIZE items, or a hundredth of them if that is more. With
+    ``retry_failed`` items that so far have only errors are sent again.
     """
     spark = items.sparkSession
     if table_exists(spark, path):
         done = spark.read.parquet(path)
         items = not_yet_done(items, done.filter(F.col("response_json").isNotNull()) if retry_failed else done)
-        # what is open now is fixed before the first batch changes the table
-        items = stage(items, "open_items") if batches > 1 else items
+    items = stage(items, "open_items")
+    keys = ["post_id", *[c for c in ("max_score",) if c in items.columns]]
+    placed = stage(row_position(items.select(*keys), order, "position"), "positions")
+    n = placed.count()
+    if batches is None:
+        batches = min(100, -(-n // BATCH_SIZE))
+    numbered = placed.select("post_id", F.expr(f"position * {max(1, batches)} div {max(1, n)}").alias("batch")).distinct()
+    folder = new_stage_path(spark, "batches")
+    items.drop("max_score").join(numbered, "post_id").write.partitionBy("batch").parquet(folder)
+    schema = T.StructType([f for f in items.schema if f.name != "max_score"])
     for number in range(batches):
-        batch = items.filter(F.pmod(F.xxhash64("post_id"), F.lit(batches)) == number) if batches > 1 else items
+        batch = spark.read.schema(schema).parquet(f"{folder}/batch={number}")
         call_scorer(batch, factory, send, **call_options).write.mode("append").parquet(path)
+    if not n and not table_exists(spark, path):
+        call_scorer(items.drop("max_score"), factory, send, **call_options).write.parquet(path)
     return spark.read.parquet(path)

@@ -1,68 +1,18 @@
-"""Joins, running totals and top-n that never put an unbounded group into one task."""
+"""Running totals, top-n and de-duplication that never put an unbounded group into one task.
+
+Joins need no helper here: adaptive execution splits the partitions of a hot key, for inner,
+left, semi and anti joins alike, and evaluates each side once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from threadwarden.sources.staging import stage
 
-# A key counts as hot above this many rows; at most MAX_HOT_KEYS of them are salted, the
-# largest first, so the broadcast list of hot keys has a fixed size limit. Keys beyond the
-# list take the ordinary shuffle: each holds less than one row in MAX_HOT_KEYS.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-SALTS = 64
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent key values; counts are pre-aggregated before they are shuffled."""
-    return (
-        df.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > hot_rows)
-        .orderBy(F.col("count").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join whose left side may hold a large share of its rows under one key.
-
-    Rows of hot keys on the left are spread over ``salts`` tasks and the matching right
-    rows are copied to each of them; every other row joins as usual. The salt is a hash of
-    the row, so that a task run again repeats it; exact copies of one row stay together
-    and are left to the adaptive skew join.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"skew_join keeps left rows in one place only for inner, left, semi and anti: {how}")
-    keys = list(on)
-    hot = F.broadcast(hot_keys(left, keys, hot_rows).withColumn("_hot", F.lit(True)))
-    hashed = [f.name for f in left.schema if not isinstance(f.dataType, T.MapType)]
-    # rows with a null key match nothing, so they may lie anywhere
-    scattered = reduce(or_, [F.col(k).isNull() for k in keys], F.coalesce(F.col("_hot"), F.lit(False)))
-    spread = F.when(scattered, F.pmod(F.xxhash64(*hashed), F.lit(salts))).otherwise(F.lit(0).cast("long"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(
-        F.array(F.lit(0).cast("long"))
-    )
-    salted_left = left.join(hot, keys, "left").withColumn("_salt", spread).drop("_hot")
-    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
-
-
 def running_total(
     df: DataFrame,
     order: Sequence[Column | str],

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadwarden.functions.clean import recent
-from threadwarden.functions.text import matched_terms, post_text, term_tokens, tokens
-from threadwarden.operators.distributed import SALTS, ranked_top_n, skew_join, top_n_per_group
+from threadwarden.functions.text import is_symbols, matched_terms, post_text, term_words, text_words
+from threadwarden.operators.distributed import ranked_top_n, top_n_per_group
 
 # Posts asked for per draw, and the sort names each listing accepts.
 POSTS_PER_DRAW = 40
@@ -41,7 +41,7 @@ def subreddit_posts(
     subreddit: str,
     now: float,
     num_posts: int = 10,
-    sort_by: str = "hot",
+    sort_by: str = "new",
     days_back: float | None = 9999,
     sort_col: str | None = None,
 ) -> DataFrame:
@@ -57,45 +57,41 @@ def with_matches(posts: DataFrame, terms: Sequence[str], into: str = "terms") ->
 
 
 def term_matches(df: DataFrame, text: Column, terms: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """(keys, term) of every term (column ``term``) found in each text; ``keys`` tell rows apart.
+    """Distinct (keys, term) of every term (column ``term``) found in a text of these keys.
 
     A list of ordinary length is held in the plan and each text is scanned where it lies.
     A longer one is joined by word, which needs a shuffle but holds no list anywhere.
     """
     listed = [r.term for r in terms.select("term").distinct().orderBy("term").limit(MAX_INLINE_TERMS + 1).collect()]
     if len(listed) <= MAX_INLINE_TERMS:
-        return df.select(*keys, F.explode(matched_terms(text, listed)).alias("term"))
+        return df.select(*keys, F.explode(matched_terms(text, listed)).alias("term")).distinct()
     return term_matches_by_join(df, text, terms, keys)
 
 
 def term_matches_by_join(df: DataFrame, text: Column, terms: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """``term_matches`` for term lists of any length: all words of a term must be met.
 
-    Common words are hot keys of the text side, which is much the larger one. So that it is
-    read only once, hot words are not counted first: every text has a salt, and the words
-    of the terms are copied to each salt.
+    Common words are hot keys of the text side; adaptive execution splits them.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != ""))
-    wanted = (
-        terms.select("term")
-        .distinct()
-        .select("term", words.alias("words"))
-        .select("term", F.size("words").alias("n_words"), F.explode("words").alias("word"))
-    )
-    salt = F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int").alias("salt")
-    occurring = df.select(*keys, salt, F.explode(F.array_distinct(tokens(text))).alias("word"))
-    copied = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    wanted = terms.select("term").distinct().select("term", term_words(F.col("term")).alias("words"))
+    wanted = wanted.select("term", F.size("words").alias("n_words"), F.explode("words").alias("word"))
+    symbols = wanted.filter(is_symbols(F.col("word"))).select(F.length("word").alias("n")).distinct().collect()
+    words = text_words(text, sorted(r.n for r in symbols))
+    # rows that share their keys are texts of their own
+    occurring = df.select(*keys, F.xxhash64(text).alias("_text"), F.explode(words).alias("word"))
     return (
-        occurring.join(copied, ["word", "salt"])
-        .groupBy(*keys, "term")
+        occurring.distinct()
+        .join(wanted, "word")
+        .groupBy(*keys, "_text", "term")
         .agg(F.count(F.lit(1)).alias("n_met"), F.first("n_words").alias("n_words"))
         .filter(F.col("n_met") == F.col("n_words"))
         .select(*keys, "term")
+        .distinct()
     )
 
 
 def search_posts(
-    posts: DataFrame, query: str, num_posts: int = 10, sort_by: str = "relevance", sort_col: str | None = None
+    posts: DataFrame, query: str, num_posts: int = 10, sort_by: str = "new", sort_col: str | None = None
 ) -> DataFrame:
     """First ``num_posts`` posts anywhere that contain every word of ``query``."""
     order = sort_order(sort_by, SEARCH_SORTS, sort_col)
@@ -109,7 +105,7 @@ def search_subreddit_posts(
     now: float,
     num_posts: int = 10,
     days_back: float | None = 9999,
-    sort_by: str = "relevance",
+    sort_by: str = "new",
     save_query: bool = False,
     sort_col: str | None = None,
 ) -> DataFrame:
@@ -120,7 +116,7 @@ def search_subreddit_posts(
 
 
 def _contains(query: str) -> Column:
-    if not term_tokens(query):
+    if not query.strip():
         return F.lit(True)
     return F.size(matched_terms(post_text(F.col("title"), F.col("selftext")), [query])) > 0
 
@@ -167,10 +163,13 @@ def gather(
     asked = draws.agg(
         F.max("requested").alias("most"), F.sum("requested").alias("total"), F.count(F.lit(1)).alias("n_draws")
     ).first()
+    ranking = ["created"] if order is None else [c for c in posts.columns if c not in ("id", "subreddit", "title", "selftext")]
     order = list(order or sort_order("new", SEARCH_SORTS))
     terms = draws.select(F.col("query").alias("term"))
+    # texts of communities that no draw asks for are not read into words
+    drawn = draws.select("subreddit").distinct()
     text = post_text(F.col("title"), F.col("selftext"))
-    matches = term_matches(posts, text, terms, ["id", "subreddit", "created"])
+    matches = term_matches(posts.join(drawn, "subreddit", "left_semi"), text, terms, ["id", "subreddit", *ranking])
     if asked.n_draws <= MAX_BROADCAST_HITS:
         draws = F.broadcast(draws)
     candidates = matches.withColumnRenamed("term", "query").join(draws, ["subreddit", "query"])
@@ -188,7 +187,7 @@ def gather(
 def stamp_comments(comments: DataFrame, stamped_posts: DataFrame, post_key: str = "post_id") -> DataFrame:
     """Comments with the term that found their post (one row per finding draw)."""
     found = stamped_posts.select(F.col("id").alias(post_key), "query").distinct()
-    return skew_join(comments.drop("query"), found, [post_key])
+    return comments.drop("query").join(found, post_key)
 
 
 def dedup_hits(hits: DataFrame, key: str = "id") -> DataFrame:
@@ -252,6 +251,6 @@ def all_user_items(
     """``user_items`` for every author, or for those in ``users`` (column ``author``), in one job."""
     order = sort_order(sort_by, USER_SORTS, sort_col)
     if users is not None:
-        items = skew_join(items, users.select("author").distinct(), ["author"], "left_semi")
+        items = items.join(users.select("author").distinct(), "author", "left_semi")
     chosen = top_n_per_group(items.filter(F.col("author").isNotNull()), ["author"], order, num_items)
     return chosen.filter(recent(F.col("created"), days_back, now))

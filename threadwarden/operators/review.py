@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadwarden.operators.distributed import skew_join
 from threadwarden.operators.gather import term_matches
 
 
@@ -53,5 +52,4 @@ def verdicts_with_source(verdicts: DataFrame, comments: DataFrame, posts: DataFr
     post_side = posts.select(
         F.col("id").alias("post_id"), F.col("title").alias("post_title"), F.col("author").alias("post_author")
     )
-    with_comment = skew_join(verdicts, comment_side, ["comment_id"], "left")
-    return skew_join(with_comment, post_side, ["post_id"], "left")
+    return verdicts.join(comment_side, "comment_id", "left").join(post_side, "post_id", "left")

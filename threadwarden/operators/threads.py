@@ -20,9 +20,10 @@ from threadwarden.functions.clean import (
     fill_posts,
     parent_key,
     parent_kind,
+    recent,
     require_columns,
 )
-from threadwarden.operators.distributed import HOT_ROWS, keep_first, running_total, skew_join
+from threadwarden.operators.distributed import keep_first, running_total
 from threadwarden.sources.staging import read_stages, stage, write_stage
 
 POST_COLUMNS = ("id", "title", "selftext", "author")
@@ -39,8 +40,6 @@ NO_COMMENTS = "No comments\n"
 
 # Threads longer than this are delivered as several rows, in order of ``part``.
 PART_CHARS = 4_000_000
-# Deepest reply chain followed when row copies are repeated (a cycle would never end).
-MAX_DEPTH = 1 << 16
 
 
 def decode_parents(comments: DataFrame) -> DataFrame:
@@ -55,7 +54,7 @@ def top_level_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """Comments that answer a known post directly."""
     direct = decode_parents(comments).filter(F.col("parent_kind") == "post").withColumnRenamed("parent_key", "post_id")
     known = posts.select(F.col("id").alias("post_id")).distinct()
-    return skew_join(direct.drop("parent_kind"), known, ["post_id"], "left_semi")
+    return direct.drop("parent_kind").join(known, "post_id", "left_semi")
 
 
 def post_header(post_id: Column, title: Column, selftext: Column, author: Column) -> Column:
@@ -90,17 +89,29 @@ def _order_columns(df: DataFrame, order: Sequence[str] | None) -> list[str]:
 
 
 def _sort_text(order: Sequence[str], df: DataFrame) -> Column:
-    """The sibling order as text that sorts the same way bytewise."""
+    """The sibling order as text that sorts the same way bytewise, null last.
+
+    Whole numbers and times (in microseconds) become 16 hex digits; other numbers keep six
+    decimals.
+    """
     parts = []
     for name in order:
         kind = dict(df.dtypes)[name]
         if kind == "string":
-            parts.append(F.concat(F.coalesce(F.col(name), F.lit("")), F.lit("\u0001")))
+            shown = F.concat(F.col(name), F.lit("\u0001"))
+        elif kind in ("tinyint", "smallint", "int", "bigint", "date") or kind.startswith("timestamp"):
+            number = F.col(name)
+            if kind == "date":
+                number = F.unix_date(number)
+            elif kind.startswith("timestamp"):
+                number = F.unix_micros(number.cast("timestamp"))
+            # flipping the sign bit makes negatives sort first
+            shown = F.lpad(F.hex(number.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
         else:
-            # epoch seconds keep microseconds; flipping the sign bit makes negatives sort first
-            number = F.col(name).try_cast("decimal(32,6)") * 1_000_000 if kind in ("double", "float") else F.col(name)
-            flipped = number.cast("long").bitwiseXOR(F.lit(-(1 << 63)))
-            parts.append(F.lpad(F.hex(F.coalesce(flipped, F.lit(-1).cast("long"))), 16, "0"))
+            # moved above zero, so that the digits sort as the numbers do
+            moved = F.col(name).try_cast("decimal(31,6)") + F.lit("1" + "0" * 24).cast("decimal(31,6)")
+            shown = F.lpad(moved.cast("string"), 33, "0")
+        parts.append(F.coalesce(F.concat(F.lit("0"), shown), F.lit("1")))
     return F.concat(*parts)
 
 
@@ -108,8 +119,6 @@ def link_comments(
     comments: DataFrame,
     order: Sequence[str] | None = None,
     duplicates: str = "first",
-    hot_rows: int = HOT_ROWS,
-    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Every comment whose ancestors end at a post id.
 
@@ -117,7 +126,7 @@ def link_comments(
     lengths of author and body. ``order`` names the columns that order siblings: ``ord``
     if present, else creation time. ``duplicates`` is "first" (one row per id), "none"
     (ids are known to be unique) or "repeat" (each row copy is visited, so copies multiply
-    along a path).
+    along a path; a path that would meet an id again is left out).
     """
     if duplicates not in ("first", "none", "repeat"):
         raise ValueError(f"Invalid duplicates value: {duplicates}")
@@ -134,6 +143,11 @@ def link_comments(
     )
     if duplicates == "first":
         narrow = keep_first(narrow, ["id"], ["sibling", "content"])
+    elif duplicates == "repeat":
+        # the first copy's text stands for the id, wherever a copy of it is shown
+        shown = ["author_chars", "body_chars", "content"]
+        first = keep_first(narrow.select("id", "sibling", *shown), ["id"], ["sibling", "content"]).drop("sibling")
+        narrow = narrow.drop(*shown).join(first, "id")
     kind, key = parent_kind(F.col("parent_id")), parent_key(F.col("parent_id"))
     own = [F.col("sibling"), F.col("id"), F.lit("\u0001")]
     if duplicates == "repeat":
@@ -148,13 +162,13 @@ def link_comments(
         F.concat(*own).alias("path"),
         "author_chars",
         "body_chars",
+        "content",
+        *([F.array("id").alias("ids")] if duplicates == "repeat" else []),
     )
     open_rows = F.count("ancestor")
     path, seen = write_stage(nodes, "links", waiting=open_rows)
-    paths, waiting, reach = [path], seen["waiting"], 1
+    paths, waiting = [path], seen["waiting"]
     while waiting:
-        if duplicates == "repeat" and reach > max_depth:
-            raise ValueError(f"Reply chain longer than {max_depth}: cycle among copied comments")
         # a row is written as linked once, and as unfinished in every table up to that one
         unfinished = read_stages(nodes, paths[-1]).filter(F.col("ancestor").isNotNull())
         known = _linked(nodes, paths).unionByName(unfinished).select(
@@ -163,13 +177,12 @@ def link_comments(
             F.col("post_id").alias("known_post"),
             F.col("depth").alias("steps"),
             F.col("path").alias("upper_path"),
+            *([F.col("ids").alias("upper_ids")] if duplicates == "repeat" else []),
         )
         unfinished = unfinished.drop("post_id")
-        joined = (
-            skew_join(unfinished, known, ["ancestor"], "inner", hot_rows)
-            if waiting > hot_rows
-            else unfinished.join(known, "ancestor")
-        )
+        joined = unfinished.join(known, "ancestor")
+        if duplicates == "repeat":
+            joined = joined.filter(~F.arrays_overlap("ids", "upper_ids"))
         step = joined.select(
             "id",
             F.col("next_ancestor").alias("ancestor"),
@@ -179,6 +192,8 @@ def link_comments(
             F.concat("upper_path", "path").alias("path"),
             "author_chars",
             "body_chars",
+            "content",
+            *([F.concat("upper_ids", "ids").alias("ids")] if duplicates == "repeat" else []),
         )
         path, seen = write_stage(step, "links", waiting=open_rows)
         paths.append(path)
@@ -186,8 +201,7 @@ def link_comments(
             # nothing finished and nothing lost its ancestor: the rest hangs on a cycle
             break
         waiting = seen["waiting"]
-        reach *= 2
-    return _linked(nodes, paths).drop("ancestor")
+    return _linked(nodes, paths).drop("ancestor", "ids")
 
 
 def _linked(nodes: DataFrame, paths: Sequence[str]) -> DataFrame:
@@ -207,7 +221,11 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
     rank = F.struct(_sort_text(ranked, posts) if ranked else F.lit(""), _content(posts))
     # staged, so that sampling the ranges of the running total does not read all posts again
     headers = stage(
-        filled.groupBy("id").agg(F.min_by(F.length(header), rank).alias("chars"), F.count(F.lit(1)).alias("copies")),
+        filled.groupBy("id").agg(
+            F.min_by(F.length(header), rank).alias("chars"),
+            F.min_by(_content(posts), rank).alias("content"),
+            F.count(F.lit(1)).alias("copies"),
+        ),
         "headers",
     )
     lines = headers.select(
@@ -217,6 +235,7 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
         F.lit(-1).alias("depth"),
         F.lit("").alias("path"),
         "chars",
+        "content",
         "copies",
         F.lit(0).alias("is_comment"),
     ).unionByName(
@@ -227,6 +246,7 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
             "depth",
             "path",
             _lines_length(F.col("author_chars"), F.col("body_chars")).alias("chars"),
+            "content",
             F.lit(0).cast("long").alias("copies"),
             F.lit(1).alias("is_comment"),
         )
@@ -250,7 +270,6 @@ def compose(
     duplicates: str = "first",
     part_chars: int = PART_CHARS,
     max_chars: int | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One conversation text per post: (post_id, part, full_conversation).
 
@@ -259,7 +278,7 @@ def compose(
     only between comments. With ``max_chars`` the result is the exact beginning of each
     text, and only the comments it needs are fetched.
     """
-    tree = link_comments(comments, order, duplicates, hot_rows)
+    tree = link_comments(comments, order, duplicates)
     return render(posts, comments, place_lines(posts, tree), order, duplicates, part_chars, max_chars)
 
 
@@ -275,30 +294,25 @@ def render(
     """Conversation texts of lines placed by ``place_lines``."""
     if max_chars is not None:
         part_chars = max(part_chars, max_chars)
-        placed = placed.filter(F.col("offset") < max_chars)
+        # stored, so that the join below knows how few lines there are
+        placed = stage(placed.filter(F.col("offset") < max_chars), "beginnings")
     placed = placed.withColumn("part", F.floor(F.col("offset") / part_chars))
     no_title = F.lit(None).cast("string").alias("title")
-    post_texts = _ranked(fill_posts(posts), order, F.lit(True), F.col("title"), F.col("selftext").alias("body"))
-    comment_texts = _ranked(fill_comments(comments), order, F.lit(False), no_title, F.col("body"))
-    texts = post_texts.unionByName(comment_texts)
-    if duplicates != "none":
-        shown = ["author", "title", "body"]
-        texts = (
-            texts.groupBy("is_post", "line_id")
-            .agg(F.min_by(F.struct(*shown), F.struct("sibling", "content")).alias("first"))
-            .select("is_post", "line_id", "first.*")
-        )
+    post_texts = _texts(fill_posts(posts), _content(posts), F.lit(True), F.col("title"), F.col("selftext").alias("body"))
+    comment_texts = _texts(fill_comments(comments), _content(comments), F.lit(False), no_title, F.col("body"))
+    # the line names the copy that stands for its id, so texts meet no aggregate
+    texts = _without_repeats(post_texts, duplicates).unionByName(_without_repeats(comment_texts, duplicates))
     is_post = F.col("depth") < 0
     lines = placed.withColumns({"is_post": is_post, "line_id": F.when(is_post, F.col("post_id")).otherwise(F.col("id"))})
     header = post_header(F.col("line_id"), F.col("title"), F.col("body"), F.col("author"))
     header = F.concat(header, F.when(F.col("n_comments") == 0, NO_COMMENTS).otherwise(""))
     reply = comment_lines(*[F.col(c) for c in ("line_id", "author", "body", "depth", "parent_comment_id")])
     parts = (
-        lines.join(texts, ["is_post", "line_id"])
+        lines.join(texts, ["is_post", "line_id", "content"])
         .withColumn("text", F.when(F.col("is_post"), header).otherwise(reply))
         .groupBy("post_id", "part")
         .agg(
-            F.expr("listagg(text, '') within group (order by path)").alias("full_conversation"),
+            F.expr("listagg(text, '') within group (order by offset)").alias("full_conversation"),
             F.max("copies").alias("copies"),
         )
     )
@@ -309,20 +323,20 @@ def render(
     return parts.select("post_id", "part", "full_conversation")
 
 
-def _ranked(df: DataFrame, order: Sequence[str] | None, is_post: Column, title: Column, body: Column) -> DataFrame:
-    """Texts with the same rank by which the narrow rows chose the row that stands for an id."""
-    ranked = _order_columns(df, order)
-    return df.filter(F.col("id").isNotNull()).select(
-        is_post.alias("is_post"),
-        F.col("id").alias("line_id"),
-        "author",
-        title,
-        body,
-        (_sort_text(ranked, df) if ranked else F.lit("")).alias("sibling"),
-        _content(df).alias("content"),
+def _texts(filled: DataFrame, content: Column, is_post: Column, title: Column, body: Column) -> DataFrame:
+    return filled.withColumn("content", content).filter(F.col("id").isNotNull()).select(
+        is_post.alias("is_post"), F.col("id").alias("line_id"), "author", title, body, "content"
     )
 
 
+def _without_repeats(texts: DataFrame, duplicates: str) -> DataFrame:
+    """One row per id and content; texts are only shuffled for it if some row is repeated."""
+    keys = ["line_id", "content"]
+    if duplicates == "none" or texts.groupBy(*keys).count().filter("count > 1").isEmpty():
+        return texts
+    return texts.dropDuplicates(keys)
+
+
 def _content(df: DataFrame) -> Column:
     return F.xxhash64(*[c for c in ("title", "selftext", "author", "body") if c in df.columns])
 
@@ -336,7 +350,8 @@ def unreached_comments(posts: DataFrame, comments: DataFrame, tree: DataFrame) -
     ids = comments.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("parent_id").alias("parent_id"))
     known = posts.select(F.col("id").alias("post_id")).distinct().withColumn("known", F.lit(True))
     homes = (
-        skew_join(tree.select("id", "post_id"), known, ["post_id"], "left")
+        tree.select("id", "post_id")
+        .join(known, "post_id", "left")
         .groupBy("id")
         .agg(F.max("known").alias("known"), F.lit(True).alias("linked"))
     )
@@ -347,8 +362,14 @@ def unreached_comments(posts: DataFrame, comments: DataFrame, tree: DataFrame) -
     )
 
 
-def comments_of_posts(tree: DataFrame, chosen: DataFrame, comments: DataFrame) -> DataFrame:
-    """All comments, at any depth, of the chosen posts (column ``id``), with their post id."""
+def comments_of_posts(
+    tree: DataFrame, chosen: DataFrame, comments: DataFrame, now: float = 0.0, days_back: float | None = None
+) -> DataFrame:
+    """The comments, at any depth, of the chosen posts (column ``id``), with their post id.
+
+    With ``days_back``, those created not longer than so many days before ``now``.
+    """
+    comments = comments.filter(recent(F.col("created"), days_back, now)) if days_back is not None else comments
     wanted = chosen.select(F.col("id").alias("post_id")).distinct()
-    members = skew_join(tree.select("id", "post_id", "depth"), wanted, ["post_id"], "left_semi")
+    members = tree.select("id", "post_id", "depth").join(wanted, "post_id", "left_semi")
     return comments.join(members, "id")

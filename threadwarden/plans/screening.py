@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadwarden import schemas
-from threadwarden.functions.text import CONTEXT_LIMIT
+from threadwarden.functions.text import CONTEXT_LIMIT, JUDGE_LIMIT
 from threadwarden.operators import assess, gather, rank, threads
 from threadwarden.sources import tables
 
@@ -38,6 +38,8 @@ class Screening:
         judge: assess.ScorerFactory | None = None,
         attributes: Sequence[str] = schemas.ATTRIBUTES,
         context_size: int = CONTEXT_LIMIT,
+        judge_context_size: int = JUDGE_LIMIT,
+        response_items: str | None = None,
         verdict_col: str = "is_flagged",
         refresh: bool = False,
         **call_options,
@@ -47,7 +49,11 @@ class Screening:
         self.toxicity = toxicity
         self.judge = judge
         self.attributes = list(attributes)
+        if max(context_size, judge_context_size) > threads.PART_CHARS:
+            raise ValueError(f"models read the first part of a conversation: at most {threads.PART_CHARS} characters")
         self.context_size = context_size
+        self.judge_context_size = judge_context_size
+        self.response_items = response_items
         self.verdict_col = verdict_col
         self.refresh = refresh
         self.call_options = call_options
@@ -82,7 +88,7 @@ class Screening:
         found = tables.materialize(self.spark, self.path("posts"), lambda: gather.dedup_hits(hits), self.refresh)
 
         def replies() -> DataFrame:
-            members = threads.comments_of_posts(threads.link_comments(comments), found, comments)
+            members = threads.comments_of_posts(threads.link_comments(comments), found, comments, now, days_back)
             term = found.select(F.col("id").alias("post_id"), "query", "subreddit")
             return members.drop("query", "subreddit").join(term, "post_id").drop("depth")
 
@@ -133,22 +139,25 @@ class Screening:
         """Send ranked conversations, else all, to the language model; save the verdicts."""
         source = tables.first_existing(self.spark, self.path("ranked"), self.path("conversations"))
         source = source.filter(F.col("part") == 0)
-        if "max_score" in source.columns and k is not None:
-            source = rank.shortlist(source, k)
+        ranked = "max_score" in source.columns
+        order = [*([F.col("max_score").desc_nulls_last()] if ranked else []), F.col("post_id")]
+        narrow = source.select("post_id", *(["max_score"] if ranked else []))
+        if ranked and k is not None:
+            narrow = rank.shortlist(narrow, k)
         if start_row:
-            order = [F.col("max_score").desc_nulls_last()] if "max_score" in source.columns else []
-            narrow = source.select("post_id", *[c for c in ("max_score",) if c in source.columns])
-            later = assess.batch_slices(narrow, [*order, "post_id"], start_row=start_row).select("post_id")
-            source = source.join(later, "post_id", "left_semi")
+            narrow = assess.batch_slices(narrow, order, start_row=start_row).drop("position", "batch")
+        # texts are joined to the ids that were chosen
+        texts = assess.prepare_prompts(source, context_size=self.judge_context_size)
         calls = assess.continue_calls(
-            assess.prepare_prompts(source, context_size=self.context_size),
+            texts.join(narrow, "post_id"),
             self.path("verdict_calls"),
             self.judge,
             send="prompt",
             retry_failed=retry_failed,
+            order=order,
             **self.call_options,
         )
-        verdicts = assess.parse_verdicts(calls, self.verdict_col)
+        verdicts = assess.parse_verdicts(calls, self.verdict_col, response_items=self.response_items)
         return tables.materialize(self.spark, self.path("verdicts"), lambda: verdicts, refresh=True)
 
     def errors(self) -> DataFrame:
@@ -157,7 +166,9 @@ class Screening:
         found = assess.error_rows(scoring).unionByName(assess.parse_error_rows(scoring)).withColumn("stage", F.lit("score"))
         if tables.table_exists(self.spark, self.path("verdict_calls")):
             judging = self.table("verdict_calls")
-            judged = assess.error_rows(judging).unionByName(assess.verdict_error_rows(judging))
+            judged = assess.error_rows(judging).unionByName(
+                assess.verdict_error_rows(judging, self.verdict_col, self.response_items)
+            )
             found = found.unionByName(judged.withColumn("stage", F.lit("judge")))
         return found
 

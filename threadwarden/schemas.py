@@ -36,7 +36,6 @@ COMMENTS = (
     "body string, downs double, created double, controversiality double, ups double, query string, "
     "perspective_id string, custom_llm_id string"
 )
-ACCOUNTS = "username string, posts string, extrimism_score double, last_updated string"
 CONFIG = (
     "subreddits array<string>, search_terms array<string>, requestedAttributes map<string,struct<scoreType:string>>"
 )

@@ -25,7 +25,9 @@ def stage_root(spark: SparkSession) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="run-"))
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-")
+        base = _local_roots[context.applicationId]
     return f"{base.rstrip('/')}/threadwarden/{context.applicationId}"
 
 

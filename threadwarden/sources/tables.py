@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,11 @@ CSV_OPTIONS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, null_tokens: Sequence[str] = NULL_TOKENS
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+    malformed: str | None = None,
 ) -> DataFrame:
     """CSV table with lower-cased header; empty and null-like cells become null.
 
@@ -36,7 +40,7 @@ def read_csv(
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = lower_header(spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path))
-    return conform(nulls_from_tokens(raw, null_tokens), wanted)
+    return conform(nulls_from_tokens(raw, null_tokens), wanted, malformed)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -52,8 +56,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.select(*flat).write.mode(mode).options(**options).option("quoteAll", "true").csv(path)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema``, in order: cast where present, null where absent."""
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _from_text(cell: Column, kind: T.DataType) -> Column:
+    """A text cell as ``kind``, null if it is none; a whole number may be written as 12.0."""
+    plain = cell.try_cast(kind)
+    if isinstance(kind, WHOLE):
+        number = cell.try_cast("double")
+        return F.coalesce(plain, F.when(number == F.floor(number), number.try_cast(kind)))
+    return plain
+
+
+def conform(df: DataFrame, schema: T.StructType, malformed: str | None = None) -> DataFrame:
+    """The columns of ``schema``, in order: cast where present, null where absent.
+
+    A text cell that is not of its column's type becomes null; with ``malformed`` a column of
+    that name lists the columns in which a row has such cells.
+    """
     present = {c.lower(): c for c in df.columns}
     types = dict(df.dtypes)
 
@@ -63,9 +83,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         source = present[field.name.lower()]
         if types[source] == "string" and isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             return F.from_json(source, field.dataType)
+        if types[source] == "string":
+            return _from_text(F.col(source), field.dataType)
         return F.col(source).cast(field.dataType)
 
-    return df.select(*[column(f).alias(f.name) for f in schema])
+    columns = [column(f).alias(f.name) for f in schema]
+    if malformed is not None:
+        texts = [f for f in schema if types.get(present.get(f.name.lower())) == "string"]
+        bad = [F.when(F.col(present[f.name.lower()]).isNotNull() & column(f).isNull(), F.lit(f.name)) for f in texts]
+        columns.append(F.array_compact(F.array(*bad)).cast("array<string>").alias(malformed))
+    return df.select(*columns)
 
 
 def append_aligned(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -83,9 +110,10 @@ def append_aligned(df: DataFrame, path: str, schema: T.StructType | None = None)
     rows.write.mode("append").parquet(path)
 
 
-def write_entities(df: DataFrame, path: str, by: str = "subreddit", mode: str = "errorifexists") -> None:
-    """One JSON record per entity, in one folder per community."""
-    df.write.mode(mode).partitionBy(by).json(path)
+def write_entities(df: DataFrame, path: str, by: str = "subreddit", mode: str = "errorifexists", files: int = 4) -> None:
+    """One JSON record per entity, in one folder per community of at most ``files`` files."""
+    share = F.pmod(F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]), F.lit(files))
+    df.repartition(F.col(by), share).write.mode(mode).partitionBy(by).json(path)
 
 
 def read_entities(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from threadwarden import schemas
+from threadwarden.functions.text import CONTEXT_LIMIT
 from threadwarden.operators import assess
 
 
@@ -23,13 +24,16 @@ def assess_stream(
     checkpoint: str,
     attributes: Sequence[str] = schemas.ATTRIBUTES,
     trigger: dict | None = None,
+    context_size: int | None = CONTEXT_LIMIT,
     **call_options,
 ) -> StreamingQuery:
     """Write ``out/scores`` and ``out/errors``, one folder per micro-batch."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         calls_path = f"{out}/calls/batch={batch_id}"
-        items = assess.prepare(batch)
+        # a model reads the beginning of a conversation, which lies in its first part
+        first = batch.filter("part = 0") if "part" in batch.columns else batch
+        items = assess.prepare(first, context_size=context_size)
         assess.call_scorer(items, factory, **call_options).write.mode("overwrite").parquet(calls_path)
         parsed = assess.parse_responses(batch.sparkSession.read.parquet(calls_path))
         assess.flatten_scores(parsed, attributes).write.mode("overwrite").parquet(f"{out}/scores/batch={batch_id}")

@@ -50,7 +50,7 @@ def test_documents_read_back_from_files(spark, encoder, folder):
     rows = [(5, "five"), (None, "null id"), (-3, None), (9, ""), (9, "again nine"), (2, "long text " * 4000)] + [(100 + i, f"doc {i}") for i in range(50)]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, start int").repartition(5)
     manifest = token_blocks.write_token_files(df, f"file://{folder}/t", lambda: token_blocks.WordEncoder(PATH), "w", 1, file_ids=300)
-    got = token_blocks.read_token_files(spark, f"file://{folder}/t", manifest, token_blocks.crc32, "bigint").collect()
+    got = token_blocks.read_token_files(spark, f"file://{folder}/t", manifest).collect()
     assert manifest.count() > 1 and len(got) == len(rows)
     at = 0
     for r in sorted(got, key=lambda r: r.start):
@@ -59,7 +59,7 @@ def test_documents_read_back_from_files(spark, encoder, folder):
     order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert order == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
     sums = lambda t: zlib.crc32(np.array(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes())
-    assert sorted((str(r.doc_id), r.summary) for r in got) == sorted((str(i), sums(t)) for i, t in rows)
+    assert sorted((str(r.doc_id), r.ids_crc32) for r in got) == sorted((str(i), sums(t)) for i, t in rows)
 
 
 def test_empty_table(spark):

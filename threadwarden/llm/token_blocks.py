@@ -14,18 +14,22 @@ u16 exceptions, packed ids, u16 positions of exceptions, packed high bits.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadwarden.llm.common import utf8, worker_store
+from threadwarden.llm.common import slices_by_bytes, utf8, worker_store
 from threadwarden.sources.staging import new_stage_path, stage
 
 BLOCK_IDS = 1024
@@ -166,33 +170,69 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
         self.pieces_of = regex.compile(self.PIECES).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _learn(self, words: set[bytes]) -> None:
-        # plain words are one piece; others may be changed by normalisation, so only ASCII is cut here
-        cut = {w: [p.encode() for p in self.pieces_of(w.decode())] for w in words if w.isascii() and not w.isalpha()}
-        pieces = list(words.difference(cut).union(*cut.values()).difference(self.words))
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)):
-                self.words[piece] = np.array(found.ids, "<u4").tobytes()
+        """Adds words to the table, by way of the pieces that the pattern cuts them into."""
+        cut, whole = {}, []
+        for word in words:
+            if word.isalpha():
+                cut[word] = (word,)
+                continue
+            text = word.decode()
+            # a word that normalisation changes is not cut before it
+            if word.isascii() or (text.lower() == text and unicodedata.is_normalized("NFC", text)):
+                cut[word] = [p.encode() for p in self.pieces_of(text)]
+            else:
+                whole.append(word)
+        pieces = list(set(itertools.chain.from_iterable(cut.values())).difference(self.words))
+        for at in range(0, len(pieces), 512):
+            self._learn_joined(pieces[at : at + 512])
+        for word in whole:
+            self.words[word] = self._whole(word).tobytes()
         for word, parts in cut.items():
-            self.words[word] = b"".join([self.words[p] for p in parts])
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [None if b"<|" in t else t.lower().split() for t in texts]
-        met = set().union(*filter(None, split))
-        missing = met.difference(self.words)
-        if len(self.words) + len(missing) > self.MAX_WORDS:
-            self.words.clear()
-            missing = met
+            if len(parts) != 1 or parts[0] != word:
+                self.words[word] = b"".join([self.words[p] for p in parts])
+
+    def _learn_joined(self, pieces: list[bytes]) -> None:
+        """One call for many pieces; each ends with the first token that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(pieces):
+            for piece in pieces:
+                self.words[piece] = self._whole(piece).tobytes()
+            return
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        for piece, i, j in zip(pieces, bounds, bounds[1:]):
+            self.words[piece] = data[i:j]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [[] if b"<|" in t else t.lower().split() for t in texts]
+        words = np.empty(sum(map(len, split)), object)
+        words[:] = list(itertools.chain.from_iterable(split))
+        # distinct words are looked up once; the ids of all words are then copied from one array
+        which, distinct = pd.factorize(words)
+        found = list(map(self.words.get, distinct))
+        missing = {w for w, ids in zip(distinct, found) if ids is None}
         if missing:
+            if len(self.words) + len(missing) > self.MAX_WORDS:
+                self.words.clear()
+                missing = set(distinct)
             self._learn(missing)
-        get = self.words.__getitem__
-        return [self._whole(t) if w is None else b"".join(map(get, w)) for w, t in zip(split, texts)]
+            found = list(map(self.words.__getitem__, distinct))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        table = np.frombuffer(b"".join(found), "<u4")
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        ids = table[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        bounds = np.r_[0, ends][np.cumsum([0, *map(len, split)])]
+        return [self._whole(t) if b"<|" in t else ids[i:j] for t, i, j in zip(texts, bounds[:-1], bounds[1:])]
 
-    def _whole(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
 
 
 # ---- writing and reading ----
@@ -207,7 +247,7 @@ def _open_store(uri: str):
 def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object], name: str, end_id: int, file_ids: int = FILE_IDS) -> DataFrame:
     """Tokenise ``docs`` into files in ``folder``; returns one row (part, seq, file, docs, ids) per file.
 
-    ``encoder()`` makes an object whose ``encode`` turns texts (bytes) into ids as bytes; each
+    ``encoder()`` makes an object whose ``encode`` turns texts (bytes) into arrays of ids; each
     Python worker keeps it under ``name``.
     Documents are sorted into ranges of doc_id, null first; each range writes its files one
     after the other, so that part, then seq, is the order of the ids. A task writes under a
@@ -219,10 +259,10 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
         store, base = _open_store(folder)
         tool = worker_store(name, encoder)
         state = {"ids": [], "counts": [], "docs": [], "n": 0, "first": 0, "seq": 0, "part": None}
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(state["ids"]), "<u4")
+            ids = np.concatenate(state["ids"])
             name = f"tokens-{state['part']:07d}-{state['seq']:05d}.pfor"
             draft = f"{base}/.{name}.{uuid.uuid4().hex}"
             with store.open_output_stream(draft) as out:
@@ -238,14 +278,13 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
                 continue
             state["part"] = batch.column("part")[0].as_py()
             doc_ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text")
-            for at in range(0, len(doc_ids), 1024):
-                for doc_id, ids in zip(doc_ids[at : at + 1024], tool.encode(utf8(texts.slice(at, 1024)))):
-                    ids += end
+            texts = utf8(batch.column("text"))
+            for part in slices_by_bytes(texts, 1 << 23):
+                for doc_id, ids in zip(doc_ids[part], tool.encode(texts[part])):
                     state["docs"].append(doc_id)
-                    state["counts"].append(len(ids) // 4)
-                    state["ids"].append(ids)
-                    state["n"] += len(ids) // 4
+                    state["counts"].append(len(ids) + 1)
+                    state["ids"] += [ids, end]
+                    state["n"] += len(ids) + 1
                     if state["n"] >= file_ids:
                         yield close()
         if state["docs"]:
@@ -272,13 +311,9 @@ def part_offsets(manifest: DataFrame) -> dict[int, int]:
     return offsets
 
 
-def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, summarise: Callable[[np.ndarray], object], summary: str) -> DataFrame:
-    """doc_id, start, n_tokens and what ``summarise`` makes of its ids (as type ``summary``), for every document."""
+def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every document in the files of ``folder``."""
     offsets = part_offsets(manifest)
-    kind = spark.createDataFrame([], f"x {summary}")
-    arrow = pa.int64() if summary == "bigint" else pa.list_(pa.int32()) if summary == "array<int>" else None
-    if arrow is None:
-        raise ValueError(f"no such summary: {kind.dtypes}")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,12 +324,12 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, summ
                 ids = [None if f & 1 else d for d, f in zip(file.docs["doc_id"].tolist(), file.docs["flags"].tolist())]
                 columns = [
                     pa.array(ids, pa.int64()), pa.array(start, pa.int64()),
-                    pa.array(file.docs["n"].astype(np.int64)), pa.array([summarise(x) for x in file.documents()], arrow),
+                    pa.array(file.docs["n"].astype(np.int64)), pa.array([crc32(x) for x in file.documents()], pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "summary"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.pfor").load(folder).select("path", "content")
-    return files.mapInArrow(read, f"doc_id bigint, start bigint, n_tokens bigint, summary {summary}")
+    return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def crc32(ids: np.ndarray) -> int:
@@ -312,7 +347,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int = 1, folder: str
     spark = docs.sparkSession
     folder = folder or new_stage_path(spark, "tokens")
     manifest = write_token_files(docs, folder, lambda: WordEncoder(tokenizer_path), f"words of {tokenizer_path}", end_id)
-    return read_token_files(spark, folder, manifest, crc32, "bigint").withColumnRenamed("summary", "ids_crc32")
+    return read_token_files(spark, folder, manifest)
 
 
 def default_tokenizer() -> str:

@@ -75,7 +75,7 @@ class Detector:
 class Measure:
     """Bytes that the toxic dictionary saves on a window; windows met before are remembered."""
 
-    MAX_WORDS = 1_000_000
+    MAX_WORDS = 400_000
 
     def __init__(self, detector: Detector):
         import zstandard

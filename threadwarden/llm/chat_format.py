@@ -100,11 +100,15 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     order = [F.col("path_score").desc(), F.col("depth").desc(), F.col("node_id")]
     chosen = ranked_top_n(leaves, ["tree_id"], order, branches, "rank")
     chosen = chosen.select("tree_id", F.col("node_id").alias("leaf_id"), "rank", "path_score", "node_id")
-    # ancestors at every distance: far jumps first, then ever nearer ones
+    # ancestors at every distance: far jumps first, then ever nearer ones; each jump is written
+    # once, so that the plan does not double with it
+    paths = [write_stage(chosen, "members")[0]]
     for jump in reversed(jumps[:-1]):
         up = jump.filter("above is not null").select("tree_id", "node_id", "above")
-        higher = chosen.join(up, ["tree_id", "node_id"]).select("tree_id", "leaf_id", "rank", "path_score", F.col("above").alias("node_id"))
-        chosen = chosen.unionByName(higher)
+        higher = read_stages(chosen, *paths).join(up, ["tree_id", "node_id"])
+        higher = higher.select("tree_id", "leaf_id", "rank", "path_score", F.col("above").alias("node_id"))
+        paths.append(write_stage(higher, "members")[0])
+    chosen = read_stages(chosen, *paths)
     return chosen.join(done.select("tree_id", "node_id", "depth"), ["tree_id", "node_id"])
 
 

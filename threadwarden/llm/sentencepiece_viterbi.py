@@ -112,18 +112,13 @@ class Model:
                     self.left[i], self.right[i] = (ids.get(h, i) for h in halves)
         self.hash = np.array([_hash(p) for p, _, _ in pieces], np.uint64)
         # merges may pass through pieces that are never the end
-        self.keys, self.ids = self._sorted(usable)
-        self.merge_keys, self.merge_ids = self._sorted(ids)
+        self.pieces = Lookup(self.hash, np.array(list(usable.values())))
+        self.merges = Lookup(self.hash, np.array(list(ids.values())))
         if not all(c in ids for p in usable for c in p):
             raise ValueError("a piece holds a character that is no piece")
         self.newline_alone = "\n" not in ids
         self.powers = np.array([pow(_BASE, n, 1 << 64) for n in range(self.longest + 1)], np.uint64)
 
-    def _sorted(self, ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        numbers = np.array(list(ids.values()))
-        order = np.argsort(self.hash[numbers])
-        return self.hash[numbers][order], numbers[order]
-
     def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """True where the merges leave pieces ``a`` and ``b`` beside each other.
 
@@ -136,7 +131,7 @@ class Model:
         # a merge across the border with a rank below this would have come first
         limit = np.full(len(at), len(self.rank) + 1)
         while len(at):
-            joined = self._look_up(self.hash[a] * self.powers[np.minimum(self.length[b], self.longest)] + self.hash[b], self.merge_keys, self.merge_ids)
+            joined = self.merges(self.hash[a] * self.powers[self.length[b]] + self.hash[b])
             joined[self.length[a] + self.length[b] > self.longest] = -1
             early = (joined >= 0) & (self.rank[joined] < limit)
             out[at[early]] = False
@@ -149,16 +144,9 @@ class Model:
             a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
         return out
 
-    @staticmethod
-    def _look_up(hashes: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Piece of each hash, -1 if there is none."""
-        at = np.searchsorted(keys, hashes)
-        at[at == len(keys)] = 0
-        return np.where(keys[at] == hashes, ids[at], -1)
-
     # ---- search ----
 
-    def search(self, words: list[str]) -> list[list[int]]:
+    def search(self, words: list[str]) -> list[np.ndarray]:
         """Piece ids of words of one length, which all advance together."""
         n, size = len(words), len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(n, size)
@@ -175,7 +163,7 @@ class Model:
             widths = np.arange(1, min(end, self.longest) + 1)
             starts = end - widths
             hashes = prefix[:, end, None] - prefix[:, starts] * self.powers[widths]
-            found = self._look_up(hashes.ravel(), self.keys, self.ids).reshape(hashes.shape)
+            found = self.pieces(hashes.ravel()).reshape(hashes.shape)
             # hashes may agree by chance, lengths then hardly
             found[self.length[found] != widths] = -1
             known = found >= 0
@@ -196,18 +184,46 @@ class Model:
             best[:, end] = value[every, pick]
             piece[:, end] = found[every, pick]
             back[:, end] = starts[pick]
-        return [self._path(word, piece[i], back[i]) for i, word in enumerate(words)]
-
-    def _path(self, word: str, piece: np.ndarray, back: np.ndarray) -> list[int]:
-        out, at = [], len(word)
-        while at:
-            p, start = int(piece[at]), int(back[at])
-            if p >= 0:
-                out.append(p)
-            else:
-                out.extend(self.byte_ids[list(reversed(word[start:at].encode()))].tolist())
-            at = start
-        return out[::-1]
+        # all words follow their back pointers together, from the end to the start
+        steps, at, live = [], np.full(n, size), every
+        while len(live):
+            steps.append((live, piece[live, at], at))
+            at = back[live, at]
+            live, at = live[at > 0], at[at > 0]
+        # the last step is the first piece
+        row, ids, ends = (np.concatenate(c[::-1]) for c in zip(*steps))
+        order = np.argsort(row, kind="stable")
+        row, ids, ends = row[order], ids[order], ends[order]
+        out = np.split(ids, np.searchsorted(row, every[1:]))
+        for i in np.unique(row[ids < 0]):
+            # characters that are no piece become their bytes
+            spelled = [
+                [p] if p >= 0 else self.byte_ids[list(words[i][end - 1].encode())] for p, end in zip(out[i], ends[row == i])
+            ]
+            out[i] = np.concatenate(spelled)
+        return out
+
+
+class Lookup:
+    """Finds pieces by the hash of their text: sorted keys behind a table of the hashes' low bits."""
+
+    BITS = 20
+
+    def __init__(self, hashes: np.ndarray, numbers: np.ndarray):
+        order = np.argsort(hashes[numbers])
+        self.keys, self.numbers = hashes[numbers][order], numbers[order]
+        self.met = np.zeros(1 << self.BITS, bool)
+        self.met[self.keys & np.uint64((1 << self.BITS) - 1)] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Piece of each hash, -1 if there is none."""
+        out = np.full(len(hashes), -1)
+        maybe = np.flatnonzero(self.met[hashes & np.uint64((1 << self.BITS) - 1)])
+        at = np.searchsorted(self.keys, hashes[maybe])
+        at[at == len(self.keys)] = 0
+        right = self.keys[at] == hashes[maybe]
+        out[maybe[right]] = self.numbers[at[right]]
+        return out
 
 
 def _hash(piece: str) -> int:
@@ -244,7 +260,21 @@ class Codec:
         self.words: dict[str, bytes] = {}
         # blanks belong to the word behind them
         alone = r"\n" if self.model.newline_alone else ""
-        self.cut = regex.compile(rf" *[^ {alone}]+|{alone or '(?!)'}| +").findall
+        self.findall = regex.compile(rf" *[^ {alone}]+|{alone or '(?!)'}| +").findall
+
+    def cut(self, text: str) -> list[str]:
+        """The words of a text, each with the blanks before it."""
+        if "  " in text or not self.model.newline_alone:
+            return self.findall(text)
+        words = []
+        for i, line in enumerate(text.split("\n")):
+            if i:
+                words.append("\n")
+            first, *rest = line.split(" ")
+            if first:
+                words.append(first)
+            words += [" " + w for w in rest]
+        return words
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; an empty text has none."""
@@ -262,8 +292,10 @@ class Codec:
             step = max(1, BATCH_WORDS * 16 // max(16, size))
             for at in range(0, len(words), step):
                 part = words[at : at + step]
-                for word, ids in zip(part, self.model.search([w.replace(" ", SPACE) for w in part])):
-                    self.words[word] = np.array(ids, "<u4").tobytes()
+                found = self.model.search([w.replace(" ", SPACE) for w in part])
+                data, bounds = np.concatenate(found).astype("<u4").tobytes(), np.cumsum([0, *map(len, found)]) * 4
+                for word, i, j in zip(part, bounds.tolist(), bounds[1:].tolist()):
+                    self.words[word] = data[i:j]
         get = self.words.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 

@@ -83,18 +83,19 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     )
     open_ = F.count("above")
     path, seen = write_stage(state, "jumps", open=open_)
-    jumps = [read_stages(state, path)]
-    # whoever has no root after more steps than there are messages is in a circle
+    jumps = [path]
+    # only messages that have not met their root go on; whoever has none after more steps than
+    # there are messages is in a circle
     while seen["open"] and 1 << (len(jumps) - 1) <= total:
-        last = jumps[-1]
-        up = last.select("tree_id", F.col("node_id").alias("above"), F.col("above").alias("next"), F.col("depth").alias("more"), F.col("total").alias("gain"))
-        state = last.join(up, ["tree_id", "above"], "left").select(
-            "tree_id", "node_id", F.col("next").alias("above"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total"),
+        waiting = read_stages(state, jumps[-1]).filter("above is not null")
+        known = read_stages(state, *jumps).filter("above is null").unionByName(waiting)
+        up = known.select("tree_id", F.col("node_id").alias("above"), F.col("above").alias("next"), F.col("depth").alias("more"), F.col("total").alias("gain"))
+        step = waiting.join(up, ["tree_id", "above"]).select(
+            "tree_id", "node_id", F.col("next").alias("above"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("gain")).alias("total")
         )
-        path, seen = write_stage(state, "jumps", open=open_)
-        jumps.append(read_stages(state, path))
-    done = jumps[-1].filter("above is null")
+        path, seen = write_stage(step, "jumps", open=open_)
+        jumps.append(path)
+    done = read_stages(state, *jumps).filter("above is null")
     parents = nodes.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct()
     leaves = done.join(parents, ["tree_id", "node_id"], "left_anti").withColumn("path_score", F.col("total") / F.col("depth"))
     order = [F.col("path_score").desc(), F.col("depth").desc(), F.col("node_id")]
@@ -104,7 +105,7 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     # once, so that the plan does not double with it
     paths = [write_stage(chosen, "members")[0]]
     for jump in reversed(jumps[:-1]):
-        up = jump.filter("above is not null").select("tree_id", "node_id", "above")
+        up = read_stages(state, jump).filter("above is not null").select("tree_id", "node_id", "above")
         higher = read_stages(chosen, *paths).join(up, ["tree_id", "node_id"])
         higher = higher.select("tree_id", "leaf_id", "rank", "path_score", F.col("above").alias("node_id"))
         paths.append(write_stage(higher, "members")[0])

@@ -91,3 +91,21 @@ def test_spelling_is_reversible_and_long_words_are_cut():
     spell = toxicity.Speller()
     assert len({spell(bytes([b])) for b in range(256)}) == 256 and len(spell(b"ab")) == 4 * toxicity.SPELLING
     assert b"".join(toxicity.windows(b"x" * 100)) == b"x" * 100
+
+
+def test_a_word_of_one_ordinary_text_stays_a_toxic_word(spark):
+    """Each bad word is in one text labelled ordinary; all of them stay words of the toxic dictionary."""
+    docs, labels, truth = labelled(spark)
+    stray = [(1000 + i, f"{text_of('en', random.Random(90 + i), 60)} {w}") for i, w in enumerate(BAD * 2)]
+    docs = docs.unionByName(spark.createDataFrame([(i, t, "s") for i, t in stray], docs.schema))
+    labels = labels.unionByName(spark.createDataFrame([(i, 0) for i, _ in stray], labels.schema))
+    detector = toxicity.learn(docs, labels, F.col("doc_id") % 3 != 1)
+    spell = toxicity.Speller()
+    assert all(spell(w.encode()) in detector.toxic for w in BAD)
+    got = [r for r in toxicity.score_documents(docs, detector).collect() if r.doc_id % 3 == 1 and r.doc_id < 1000]
+    assert sum(r.predicted == truth[r.doc_id] for r in got) >= 0.95 * len(got)
+
+
+def test_the_limit_with_fewest_errors():
+    assert toxicity._best_limit([(0.0, 0, 5), (0.0, 1, 1), (4.0, 0, 1), (6.0, 1, 3), (9.0, 1, 2)]) == (1, 5.0)
+    assert toxicity._best_limit([(3.0, 0, 5)]) == (0, 4.0)

@@ -1,7 +1,7 @@
 """Toxicity by compression distance with two zstandard dictionaries.
 
-One dictionary is trained on the words of ordinary texts, one on words that toxic texts
-repeat and ordinary texts lack. A text is scored window by window: where the toxic
+One dictionary is trained on the words of ordinary texts, one on words that a much larger
+share of the toxic texts holds than of the ordinary ones. A text is scored window by window: where the toxic
 dictionary saves more bytes than the ordinary one, the window speaks for toxicity. A window
 is one word (a piece of a very long one). zstandard needs some 15 bytes for any input, which
 would hide a match of five letters, so every byte of a window is spelled as twelve, the same
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +32,10 @@ TOXIC_SAMPLE, ORDINARY_SAMPLE = 3_000, 12_000
 CALIBRATION = 4
 # Ordinary words in the dictionary, the most frequent ones.
 ORDINARY_WORDS = 1_000
-# A toxic word has at least so many different neighbours on either side: one more for every
-# 70 toxic texts that are read, up to the second number.
-FEW_NEIGHBOURS, MANY_NEIGHBOURS, TEXTS_PER_NEIGHBOUR = 3, 6, 70
+# Limits that are tried for toxic words: the log odds of the shares of toxic and of ordinary
+# texts that hold the word, less DEVIATIONS of its standard errors. The calibration part decides.
+WORD_LIMITS = (1.0, 1.5, 2.0, 2.5, 3.0)
+DEVIATIONS = 2.0
 FAMILY_KEYS = 4
 SPELLING = 12
 WINDOW_BYTES = 32
@@ -167,20 +168,25 @@ def _one_of_each_family(sample: DataFrame) -> DataFrame:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per word, its number in ordinary texts and the texts of either kind that hold it."""
     for batch in batches:
-        for part in slices_by_bytes(texts := utf8(batch.column("text"))):
-            found = Counter(w for t in texts[part] for w in windows(t))
-            yield pa.RecordBatch.from_arrays([binary_column(list(found)), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+        texts, kinds = utf8(batch.column("text")), batch.column("toxic").to_pylist()
+        for part in slices_by_bytes(texts):
+            n, held = Counter(), (Counter(), Counter())
+            for text, toxic in zip(texts[part], kinds[part]):
+                words = windows(text)
+                held[toxic].update(set(words))
+                if not toxic:
+                    n.update(words)
+            found = list(held[0] | held[1])
+            counts = [pa.array([c[w] for w in found], pa.int64()) for c in (n, *held)]
+            yield pa.RecordBatch.from_arrays([binary_column(found), *counts], ["word", "n", "ordinary", "toxic"])
 
 
-def _word_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices_by_bytes(texts := utf8(batch.column("text"))):
-            found = set()
-            for t in texts[part]:
-                words = windows(t)
-                found.update(zip(words, [b"", *words[:-1]], [*words[1:], b""]))
-            yield pa.RecordBatch.from_arrays([binary_column(list(c)) for c in zip(*found)] if found else [pa.array([], pa.binary())] * 3, ["word", "before", "behind"])
+def word_odds(toxic: Column, ordinary: Column, n_toxic: int, n_ordinary: int) -> Column:
+    """The lower end of the log odds of a word that so many toxic and ordinary texts hold."""
+    shares = F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((ordinary + 0.5) / (n_ordinary + 1))
+    return shares - DEVIATIONS * F.sqrt(1 / (toxic + 0.5) + 1 / (ordinary + 0.5))
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
@@ -188,38 +194,55 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
 
     ``usable`` tells which label rows may be learned from. A document labelled both ways
     counts as toxic. Without labels of either kind every score will be 0. Words come to the
-    driver, not texts: the most frequent ordinary ones and those that only toxic texts repeat.
+    counts as toxic. Without labels of either kind every score will be 0. Words come to the
+    driver, not texts: the most frequent ordinary ones and those above the least of WORD_LIMITS.
+    The limit with the fewest errors on the calibration part is taken, the higher one of equals.
     """
     sample = labelled_sample(docs, labels, usable)
     train = sample.filter("part > 0").select("text", "toxic")
-    n_toxic = train.filter("toxic = 1").count()
-    ordinary = train.filter("toxic = 0").select("text").mapInArrow(_word_counts, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    ordinary = stage(ordinary, "ordinary")
-    spread = train.filter("toxic = 1").select("text").mapInArrow(_word_neighbours, "word binary, before binary, behind binary")
-    least = min(MANY_NEIGHBOURS, FEW_NEIGHBOURS + n_toxic // TEXTS_PER_NEIGHBOUR)
-    repeated = spread.groupBy("word").agg(F.countDistinct("before").alias("before"), F.countDistinct("behind").alias("behind"))
-    repeated = repeated.filter(F.least("before", "behind") >= least).join(ordinary, "word", "left_anti")
-    toxic = [bytes(r["word"]) for r in repeated.orderBy(F.least("before", "behind"), "word").collect()]
-    common = [bytes(r["word"]) for r in ordinary.orderBy(F.col("n").desc(), "word").limit(ORDINARY_WORDS).collect()]
-    if not toxic or not common:
+    sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    words = train.mapInArrow(_word_counts, "word binary, n bigint, ordinary bigint, toxic bigint")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    odds = word_odds(F.col("toxic"), F.col("ordinary"), sizes.get(1, 0), sizes.get(0, 0))
+    words = stage(words.withColumn("odds", odds), "words")
+    named = [(r["odds"], bytes(r["word"])) for r in words.filter(F.col("odds") > WORD_LIMITS[0]).orderBy("odds", "word").collect()]
+    common = words.filter((F.col("odds") <= WORD_LIMITS[0]) & (F.col("n") > 0))
+    common = [bytes(r["word"]) for r in common.orderBy(F.col("n").desc(), "word").limit(ORDINARY_WORDS).collect()]
+    if not named or not common:
         return Detector(b"", b"")
-    detector = Detector(train_dictionary(common[::-1]), train_dictionary(toxic))
-    seen = measure(sample.filter("part = 0"), detector, ("toxic",)).groupBy("toxic", "saving").count().collect()
-    return Detector(detector.ordinary, detector.toxic, _best_limit([(r["saving"], r["toxic"], r["count"]) for r in seen]))
-
-
-def _best_limit(counts: list[tuple[float, int, int]]) -> float:
-    """The saving above which texts are toxic with the fewest errors, in the middle of the gap."""
-    values = sorted({0.0, *(s for s, _, _ in counts)})
-    above = values[1:] + [values[-1] + 2.0]
-    best = None
-    for low, high in zip(values, above):
-        errors = sum(n for s, toxic, n in counts if (s >= high) != (toxic == 1))
+    ordinary = train_dictionary(common[::-1])
+    calibration, best = sample.filter("part = 0"), None
+    for least in WORD_LIMITS[::-1]:
+        toxic = [word for odds, word in named if odds > least]
+        if not toxic:
+            continue
+        errors, found = _calibrated(Detector(ordinary, train_dictionary(toxic)), calibration)
         if best is None or errors < best[0]:
-            best = (errors, (low + high) / 2)
+            best = (errors, found)
     return best[1]
 
 
+def _calibrated(detector: Detector, calibration: DataFrame) -> tuple[int, Detector]:
+    """The detector with its limit, and the texts of ``calibration`` it is wrong about."""
+    seen = measure(calibration, detector, ("toxic",)).groupBy("toxic", "saving").count().collect()
+    errors, limit = _best_limit([(r["saving"], r["toxic"], r["count"]) for r in seen])
+    return errors, replace(detector, limit=limit)
+
+
+def _best_limit(counts: list[tuple[float, int, int]]) -> tuple[int, float]:
+    """The fewest errors, and the saving above which texts are toxic for that, in the middle of the gap."""
+    at = Counter()
+    for saving, toxic, n in counts:
+        at[saving] += n if toxic == 1 else -n
+    values = sorted({0.0, *at})
+    errors, best = sum(n for _, toxic, n in counts if toxic != 1), None
+    for low, high in zip(values, values[1:] + [values[-1] + 2.0]):
+        errors += at[low]  # texts of this saving are not toxic from here on
+        if best is None or errors < best[0]:
+            best = (errors, (low + high) / 2)
+    return best
+
+
 # ---- scoring ----
 
 

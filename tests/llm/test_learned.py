@@ -109,3 +109,21 @@ def test_a_word_of_one_ordinary_text_stays_a_toxic_word(spark):
 def test_the_limit_with_fewest_errors():
     assert toxicity._best_limit([(0.0, 0, 5), (0.0, 1, 1), (4.0, 0, 1), (6.0, 1, 3), (9.0, 1, 2)]) == (1, 5.0)
     assert toxicity._best_limit([(3.0, 0, 5)]) == (0, 4.0)
+
+
+def test_all_windows_count_and_length_lowers_the_score(spark):
+    docs, labels, _ = labelled(spark)
+    detector = toxicity.learn(docs, labels, F.lit(True))
+    clean = text_of("en", random.Random(77), 3_000)
+    bad = " ".join(BAD[:2])
+    texts = [f"{bad} {clean[:400]}", f"{bad} {clean[:400]} {clean}", f"{bad} {bad} {bad} {clean[:400]}"]
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    short, long, often = [r.score for r in sorted(toxicity.score_documents(odd, detector).collect())]
+    assert long < short < often
+
+
+def test_no_cut_of_a_long_word_hides_a_match():
+    for at in range(200):
+        pieces = toxicity.overlapping(b"x" * at + b"scumbag" + b"y" * (200 - at))
+        assert any(b"scumbag" in p for p in pieces) and max(map(len, pieces)) <= toxicity.WINDOW_BYTES
+    assert toxicity.overlapping(b"Some words") == [b"some", b"words"]

@@ -6,8 +6,9 @@ dictionary saves more bytes than the ordinary one, the window speaks for toxicit
 is one word (a piece of a very long one). zstandard needs some 15 bytes for any input, which
 would hide a match of five letters, so every byte of a window is spelled as twelve, the same
 way in the dictionaries: known words still cost one match, unknown ones twelve times as much.
-The two largest savings of a text make its score, by thresholds found on labelled texts that
-the dictionaries have not seen.
+Two figures make the score of a text: its two largest savings, and the savings of all its
+windows, repeated ones too, per window, so that ordinary words added to a text lower it. Their
+weights and the threshold are found on labelled texts that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -53,6 +54,15 @@ def windows(text: bytes) -> list[bytes]:
     return [w[i : i + WINDOW_BYTES] for w in words for i in range(0, len(w), WINDOW_BYTES)]
 
 
+def overlapping(text: bytes) -> list[bytes]:
+    """Words of the text as they are scored: pieces of long ones overlap by half, so that no cut hides a match."""
+    words = text.lower().split()
+    if all(len(w) <= WINDOW_BYTES for w in words):
+        return words
+    step = WINDOW_BYTES // 2
+    return [w[i : i + WINDOW_BYTES] for w in words for i in range(0, max(1, len(w) - step), step)]
+
+
 class Speller:
     """Spells every byte of a window as SPELLING bytes that no other byte has in their places."""
 
@@ -66,11 +76,13 @@ class Speller:
 
 @dataclass(frozen=True)
 class Detector:
-    """Two dictionaries, and the saving at which a text counts as toxic."""
+    """Two dictionaries, the weights of the two figures, and the weighted sum at which a text counts as toxic."""
 
     ordinary: bytes
     toxic: bytes
     limit: float = 0.0
+    peak: float = 1.0
+    rate: float = 0.0
 
 
 class Measure:
@@ -93,18 +105,20 @@ class Measure:
         self.by_ordinary, self.by_toxic = compressor(detector.ordinary), compressor(detector.toxic)
         self.known: dict[bytes, int] = {}
 
-    def savings(self, texts: list[bytes]) -> np.ndarray:
-        """The sum of the two largest savings among the different windows of each text, at least 0."""
-        split = [set(windows(t)) for t in texts]
+    def figures(self, texts: list[bytes]) -> np.ndarray:
+        """Per text, the two largest savings among its different windows, and all savings per window."""
+        split = [overlapping(t) for t in texts]
         if len(self.known) > self.MAX_WORDS:
             self.known.clear()
         for window in set().union(*split).difference(self.known):
             spelled = self.spell(window)
             self.known[window] = len(self.by_ordinary(spelled)) - len(self.by_toxic(spelled))
-        out = np.zeros(len(texts))
+        out = np.zeros((len(texts), 2))
         for i, found in enumerate(split):
-            best = sorted(map(self.known.__getitem__, found))[-2:]
-            out[i] = sum(x for x in best if x > 0)
+            savings = list(map(self.known.__getitem__, found))
+            if savings and max(savings) > 0:
+                best = sorted(map(self.known.__getitem__, set(found)))[-2:]
+                out[i] = sum(x for x in best if x > 0), sum(x for x in savings if x > 0) / len(savings)
         return out
 
 
@@ -223,10 +237,38 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
 
 
 def _calibrated(detector: Detector, calibration: DataFrame) -> tuple[int, Detector]:
-    """The detector with its limit, and the texts of ``calibration`` it is wrong about."""
-    seen = measure(calibration, detector, ("toxic",)).groupBy("toxic", "saving").count().collect()
-    errors, limit = _best_limit([(r["saving"], r["toxic"], r["count"]) for r in seen])
-    return errors, replace(detector, limit=limit)
+    """The detector with weights and limit, and the texts of ``calibration`` it is wrong about."""
+    seen = measure(calibration, detector, ("toxic",), keep=False).groupBy("toxic", "peak", "rate").count().collect()
+    seen = sorted((r["peak"], r["rate"], r["toxic"], r["count"]) for r in seen)
+    if not seen:
+        return 0, replace(detector, limit=1.0)
+    figures = np.array([r[:2] for r in seen])
+    peak, rate = _weights(figures, np.array([r[2] for r in seen]), np.array([r[3] for r in seen]))
+    found = replace(detector, peak=peak, rate=rate)
+    errors, limit = _best_limit([(peak * p + rate * r, toxic, n) for p, r, toxic, n in seen])
+    return errors, replace(found, limit=limit)
+
+
+def _weights(figures: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Weights of the figures by logistic regression, none below 0: of both, or of the one that fits better."""
+
+    def fitted(columns: list[int]) -> tuple[float, np.ndarray]:
+        spread = np.maximum(figures[:, columns].std(axis=0), 1e-9)
+        x = np.c_[figures[:, columns] / spread, np.ones(len(figures))]
+        at, small = np.zeros(x.shape[1]), np.diag([0.1] * len(columns) + [1e-3])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+            step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + small, x.T @ (n * (toxic - p)) - small @ at)
+            at += np.clip(step, -2, 2)
+        p = np.clip(1 / (1 + np.exp(-np.clip(x @ at, -30, 30))), 1e-12, 1 - 1e-12)
+        weights = np.zeros(2)
+        weights[columns] = at[:-1] / spread
+        return float(-(n * np.where(toxic == 1, np.log(p), np.log(1 - p))).sum()), weights
+
+    tried = [fitted(c) for c in ([0, 1], [0], [1])]
+    good = [t for t in tried if (t[1] >= 0).all() and t[1].any()]
+    found = min(good, key=lambda t: t[0])[1] if good else np.array([1.0, 0.0])
+    return float(found[0]), float(found[1])
 
 
 def _best_limit(counts: list[tuple[float, int, int]]) -> tuple[int, float]:
@@ -246,25 +288,28 @@ def _best_limit(counts: list[tuple[float, int, int]]) -> tuple[int, float]:
 # ---- scoring ----
 
 
-def measure(docs: DataFrame, detector: Detector, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row with the saving of its whole text."""
+def measure(docs: DataFrame, detector: Detector, columns: tuple[str, ...] = ("doc_id",), keep: bool = True) -> DataFrame:
+    """``columns`` of every row with the peak, the rate and the saving, their weighted sum, of its whole text.
+
+    With ``keep``, workers keep the windows they have met for later tasks.
+    """
     name = f"toxicity {hash((detector.ordinary, detector.toxic))}"
 
     def measured(batches):
-        tool = worker_store(name, lambda: Measure(detector))
+        tool = worker_store(name, lambda: Measure(detector)) if keep else Measure(detector)
         for batch in batches:
             texts = utf8(batch.column("_text"))
-            found = [tool.savings(texts[part]) for part in slices_by_bytes(texts)]
+            found = [tool.figures(texts[part]) for part in slices_by_bytes(texts)]
+            peak, rate = np.concatenate(found).T if found else np.empty((2, 0))
             rest = batch.drop_columns(["_text"])
-            yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(np.concatenate(found) if found else np.empty(0))], [*rest.schema.names, "saving"]
-            )
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(peak), pa.array(rate)], [*rest.schema.names, "peak", "rate"])
 
     narrow = docs.select(*columns, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if f.name != "_text")
     if not detector.toxic:
-        return narrow.drop("_text").withColumn("saving", F.lit(0.0))
-    return narrow.mapInArrow(measured, f"{schema}, saving double")
+        return narrow.drop("_text").withColumns({c: F.lit(0.0) for c in ("peak", "rate", "saving")})
+    found = narrow.mapInArrow(measured, f"{schema}, peak double, rate double")
+    return found.withColumn("saving", detector.peak * F.col("peak") + detector.rate * F.col("rate"))
 
 
 def score_documents(docs: DataFrame, detector: Detector) -> DataFrame:
@@ -276,7 +321,7 @@ def score_documents(docs: DataFrame, detector: Detector) -> DataFrame:
     found = measure(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), detector)
     # THRESHOLD at the limit
     odds = math.log(THRESHOLD / (1 - THRESHOLD))
-    score = 1 / (1 + F.exp(-((F.col("saving") - detector.limit) / 2 + odds))) if detector.toxic else F.lit(0.0)
+    score = 1 / (1 + F.exp(-(F.col("saving") - detector.limit + odds))) if detector.toxic else F.lit(0.0)
     return found.select("doc_id", score.alias("score"), _is_toxic(detector).cast("int").alias("predicted"))
 
 

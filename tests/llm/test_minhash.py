@@ -122,3 +122,12 @@ def test_runs_are_whole():
         tables = [t.column("k").to_pylist() for t in common.runs(iter(parts), "k")]
         assert sum(tables, []) == keys
         assert all(not set(x) & set(y) for i, x in enumerate(tables) for y in tables[:i])
+
+
+def test_a_pair_at_the_limit_whose_signatures_differ_in_many_slots(spark):
+    """Similarity 0.8; 25 of 64 slots differ, nearly twice the mean."""
+    rows = [(i, " ".join(f"s518x{k}" for k in r)) for i, r in enumerate((range(90), range(10, 100)))]
+    scheme = minhash.Scheme(words=1)
+    a, b = scheme.signatures([minhash.shingle_set(text.encode(), 1) for _, text in rows])
+    assert (a != b).sum() == 25
+    assert found(frame(spark, rows), 1) == brute(rows, 1)

@@ -49,14 +49,14 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 class Scheme:
     """What is linked, and how signatures are filed.
 
-    ``distance`` 23 of 64 slots: a pair of similarity 0.8 differs in 12.8 slots on average
-    and in more than 23 with a probability of 0.0005; more similar pairs hardly ever do.
+    ``distance`` 31 of 64 slots: a pair of similarity 0.8 differs in 12.8 slots on average
+    and in more than 31 with a probability of 8.2e-08; more similar pairs hardly ever do.
     """
 
     words: int = 5
     percent: int = 80
     slots: int = 64
-    distance: int = 23
+    distance: int = 31
     chunk_errors: int = 1
     chunks: list[np.ndarray] = field(init=False, repr=False, compare=False)
     keys: list[tuple[int, np.ndarray]] = field(init=False, repr=False, compare=False)

@@ -66,3 +66,21 @@ def test_conversations_read_back(spark):
     assert (got["1"].loss_chars, got["1"].loss_sha256) == (1, sha("b"))
     assert (got["2"].loss_chars, got["2"].loss_sha256, got["2"].formatted_chars) == (70_000, sha("é" * 70_000), 70_017)
     assert (got[""].n_turns, got[""].loss_chars) == (1, 0)
+
+
+def test_long_conversations_are_stored_in_parts(spark):
+    turns = [("assistant" if i % 2 else "user", f"{i} [INST] </s> é" * 6_000) for i in range(30)]
+    rows = [(c, i, role, text) for c in (1, 2) for i, (role, text) in enumerate(turns[: 30 if c == 1 else 2])]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = chat_format.format_trees(chat_format.conversation_trees(df))
+    for c in (1, 2):
+        of_c = [t for i, _, *t in rows if i == c]
+        whole, spans = chat_format.format_turns([tuple(t) for t in of_c])
+        parts = sorted((r for r in found.collect() if r.tree_id == str(c)), key=lambda r: r.part)
+        assert max(len(r.formatted) for r in parts) < 500_000 and "".join(r.formatted for r in parts) == whole
+        assert [(r.start + s.begin, r.start + s.end) for r in parts for s in r.loss_spans] == spans
+        got = [r for r in chat_format.read_back(found).collect() if r.tree_id == str(c)]
+        text = "".join(f"{role}\n{body}\n" for role, body in of_c)
+        loss = "".join(body for role, body in of_c if role == "assistant")
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (text, loss)]
+        assert [tuple(r)[1:] for r in got] == [(len(of_c), sha[0], len(loss), sha[1], len(whole))]

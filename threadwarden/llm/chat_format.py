@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadwarden.llm.common import first_of_repeats
-from threadwarden.operators.distributed import ranked_top_n, row_position
+from threadwarden.operators.distributed import ranked_top_n, row_position, running_total
 from threadwarden.sources.staging import read_stages, stage, write_stage
 
 # Template: <s>role, a line break, the text (between [INST] and [/INST] for users), </s>.
 TURN, END = "<s>", "</s>"
 ASK, ASKED = "[INST] ", " [/INST]"
 USER, TRAINED = "user", "assistant"
+# Characters of a path that are stored in one row, about: whole turns that begin in them.
+PART_CHARS = 1 << 18
 
 
 # ---- one text ----
@@ -114,55 +116,86 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
 
 def format_trees(messages: DataFrame, branches: int = 1, trained: str = TRAINED) -> DataFrame:
-    """One row per chosen path: tree_id, leaf_id, rank, path_score, formatted and loss_spans.
+    """The chosen paths: tree_id, leaf_id, rank, path_score, part, start, formatted and loss_spans.
 
     ``messages``: tree_id, node_id, parent_id, role, text, score. Null roles and texts count
     as empty. Of rows repeated under one tree_id and node_id one counts, whichever; rows
-    without either id are left out. loss_spans are [begin, end) in code points, one for each
-    text of the ``trained`` role. An empty table gives no rows; other columns are not read.
+    without either id are left out. A path is one row, part 0, up to about PART_CHARS
+    characters; longer ones are several rows of whole turns, whose texts in order of part are
+    the text of the path. start is the place of the part in it. loss_spans are [begin, end) in
+    code points of the part, one for each text of the ``trained`` role. An empty table gives no
+    rows; other columns are not read.
     """
     messages = messages.select("tree_id", "node_id", "parent_id", "role", "text", "score").filter("tree_id is not null and node_id is not null")
     messages = first_of_repeats(stage(messages, "messages"), ["tree_id", "node_id"])
     paths = best_paths(messages, branches)
     texts = messages.select("tree_id", "node_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = paths.join(texts, ["tree_id", "node_id"]).groupBy("tree_id", "leaf_id", "rank", "path_score").agg(
-        F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns")
-    )
+    turns = paths.join(texts, ["tree_id", "node_id"]).select("tree_id", "leaf_id", "rank", "path_score", "depth", "role", "text")
 
     def formatted(batches):
         for batch in batches:
-            out = [format_turns([(t["role"], t["text"]) for t in turns.as_py()], trained) for turns in batch.column("turns")]
-            spans = [[{"begin": a, "end": b} for a, b in s] for _, s in out]
-            rest = batch.drop_columns(["turns"])
-            kinds = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
-            columns = [*rest.columns, pa.array([t for t, _ in out], pa.string()), pa.array(spans, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, [*rest.schema.names, "formatted", "loss_spans"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in turns.schema if f.name != "turns")
-    return turns.mapInArrow(formatted, f"{schema}, formatted string, loss_spans array<struct<begin:int,end:int>>")
+            out = [format_turns([turn], trained) for turn in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())]
+            begin, end = ([spans[0][k] if spans else None for _, spans in out] for k in (0, 1))
+            columns = [pa.array([t for t, _ in out], pa.string()), pa.array([len(t) for t, _ in out], pa.int64())]
+            columns += [pa.array(x, pa.int64()) for x in (begin, end)]
+            rest = batch.drop_columns(["role", "text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *columns], [*rest.schema.names, "formatted", "chars", "begin", "end"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in turns.schema if f.name not in ("role", "text"))
+    turns = stage(turns.mapInArrow(formatted, f"{schema}, formatted string, chars bigint, begin bigint, end bigint"), "turns")
+    path = ["tree_id", "leaf_id"]
+    placed = running_total(turns.select(*path, "depth", "chars"), ["depth"], F.col("chars"), "at", path, null_groups=False)
+    placed = turns.join(placed.select(*path, "depth", "at"), [*path, "depth"]).withColumn("part", F.floor(F.col("at") / PART_CHARS))
+    parts = placed.groupBy(*path, "rank", "path_score", "part").agg(
+        F.min("at").alias("start"), F.sort_array(F.collect_list(F.struct("depth", "at", "formatted", "begin", "end"))).alias("turns")
+    )
+    spans = F.transform(
+        F.filter("turns", lambda t: t["begin"].isNotNull()),
+        lambda t: F.struct(*[(t["at"] - F.col("start") + t[c]).cast("int").alias(c) for c in ("begin", "end")]),
+    )
+    whole = F.array_join(F.col("turns.formatted"), "")
+    return parts.select(*path, "rank", "path_score", "part", "start", whole.alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """tree_id with digests of what the formatted texts hold, see the columns below."""
+    """tree_id with digests of what the formatted texts hold, see the columns below.
 
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
+    The parts of a path come sorted and are digested one after the other; none waits for the next.
+    """
 
     def read(batches):
+        path = None
         for batch in batches:
             rows = []
-            for text, spans in zip(batch.column("formatted").to_pylist(), batch.column("loss_spans").to_pylist()):
-                turns = parse_turns(text)
-                loss = "".join(unescape(text[s["begin"] : s["end"]]) for s in spans)
-                rows.append((len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss), len(text)))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)]
-            names = ["tree_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            yield pa.RecordBatch.from_arrays([batch.column("tree_id"), *columns], names)
+            for tree_id, leaf_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("tree_id", "leaf_id", "formatted", "loss_spans"))):
+                if path != (tree_id, leaf_id):
+                    if path is not None:
+                        rows.append((path[0], *digests()))
+                    path, n_turns, loss_chars, chars, of_turns, of_loss = (tree_id, leaf_id), 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                digests = lambda: (n_turns, of_turns.hexdigest(), loss_chars, of_loss.hexdigest(), chars)
+                for role, body in parse_turns(text):
+                    n_turns += 1
+                    of_turns.update(f"{role}\n{body}\n".encode())
+                for span in spans:
+                    loss = unescape(text[span["begin"] : span["end"]])
+                    loss_chars += len(loss)
+                    of_loss.update(loss.encode())
+                chars += len(text)
+            yield table(rows, batch.schema.field("tree_id").type)
+            kind_of_id = batch.schema.field("tree_id").type
+        if path is not None:
+            yield table([(path[0], *digests())], kind_of_id)
+
+    def table(rows, kind_of_id):
+        kinds = (kind_of_id, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+        names = ["tree_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)], names)
 
     kind = formatted.schema["tree_id"].dataType.simpleString()
     schema = f"tree_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return formatted.select("tree_id", "formatted", "loss_spans").mapInArrow(read, schema)
+    parts = formatted.select("tree_id", "leaf_id", "part", "formatted", "loss_spans").repartition("tree_id", "leaf_id")
+    parts = parts.sortWithinPartitions("tree_id", "leaf_id", "part")
+    return parts.select("tree_id", "leaf_id", "formatted", "loss_spans").mapInArrow(read, schema)
 
 
 def conversation_trees(conversations: DataFrame) -> DataFrame:

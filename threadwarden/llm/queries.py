@@ -11,9 +11,12 @@ from threadwarden.llm import (
     chat_format,
     exact_dedup,
     language_id,
+    merkle_manifest,
     minhash,
     mixing,
     sentencepiece_viterbi,
+    sharding,
+    token_alignment,
     token_blocks,
     topk_search,
     toxicity,
@@ -210,3 +213,105 @@ def chat_format_query(spark, sf_dir):
     found = chat_format.read_back(chat_format.format_trees(chat_format.conversation_trees(rows)))
     conv_id = F.when(F.col("tree_id") != "", F.col("tree_id").cast("bigint"))
     return found.select(conv_id.alias("conv_id"), *[c for c in found.columns if c != "tree_id"])
+
+
+# The CRC-32 of a string, byte by byte: DuckDB has no function for it.
+_CRC_OF_BYTE = []
+for _n in range(256):
+    for _ in range(8):
+        _n = _n >> 1 ^ 0xEDB88320 * (_n & 1)
+    _CRC_OF_BYTE.append(_n)
+
+
+def _crc32(text: str) -> str:
+    bytes_ = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda d: ('0x' || d)::BIGINT)"
+    step = f"lambda c, d: xor(c >> 8, ({_CRC_OF_BYTE}::BIGINT[])[(xor(c, d) & 255) + 1])"
+    return f"CASE WHEN coalesce({text}, '') = '' THEN 0::BIGINT ELSE xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295) END"
+
+
+def _h(text: str) -> str:
+    return f"coalesce(strlen({text}::VARCHAR) || ':' || {text}::VARCHAR, '-')"
+
+
+_CELLS = " || ".join(_h(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, sha256({_CELLS} || {_h("text")}) AS leaf, sha256({_CELLS} || {_h("given")}) AS claim,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+        FROM (SELECT *, CASE WHEN ({_crc32("doc_id::VARCHAR")}) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS given FROM documents)),
+    -- the tree of every source: nodes by level, each with the number of nodes of its level
+    t AS (SELECT source, 0 AS level, pos, n, leaf AS h FROM d
+          UNION ALL
+          SELECT source, level + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos))
+          FROM t WHERE n > 1 GROUP BY source, level, pos // 3),
+    roots AS (SELECT source, h AS subroot, level AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+              FROM t WHERE n = 1),
+    u AS (SELECT 0 AS level, place AS pos, n, subroot AS h FROM roots
+          UNION ALL
+          SELECT level + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 3),
+    -- what stands to the left and right of every node below its parent
+    b AS (SELECT x.source, x.level, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+                 coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+          FROM t AS x LEFT JOIN t AS y ON x.source IS NOT DISTINCT FROM y.source AND x.level = y.level AND x.pos // 3 = y.pos // 3 AND x.pos <> y.pos
+          WHERE x.n > 1 GROUP BY ALL),
+    c AS (SELECT x.level, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS l,
+                 coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS r
+          FROM u AS x LEFT JOIN u AS y ON x.level = y.level AND x.pos // 3 = y.pos // 3 AND x.pos <> y.pos WHERE x.n > 1 GROUP BY ALL),
+    -- both parts of a path in one numbering
+    path AS (SELECT d.doc_id, d.source, b.level, b.l, b.r
+             FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source AND b.pos = d.pos // pow(3, b.level)::BIGINT
+             UNION ALL
+             SELECT d.doc_id, d.source, roots.top + c.level, c.l, c.r
+             FROM d JOIN roots ON d.source IS NOT DISTINCT FROM roots.source JOIN c ON c.pos = roots.place // pow(3, c.level)::BIGINT),
+    paths AS (SELECT doc_id, source, list({{'l': l, 'r': r}} ORDER BY level) AS p FROM path GROUP BY doc_id, source),
+    f AS (SELECT d.*, roots.subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(paths.p, []) AS p
+          FROM d JOIN roots ON d.source IS NOT DISTINCT FROM roots.source
+          LEFT JOIN paths ON d.doc_id IS NOT DISTINCT FROM paths.doc_id AND d.source IS NOT DISTINCT FROM paths.source),
+    g AS (SELECT *, list_reduce(list_transform(p, lambda x: x.l || ',' || x.r), lambda h, x: sha256(replace(x, ',', h)), claim) AS folded_root FROM f)
+    SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: x.l || x.r), '')) AS proof_sha256,
+           folded_root, folded_root = root AS verified
+    FROM g
+    """,
+)
+def merkle_query(spark, sf_dir):
+    """Every second document, by a hash of its id, is checked without its line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    given = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle_manifest.manifest(docs, given).drop("source")
+
+
+@query(
+    "op12_sharding",
+    f"""
+    WITH k AS (SELECT doc_id, source, coalesce(strlen(text), 0) + 1 AS size, {_crc32("text")} AS text_crc32,
+                      ('0x' || md5('0:' || coalesce(doc_id::VARCHAR, ''))[1:15])::BIGINT AS key FROM documents),
+    r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST) - 0.5::DOUBLE)
+                    / count(*) OVER (PARTITION BY source) AS fraction FROM k),
+    p AS (SELECT *, row_number() OVER (ORDER BY fraction, key, doc_id NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM r)
+    SELECT doc_id, size, text_crc32, 'rows' AS law, (pos * 16 // n)::INTEGER AS shard,
+           pos - ((pos * 16 // n) * n + 15) // 16 AS slot, NULL::INTEGER AS grown_shard
+    FROM p
+    """,
+)
+def sharding_query(spark, sf_dir):
+    """Sixteen shards, written and read back; what is returned is derived from what stands in them."""
+    text = F.coalesce("row.text", F.lit(""))
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op13_token_alignment")
+def token_alignment_query(spark, sf_dir):
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), *token_alignment.default_tokenizers())

@@ -431,7 +431,7 @@ def node_lines(spark, sf_dir):
 @query("D4_reading_order")
 def reading_order(spark, sf_dir):
     """Character offset and place of every line of the one big thread."""
-    tree = threads.link_comments(ex.event_comments(spark, sf_dir))
+    tree = threads.link_comments(ex.event_comments(spark, sf_dir), sizes=True)
     placed = threads.place_lines(ex.event_posts(spark, sf_dir), tree)
     return placed.filter("depth >= 0").select("post_id", "id", "depth", "offset", "n_comments")
 

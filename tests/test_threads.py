@@ -96,12 +96,12 @@ def test_unreached_comments_have_a_reason(spark):
     posts, comments = frames(spark, POSTS, COMMENTS)
     gaps = threads.unreached_comments(posts, comments, threads.link_comments(comments))
     assert {r.id: r.reason for r in gaps.collect()} == {
-        "orphan": "no post",
-        "below_orphan": "no post",
-        "loop1": "no post",
-        "loop2": "no post",
-        "odd": "no post",
-        "none": "no post",
+        "orphan": "missing comment",
+        "below_orphan": "missing comment",
+        "loop1": "cycle",
+        "loop2": "cycle",
+        "odd": "unreadable parent",
+        "none": "unreadable parent",
         "stranger": "unknown post",
     }
 
@@ -143,7 +143,7 @@ def test_siblings_follow_real_times(spark):
     want = ["c3", "c1", "c0", "c5", "c4", "c2"]
     casts = ["created", "cast(created as decimal(30,6))", "timestamp_micros(cast(if(created > 1e9, 1e9, created) * 1000000 as bigint))"]
     for shown in casts:
-        tree = threads.link_comments(df.withColumn("created", F.expr(shown))).orderBy("path")
+        tree = threads.link_comments(df.withColumn("created", F.expr(shown))).orderBy("sibling")
         assert [r.id for r in tree.collect()] == want, shown
 
 
@@ -173,12 +173,58 @@ def test_long_chain(spark):
     assert {r.id: r.depth for r in tree.collect()} == {f"c{i}": i for i in range(300)}
 
 
+def test_chain_of_a_hundred_thousand(spark):
+    """Rows keep their width whatever the depth, and so do offsets along the whole chain."""
+    n = 100_000
+    chain = spark.range(n).select(
+        F.concat(F.lit("c"), "id").alias("id"),
+        F.when(F.col("id") == 0, "t3_p1").otherwise(F.concat(F.lit("t1_c"), F.col("id") - 1)).alias("parent_id"),
+        F.lit("x").alias("body"),
+        F.lit("u").alias("author"),
+        F.col("id").alias("ord"),
+    )
+    posts = spark.createDataFrame(POSTS[:1], POST_DDL)
+    tree = threads.link_comments(chain, duplicates="none", sizes=True)
+    assert not [f for f in tree.schema if f.dataType.typeName() in ("array", "map", "struct")]
+    placed = threads.place_lines(posts, tree).filter("depth >= 0").select("id", "depth", "offset")
+    got = placed.agg(F.count(F.lit(1)), F.max("depth"), F.sum("depth"), F.max("offset")).first()
+    # header, then per comment its five lines (four for the first), each indented by its depth
+    size = lambda i: len(f"Comment ID: c{i}\n") + (len(f"This comment is a reply to parent comment: c{i - 1}\n") if i else 0) + len("Comment Author: u\nComment Body: x\n") + 31
+    head = len(walk(POSTS[:1], [])["p1"]) - len("No comments\n")
+    last = head + sum(size(i) + 2 * i * (5 if i else 4) for i in range(n - 1))
+    assert tuple(got) == (n, n - 1, n * (n - 1) // 2, last)
+
+
+def test_copies_under_several_parents(spark):
+    """An id held under two parents brings its replies under each, also when it answers its own reply."""
+    rows = [("a", "t3_p1", "b", "u", 1), ("b", "t3_p1", "b", "u", 2), ("m", "t1_a", "b", "u", 3), ("m", "t1_b", "b", "u", 4), ("m", "t1_b", "b", "u", 5),
+            ("k", "t1_m", "b", "u", 6), ("k2", "t1_k", "b", "u", 7)]
+    posts, comments = frames(spark, POSTS, rows)
+    assert whole(threads.compose(posts, comments, duplicates="repeat")) == walk(POSTS, rows)
+    _, comments = frames(spark, POSTS, [*rows, ("a", "t1_k2", "b", "u", 8)])
+    text = whole(threads.compose(posts, comments, duplicates="repeat"))["p1"]
+    # under b the path b, m, k, k2, a goes on; under a it may not meet a again
+    assert text.count("Comment ID: k2\n") == 3 and text.count("Comment ID: a\n") == 3
+
+
+def test_beginnings_follow_few_lines(spark):
+    """Lines that begin behind the limit are not placed, however large the thread."""
+    rng = random.Random(3)
+    rows = [(f"c{i}", f"t1_c{rng.randrange(i)}" if i and rng.random() < 0.9 else "t3_p1", "text", "u", i) for i in range(3000)]
+    posts, comments = frames(spark, POSTS[:1], rows)
+    tree = threads.link_comments(comments, sizes=True)
+    every = threads.place_lines(posts, tree).select("id", "depth", "offset", "n_comments").collect()
+    few = threads.place_lines(posts, tree, max_chars=2000).select("id", "depth", "offset", "n_comments").collect()
+    assert sorted(few, key=str) == sorted([r for r in every if r.offset < 2000], key=str) and len(every) == 3001
+    assert whole(threads.compose(posts, comments, max_chars=2000))["p1"] == walk(POSTS[:1], rows)["p1"][:2000]
+
+
 def test_creation_time_orders_siblings_without_ord(spark):
     comments = spark.createDataFrame(
         [("b", "t3_p1", "x", "u", 20.5), ("a", "t3_p1", "x", "u", 20.25), ("c", "t3_p1", "x", "u", None), ("d", "t3_p1", "x", "u", -3.0)],
         "id string, parent_id string, body string, author string, created double",
     )
-    tree = threads.link_comments(comments).orderBy("path")
+    tree = threads.link_comments(comments).orderBy("sibling")
     assert [r.id for r in tree.collect()] == ["d", "a", "b", "c"]
 
 

@@ -16,13 +16,13 @@ from threadwarden.sources.staging import stage
 def running_total(
     df: DataFrame,
     order: Sequence[Column | str],
-    value: Column,
-    into: str,
+    value: Column | Sequence[Column],
+    into: str | Sequence[str],
     within: Sequence[str] = (),
     totals: dict[str, tuple[Callable, str]] | None = None,
     null_groups: bool = True,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows before each row, as column ``into``.
+    """Sum of ``value`` over the rows before each row, as column ``into``; or of several values.
 
     A plain window would sort a whole group (or the whole table) in one task. Here the
     rows are range-partitioned, each slice is summed, the few slice sums are accumulated,
@@ -36,23 +36,24 @@ def running_total(
     ``null_groups=False`` drops rows whose group is null, which saves one shuffle.
     """
     totals = totals or {}
+    values, names = ([value], [into]) if isinstance(into, str) else (list(value), list(into))
     group = [F.col(c) for c in within]
     ordering = [F.col(c) if isinstance(c, str) else c for c in order]
     sliced = stage(
-        df.withColumn("_value", value.cast("long"))
+        df.withColumns({f"_value{i}": v.cast("long") for i, v in enumerate(values)})
         .repartitionByRange(*group, *ordering)
         .withColumn("_slice", F.spark_partition_id()),
         "slices",
     )
     slices = sliced.groupBy(*group, "_slice").agg(
-        F.sum("_value").alias("_sum"), *[agg(source).alias(name) for name, (agg, source) in totals.items()]
+        *[F.sum(f"_value{i}").alias(f"_sum{i}") for i in range(len(values))], *[agg(source).alias(name) for name, (agg, source) in totals.items()]
     )
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = slices.select(
         *group,
         "_slice",
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        *[F.coalesce(F.sum(f"_sum{i}").over(earlier), F.lit(0)).alias(f"_before{i}") for i in range(len(values))],
         *[agg(name).over(whole).alias(name) for name, (agg, _) in totals.items()],
     )
     if not within:
@@ -65,10 +66,10 @@ def running_total(
     else:
         joined = sliced.join(before, [*within, "_slice"])
     inside = Window.partitionBy(*group, "_slice").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        joined.withColumn(into, F.col("_before") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .select(*df.columns, into, *totals)
-    )
+    sums = {
+        name: F.col(f"_before{i}") + F.coalesce(F.sum(f"_value{i}").over(inside), F.lit(0)) for i, name in enumerate(names)
+    }
+    return joined.withColumns(sums).select(*df.columns, *names, *totals)
 
 
 def row_position(df: DataFrame, order: Sequence[Column | str], into: str, within: Sequence[str] = ()) -> DataFrame:

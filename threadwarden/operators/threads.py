@@ -1,11 +1,12 @@
 """Reply trees and their conversation texts.
 
-``link_comments`` finds, for every comment, its post, depth and place in reading order by
-pointer doubling: each round every unfinished comment takes over what its current ancestor
-knows, so a tree of depth d needs about log2(d) joins over narrow rows. ``place_lines``
-gives each line its character offset in the conversation. ``compose`` then fetches the
-texts once and joins them up in bounded parts, so that one giant thread is never gathered
-in one task.
+``link_comments`` finds, for every comment, its post, its depth and the size of what is below
+it by pointer doubling: each round every unfinished comment takes over what its current
+ancestor knows, and an ancestor adds up what those that point at it know, so a tree of depth
+d needs about log2(d) rounds over rows of fixed width. ``place_lines`` adds up sizes along each
+path to the line's character offset in the conversation, which is also its place in reading
+order. ``compose`` then fetches the texts once and joins them up in bounded parts, so that one
+giant thread is never gathered in one task.
 """
 
 from __future__ import annotations
@@ -75,13 +76,6 @@ def comment_lines(comment_id: Column, author: Column, body: Column, depth: Colum
     )
 
 
-def _lines_length(author_chars: Column, body_chars: Column) -> Column:
-    """Length of ``comment_lines`` from stored lengths, without fetching the texts."""
-    marks = F.lit("")
-    bare = F.length(comment_lines(F.col("id"), marks, marks, F.col("depth"), F.col("parent_comment_id")))
-    return bare + author_chars + body_chars
-
-
 def _order_columns(df: DataFrame, order: Sequence[str] | None) -> list[str]:
     if order is not None:
         return list(order)
@@ -119,18 +113,23 @@ def link_comments(
     comments: DataFrame,
     order: Sequence[str] | None = None,
     duplicates: str = "first",
+    sizes: bool = False,
 ) -> DataFrame:
     """Every comment whose ancestors end at a post id.
 
-    Columns: id, post_id, parent_comment_id, depth, path (sorts in reading order) and the
-    lengths of author and body. ``order`` names the columns that order siblings: ``ord``
-    if present, else creation time. ``duplicates`` is "first" (one row per id), "none"
+    Columns: id, post_id, parent_comment_id, depth, sibling (sorts the replies to one parent),
+    the lengths of author and body, and copy. ``order`` names the columns that order siblings:
+    ``ord`` if present, else creation time. ``duplicates`` is "first" (one row per id), "none"
     (ids are known to be unique) or "repeat" (each row copy is visited, so copies multiply
     along a path; a path that would meet an id again is left out).
+
+    With ``sizes`` each comment also knows what stands below it: how many comments, lines and
+    characters, the latter as if the comment itself were at depth 0.
     """
     if duplicates not in ("first", "none", "repeat"):
         raise ValueError(f"Invalid duplicates value: {duplicates}")
     require_columns(comments, COMMENT_COLUMNS, "comments")
+    repeat = duplicates == "repeat"
     order = _order_columns(comments, order)
     filled = fill_comments(comments)
     narrow = filled.filter(F.col("id").isNotNull()).select(
@@ -143,124 +142,239 @@ def link_comments(
     )
     if duplicates == "first":
         narrow = keep_first(narrow, ["id"], ["sibling", "content"])
-    elif duplicates == "repeat":
+    elif repeat:
         # the first copy's text stands for the id, wherever a copy of it is shown
         shown = ["author_chars", "body_chars", "content"]
         first = keep_first(narrow.select("id", "sibling", *shown), ["id"], ["sibling", "content"]).drop("sibling")
         narrow = narrow.drop(*shown).join(first, "id")
     kind, key = parent_kind(F.col("parent_id")), parent_key(F.col("parent_id"))
-    own = [F.col("sibling"), F.col("id"), F.lit("\u0001")]
-    if duplicates == "repeat":
-        # tells identical copies apart; frozen by the stage table
-        own.insert(1, F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
-    nodes = narrow.filter(kind.isNotNull()).select(
+    placed = narrow.filter(kind.isNotNull()).select(
         "id",
-        F.when(kind == "comment", key).alias("ancestor"),
         F.when(kind == "post", key).alias("post_id"),
         F.when(kind == "comment", key).alias("parent_comment_id"),
-        F.when(kind == "comment", 1).otherwise(0).alias("depth"),
-        F.concat(*own).alias("path"),
+        "sibling",
         "author_chars",
         "body_chars",
         "content",
-        *([F.array("id").alias("ids")] if duplicates == "repeat" else []),
+        # tells identical copies apart; frozen by the stage table
+        (F.monotonically_increasing_id() if repeat else F.lit(0).cast("long")).alias("copy"),
     )
-    open_rows = F.count("ancestor")
-    path, seen = write_stage(nodes, "links", waiting=open_rows)
-    paths, waiting = [path], seen["waiting"]
-    while waiting:
-        # a row is written as linked once, and as unfinished in every table up to that one
-        unfinished = read_stages(nodes, paths[-1]).filter(F.col("ancestor").isNotNull())
-        known = _linked(nodes, paths).unionByName(unfinished).select(
+    nodes = stage(placed.withColumns({"chars": _own_chars(), "lines": _own_lines()}), "nodes")
+    finished, unfinished = _ascend(nodes, repeat, sizes)
+    places = finished.select("id", "parent_comment_id", "post_id", "depth")
+    if repeat:
+        on = (F.col("id") == F.col("_id")) & F.col("parent_comment_id").eqNullSafe(F.col("_parent"))
+        places = places.distinct().withColumnsRenamed({"id": "_id", "parent_comment_id": "_parent"})
+        tree = nodes.drop("post_id").join(places, on).drop("_id", "_parent")
+    else:
+        tree = nodes.drop("post_id").join(places.drop("parent_comment_id"), "id")
+    if not sizes:
+        return tree.drop("chars", "lines")
+    below = _sums(unfinished).groupBy("id").agg(*[F.sum(c).alias(c) for c in _BELOW])
+    return tree.join(below, "id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in _BELOW})
+
+
+# What stands below a comment: characters as if it were at depth 0, lines, comments.
+_BELOW = ("chars_below", "lines_below", "comments_below")
+
+
+def _own_chars() -> Column:
+    """Length of the comment's lines at depth 0."""
+    marks = F.lit("")
+    bare = F.length(comment_lines(F.col("id"), marks, marks, F.lit(0), F.col("parent_comment_id")))
+    return (bare + F.col("author_chars") + F.col("body_chars")).cast("long")
+
+
+def _own_lines() -> Column:
+    return F.when(F.col("parent_comment_id").isNull(), len(COMMENT_LINES) + 1).otherwise(len(COMMENT_LINES) + 2).cast("long")
+
+
+def _ascend(nodes: DataFrame, repeat: bool, sizes: bool) -> tuple[DataFrame, DataFrame]:
+    """Pointer doubling towards the posts: (linked rows, all unfinished rows of all rounds).
+
+    In round k an unfinished row points to the ancestor 2**k levels up and, with ``sizes``,
+    carries the sums over the descendants less than 2**k levels down. The descendants of the
+    next 2**k levels are those whose rows point at it, so one aggregate by ancestor doubles
+    the reach downwards as one join by ancestor doubles it upwards. Rows have a fixed width.
+    Copies under one parent are one row with their number; numbers multiply along a path.
+    """
+    keys = ["id", "parent_comment_id", "post_id"]
+    own = nodes.select(*keys, "chars", "lines")
+    if repeat:
+        # a path that meets an id again meets one that has several parents: only those are remembered
+        parents = F.struct(F.col("parent_comment_id").isNull().alias("top"), F.coalesce("parent_comment_id", "post_id").alias("key"))
+        several = nodes.groupBy("id").agg((F.min(parents) != F.max(parents)).alias("several"))
+        edges = own.groupBy(*keys).agg(F.first("chars").alias("chars"), F.first("lines").alias("lines"), F.count(F.lit(1)).alias("copies"))
+        edges = edges.join(several, "id").withColumn("met", F.when(F.col("several"), F.array("id")).otherwise(F.array().cast("array<string>")))
+    else:
+        edges = own.withColumn("copies", F.lit(1).cast("long"))
+    extra = ["met"] if repeat else []
+    below = {c: F.lit(0).cast("long") for c in _BELOW} if sizes else {}
+    start = edges.withColumns({"ancestor": F.col("parent_comment_id"), "depth": F.when(F.col("post_id").isNull(), 1).otherwise(0), **below})
+    sums = ["chars", "lines", *_BELOW] if sizes else []
+    start = start.select("id", "parent_comment_id", "ancestor", "post_id", "depth", "copies", *sums, *extra)
+    measures = {"waiting": F.count("ancestor"), "done": F.count("post_id")}
+    path, seen = write_stage(start, "links", **measures)
+    paths = [path]
+    while seen["waiting"] and (len(paths) == 1 or seen["done"]):
+        # a round in which nothing finishes is the last: the rest hangs on cycles
+        open_rows = read_stages(start, paths[-1]).filter(F.col("ancestor").isNotNull())
+        known = read_stages(start, *paths).filter(F.col("post_id").isNotNull()).unionByName(open_rows)
+        known = known.select(
             F.col("id").alias("ancestor"),
             F.col("ancestor").alias("next_ancestor"),
             F.col("post_id").alias("known_post"),
             F.col("depth").alias("steps"),
-            F.col("path").alias("upper_path"),
-            *([F.col("ids").alias("upper_ids")] if duplicates == "repeat" else []),
+            F.col("copies").alias("upper_copies"),
+            *([F.col("met").alias("upper_met")] if repeat else []),
         )
-        unfinished = unfinished.drop("post_id")
-        joined = unfinished.join(known, "ancestor")
-        if duplicates == "repeat":
-            joined = joined.filter(~F.arrays_overlap("ids", "upper_ids"))
+        joined = open_rows.drop("post_id").join(known, "ancestor")
+        if repeat:
+            joined = joined.filter(~F.arrays_overlap("met", "upper_met"))
         step = joined.select(
             "id",
+            "parent_comment_id",
             F.col("next_ancestor").alias("ancestor"),
             F.col("known_post").alias("post_id"),
-            "parent_comment_id",
             (F.col("depth") + F.col("steps")).alias("depth"),
-            F.concat("upper_path", "path").alias("path"),
-            "author_chars",
-            "body_chars",
-            "content",
-            *([F.concat("upper_ids", "ids").alias("ids")] if duplicates == "repeat" else []),
+            # an overflow can only happen on a cycle, whose rows never finish
+            F.try_multiply("copies", "upper_copies").alias("copies") if repeat else F.col("copies"),
+            *sums,
+            *([F.concat("upper_met", "met").alias("met")] if repeat else []),
         )
-        path, seen = write_stage(step, "links", waiting=open_rows)
+        if sizes:
+            more = _sums(open_rows).withColumnsRenamed({c: f"more_{c}" for c in _BELOW})
+            step = step.join(more, "id", "left").withColumns({c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in _BELOW})
+        path, seen = write_stage(step.select(*start.columns), "links", **measures)
         paths.append(path)
-        if seen["waiting"] == waiting and duplicates != "repeat":
-            # nothing finished and nothing lost its ancestor: the rest hangs on a cycle
-            break
-        waiting = seen["waiting"]
-    return _linked(nodes, paths).drop("ancestor", "ids")
+    rows = read_stages(start, *paths)
+    return rows.filter(F.col("post_id").isNotNull()), rows.filter(F.col("ancestor").isNotNull())
 
 
-def _linked(nodes: DataFrame, paths: Sequence[str]) -> DataFrame:
-    return read_stages(nodes, *paths).filter(F.col("post_id").isNotNull())
+def _sums(unfinished: DataFrame) -> DataFrame:
+    """What unfinished rows add to the ancestor that they point to, per ancestor as ``id``."""
+    lines = F.col("lines") + F.col("lines_below")
+    chars = F.col("chars") + F.col("chars_below") + len(INDENT) * F.col("depth") * lines
+    adds = {"chars_below": chars, "lines_below": lines, "comments_below": 1 + F.col("comments_below")}
+    added = [F.try_sum(F.try_multiply("copies", value)).alias(name) for name, value in adds.items()]
+    return unfinished.groupBy(F.col("ancestor").alias("id")).agg(*added)
 
 
-def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None = None, max_chars: int | None = None) -> DataFrame:
     """Post headers and linked comments with their character offset in the conversation.
 
-    Comments of unknown posts are dropped. Columns: post_id, id (null for the header),
-    parent_comment_id, depth, path, offset, n_comments, copies (post rows with this id).
+    ``tree`` is made by ``link_comments`` with ``sizes``. A comment stands behind its parent and
+    what is below its earlier siblings, so its offset is a sum along its path, found by pointer
+    doubling. With ``max_chars`` only lines that begin before that offset are followed: a
+    partial sum that reaches it ends a path. Comments of unknown posts are dropped.
+
+    Columns: post_id, id (null for the header), parent_comment_id, depth, offset, content,
+    n_comments, copies (post rows with this id).
     """
     require_columns(posts, POST_COLUMNS, "posts")
     filled = fill_posts(posts).filter(F.col("id").isNotNull())
     header = post_header(F.col("id"), F.col("title"), F.col("selftext"), F.col("author"))
     ranked = _order_columns(posts, order)
     rank = F.struct(_sort_text(ranked, posts) if ranked else F.lit(""), _content(posts))
-    # staged, so that sampling the ranges of the running total does not read all posts again
-    headers = stage(
-        filled.groupBy("id").agg(
-            F.min_by(F.length(header), rank).alias("chars"),
-            F.min_by(_content(posts), rank).alias("content"),
-            F.count(F.lit(1)).alias("copies"),
-        ),
-        "headers",
+    repeat = _is_repeated(tree)
+    columns = ["id", "post_id", "parent_comment_id", "sibling", "copy", "content", "chars", "lines", *_BELOW]
+    rows = tree.select(*columns)
+    if repeat:
+        # a copy below several places is one row
+        rows = rows.withColumn("post_id", F.when(F.col("parent_comment_id").isNull(), F.col("post_id"))).distinct()
+    rows = stage(rows, "siblings")
+    headers = filled.groupBy(F.col("id").alias("post_id")).agg(
+        F.min_by(F.length(header), rank).alias("header_chars"),
+        F.min_by(_content(posts), rank).alias("header_content"),
+        F.count(F.lit(1)).alias("copies"),
     )
-    lines = headers.select(
-        F.col("id").alias("post_id"),
-        F.lit(None).cast("string").alias("id"),
-        F.lit(None).cast("string").alias("parent_comment_id"),
-        F.lit(-1).alias("depth"),
-        F.lit("").alias("path"),
-        "chars",
-        "content",
-        "copies",
-        F.lit(0).alias("is_comment"),
-    ).unionByName(
-        tree.select(
-            "post_id",
-            "id",
-            "parent_comment_id",
-            "depth",
-            "path",
-            _lines_length(F.col("author_chars"), F.col("body_chars")).alias("chars"),
-            "content",
-            F.lit(0).cast("long").alias("copies"),
-            F.lit(1).alias("is_comment"),
-        )
+    comments_of = rows.filter("parent_comment_id is null").groupBy("post_id").agg(F.sum(1 + F.col("comments_below")).alias("n_comments"))
+    headers = headers.join(comments_of, "post_id", "left").withColumn("n_comments", F.coalesce("n_comments", F.lit(0)))
+    headers = stage(headers, "headers")
+    offsets = _descend(_before_siblings(rows), max_chars, repeat)
+    offset = (F.col("header_chars") + F.col("before") + len(INDENT) * F.col("depth") * F.col("before_lines")).alias("offset")
+    placed = offsets.join(headers, "post_id").select(
+        "post_id", "id", "parent_comment_id", "depth", offset, "content", "n_comments", "copies"
     )
-    placed = running_total(
-        lines.withColumnRenamed("copies", "post_rows"),
-        ["path"],
-        F.col("chars"),
-        "offset",
-        within=["post_id"],
-        totals={"n_comments": (F.sum, "is_comment"), "copies": (F.sum, "post_rows")},
-        null_groups=False,
+    if max_chars is not None:
+        placed = placed.filter(F.col("offset") < max_chars)
+    nothing = F.lit(None).cast("string")
+    first = headers.select(
+        "post_id", nothing.alias("id"), nothing.alias("parent_comment_id"), F.lit(-1).alias("depth"),
+        F.lit(0).cast("long").alias("offset"), F.col("header_content").alias("content"), "n_comments", "copies",
+    )
+    return first.unionByName(placed)
+
+
+def _is_repeated(tree: DataFrame) -> bool:
+    """Whether row copies are visited: only then do rows have a number of their own."""
+    return not tree.select("copy").filter("copy > 0").isEmpty()
+
+
+def _before_siblings(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``before`` and ``before_lines``: characters and lines of the earlier siblings and all below them."""
+    group = F.coalesce(F.concat(F.lit("c"), "parent_comment_id"), F.concat(F.lit("p"), "post_id"))
+    sizes = {"before": F.col("chars") + F.col("chars_below"), "before_lines": F.col("lines") + F.col("lines_below")}
+    narrow = rows.withColumn("family", group)
+    return running_total(
+        narrow, ["sibling", "id", "copy"], list(sizes.values()), list(sizes), within=["family"], null_groups=False
     )
-    return placed.filter(F.col("copies") > 0).drop("post_rows", "is_comment", "chars")
+
+
+def _descend(rows: DataFrame, max_chars: int | None, repeat: bool) -> DataFrame:
+    """Sums of (before, before_lines) and of the ancestors' own lines along each row's path, with depth and post.
+
+    A sum over a piece of a path is kept as (characters, lines), since each level further
+    down indents every line once more: characters count as if the lowest row were at depth 0.
+    """
+    extra = []
+    if repeat:
+        parents = F.struct(F.col("parent_comment_id").isNull().alias("top"), F.coalesce("parent_comment_id", "post_id").alias("key"))
+        several = rows.groupBy("id").agg((F.min(parents) != F.max(parents)).alias("several"))
+        rows = rows.join(several, "id").withColumn("met", F.when(F.col("several"), F.array("id")).otherwise(F.array().cast("array<string>")))
+        extra = ["met"]
+    top = F.col("parent_comment_id").isNull()
+    start = rows.select(
+        "id", "parent_comment_id", "content", "chars", "lines", "before", "before_lines",
+        F.col("parent_comment_id").alias("ancestor"), F.when(top, F.col("post_id")).alias("post_id"),
+        F.when(top, 0).otherwise(1).alias("depth"), *extra,
+    )
+
+    def within_reach(df: DataFrame) -> DataFrame:
+        if max_chars is None:
+            return df
+        return df.filter(F.col("before") + len(INDENT) * F.col("depth") * F.col("before_lines") < max_chars)
+
+    measures = {"waiting": F.count("ancestor"), "done": F.count("post_id")}
+    path, seen = write_stage(within_reach(start), "offsets", **measures)
+    paths = [path]
+    while seen["waiting"] and (len(paths) == 1 or seen["done"]):
+        open_rows = read_stages(start, paths[-1]).filter(F.col("ancestor").isNotNull())
+        known = read_stages(start, *paths).filter(F.col("post_id").isNotNull()).unionByName(open_rows)
+        known = known.select(
+            F.col("id").alias("ancestor"),
+            F.col("ancestor").alias("next_ancestor"),
+            F.col("post_id").alias("known_post"),
+            F.col("depth").alias("steps"),
+            # a reply stands behind its parent's own lines too
+            (F.col("before") + F.col("chars")).alias("upper"),
+            (F.col("before_lines") + F.col("lines")).alias("upper_lines"),
+            *([F.col("met").alias("upper_met")] if repeat else []),
+        )
+        joined = open_rows.drop("post_id").join(known, "ancestor")
+        if repeat:
+            joined = joined.filter(~F.arrays_overlap("met", "upper_met"))
+        raised = F.col("before") + F.col("upper") - len(INDENT) * F.col("depth") * F.col("upper_lines")
+        step = joined.select(
+            "id", "parent_comment_id", "content", "chars", "lines",
+            raised.alias("before"), (F.col("before_lines") + F.col("upper_lines")).alias("before_lines"),
+            F.col("next_ancestor").alias("ancestor"), F.col("known_post").alias("post_id"),
+            (F.col("depth") + F.col("steps")).alias("depth"),
+            *([F.concat("upper_met", "met").alias("met")] if repeat else []),
+        )
+        path, seen = write_stage(within_reach(step), "offsets", **measures)
+        paths.append(path)
+    return read_stages(start, *paths).filter(F.col("post_id").isNotNull()).drop("ancestor", *extra)
 
 
 def compose(
@@ -278,8 +392,8 @@ def compose(
     only between comments. With ``max_chars`` the result is the exact beginning of each
     text, and only the comments it needs are fetched.
     """
-    tree = link_comments(comments, order, duplicates)
-    return render(posts, comments, place_lines(posts, tree), order, duplicates, part_chars, max_chars)
+    tree = link_comments(comments, order, duplicates, sizes=True)
+    return render(posts, comments, place_lines(posts, tree, max_chars=max_chars), order, duplicates, part_chars, max_chars)
 
 
 def render(
@@ -344,8 +458,10 @@ def _content(df: DataFrame) -> Column:
 def unreached_comments(posts: DataFrame, comments: DataFrame, tree: DataFrame) -> DataFrame:
     """Comments that appear in no conversation: (id, parent_id, reason).
 
-    ``unknown post``: the reply chain ends at a post id that is not in ``posts``;
-    ``no post``: it ends at a missing comment, an unreadable parent id or in a cycle.
+    Their reply chain ends at a post id that is not in ``posts`` (``unknown post``), at a
+    comment that is not in ``comments`` (``missing comment``) or whose parent id cannot be read
+    (``unreadable parent``), or it never ends (``cycle``). Of rows repeated under one id the
+    least parent id is shown, and decides.
     """
     ids = comments.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("parent_id").alias("parent_id"))
     known = posts.select(F.col("id").alias("post_id")).distinct().withColumn("known", F.lit(True))
@@ -355,11 +471,44 @@ def unreached_comments(posts: DataFrame, comments: DataFrame, tree: DataFrame) -
         .groupBy("id")
         .agg(F.max("known").alias("known"), F.lit(True).alias("linked"))
     )
-    return (
-        ids.join(homes, "id", "left")
-        .filter(F.col("known").isNull())
-        .select("id", "parent_id", F.when(F.col("linked"), "unknown post").otherwise("no post").alias("reason"))
+    gaps = stage(ids.join(homes, "id", "left").filter(F.col("known").isNull()).select("id", "parent_id", "linked"), "gaps")
+    unknown = gaps.filter("linked").select("id", "parent_id", F.lit("unknown post").alias("reason"))
+    return unknown.unionByName(_broken_chains(gaps.filter("linked is null").select("id", "parent_id")))
+
+
+def _broken_chains(lost: DataFrame) -> DataFrame:
+    """``lost`` (id, parent_id) with the reason for which a chain meets no post.
+
+    All ancestors of a lost comment are lost. Pointers double until no chain ends any more:
+    the chains left over lead into a cycle.
+    """
+    kind, key = parent_kind(F.col("parent_id")), parent_key(F.col("parent_id"))
+    ancestors = lost.select(F.col("id").alias("ancestor"), F.lit(True).alias("there"))
+    start = (
+        lost.select("id", "parent_id", F.when(kind == "comment", key).alias("ancestor"), kind.isNull().alias("unreadable"))
+        .join(ancestors, "ancestor", "left")
+        .select(
+            "id",
+            "parent_id",
+            F.when(F.col("there"), F.col("ancestor")).alias("ancestor"),
+            F.when(F.col("unreadable"), "unreadable parent").when(F.col("there").isNull(), "missing comment").alias("reason"),
+        )
     )
+    measures = {"waiting": F.count("ancestor"), "done": F.count("reason")}
+    path, seen = write_stage(start, "chains", **measures)
+    paths = [path]
+    while seen["waiting"] and (len(paths) == 1 or seen["done"]):
+        open_rows = read_stages(start, paths[-1]).filter(F.col("ancestor").isNotNull())
+        known = read_stages(start, *paths).filter(F.col("reason").isNotNull()).unionByName(open_rows)
+        known = known.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next_ancestor"), F.col("reason").alias("known_reason"))
+        step = open_rows.drop("reason").join(known, "ancestor").select(
+            "id", "parent_id", F.col("next_ancestor").alias("ancestor"), F.col("known_reason").alias("reason")
+        )
+        path, seen = write_stage(step, "chains", **measures)
+        paths.append(path)
+    ended = read_stages(start, *paths).filter(F.col("reason").isNotNull()).drop("ancestor")
+    endless = read_stages(start, paths[-1]).filter(F.col("ancestor").isNotNull())
+    return ended.unionByName(endless.select("id", "parent_id", F.lit("cycle").alias("reason")))
 
 
 def comments_of_posts(

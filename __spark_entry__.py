@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import json
 import os
 import sys
@@ -44,12 +43,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm() -> tuple[dict[str, Query], dict[str, str]]:
-    """Queries and SQL of the llm subpackage; none if it has been taken out."""
-    if importlib.util.find_spec("threadwarden.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    """Queries and SQL of the llm subpackage; none if it cannot be imported."""
+    try:
+        import corpus_pipeline
+        from threadwarden.llm import queries as llm
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-    from threadwarden.llm import queries as llm
-
     pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLES, **pipeline_sql}
 
@@ -130,9 +129,11 @@ def prompt_asset(spark, sf_dir):
 def aligned_append(spark, sf_dir):
     """Rows of two shapes appended under the first one's columns."""
     path = staging.new_stage_path(spark, "append")
-    tables.append_aligned(ex.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("DOC_ID"), "source", "n_chars"), path)
+    documents = ex.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("DOC_ID"), "source", "n_chars")
+    for number in (0, 0):  # a writer that does not know whether its append stands repeats it
+        tables.append_aligned(documents, path, number=number)
     tables.append_aligned(ex.table(spark, sf_dir, "labels").select("toxic", "doc_id"), path)
-    return spark.read.parquet(path)
+    return tables.read_appended(spark, path)
 
 
 @query("A8_csv_sink")
@@ -219,9 +220,8 @@ def comments_of_posts(spark, sf_dir):
     """Comments at any depth below posts written by the user role, the latest days only."""
     posts = ex.thread_posts(spark, sf_dir)
     comments = ex.thread_comments(spark, sf_dir).withColumn("created", F.col("ord") * 86_400.0)
-    tree = threads.link_comments(comments)
     chosen = posts.filter(F.col("author") == "user")
-    return threads.comments_of_posts(tree, chosen, comments, 7 * 86_400.0, 5).select("id", "post_id", "depth", "body")
+    return threads.comments_of_posts(threads.reach_comments(chosen, comments), chosen, comments, 7 * 86_400.0, 5).select("id", "post_id", "depth", "body")
 
 
 @query("B7_user_lookup")
@@ -446,14 +446,17 @@ def post_header(spark, sf_dir):
 @query("D6_empty_threads")
 def empty_threads(spark, sf_dir):
     """Every document as a post; comments answer some of them only."""
-    answers = ex.table(spark, sf_dir, "labels").select(
+    return threads.compose(ex.document_posts(spark, sf_dir), _rated(spark, sf_dir))
+
+
+def _rated(spark, sf_dir):
+    return ex.table(spark, sf_dir, "labels").select(
         F.concat(F.lit("c"), "doc_id").alias("id"),
         F.concat(F.lit("t3_"), "doc_id").alias("parent_id"),
         F.concat(F.lit("quality "), "quality").alias("body"),
         F.lit("rater").alias("author"),
         F.col("doc_id").alias("ord"),
     )
-    return threads.compose(ex.document_posts(spark, sf_dir), answers)
 
 
 @query("D7_compose_conversations")
@@ -475,9 +478,13 @@ def conversation_beginnings(spark, sf_dir):
 
 @query("D8_unreached_comments")
 def unreached_comments(spark, sf_dir):
-    """Posts of the system role are missing, and so is every comment number 2."""
+    """Posts of the system role are missing, and so is every comment number 2; some others lead nowhere or round."""
     posts = ex.thread_posts(spark, sf_dir).filter("author <> 'system'")
     comments = ex.thread_comments(spark, sf_dir).filter("ord <> 2")
+    thread = F.split("id", "_")[0].cast("int")
+    around = F.concat(F.lit("t1_"), F.split("id", "_")[0], F.lit("_7"))
+    parent = F.when((F.col("ord") == 3) & (thread % 5 == 0), around).when((F.col("ord") == 4) & (thread % 7 == 0), "x9_odd")
+    comments = comments.withColumn("parent_id", F.coalesce(parent, "parent_id"))
     return threads.unreached_comments(posts, comments, threads.link_comments(comments))
 
 
@@ -545,6 +552,29 @@ def resume(spark, sf_dir):
     return assess.not_yet_done(ex.document_conversations(spark, sf_dir), done).select("post_id")
 
 
+@query("E8_continued_calls")
+def continued_calls(spark, sf_dir):
+    """Labelled documents are judged first, then all, labelled ones twice: each row is answered once."""
+    path = staging.new_stage_path(spark, "calls")
+    items = assess.prepare_prompts(ex.document_conversations(spark, sf_dir))
+    labelled = ex.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("post_id")).distinct()
+    first = items.join(labelled, "post_id", "left_semi")
+    assess.continue_calls(first, path, ex.stand_in_judge, send="prompt", batches=3)
+    calls = assess.continue_calls(items.unionByName(first), path, ex.stand_in_judge, send="prompt", batches=4)
+    parsed = assess.parse_new_calls(spark, path, staging.new_stage_path(spark, "verdicts"), assess.parse_verdicts)
+    n_verdicts = parsed.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_verdicts"))
+    answered = calls.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_calls"), F.max("copy").alias("last_copy"))
+    return answered.join(n_verdicts, "post_id", "left").withColumn("n_verdicts", F.coalesce("n_verdicts", F.lit(0)))
+
+
+@query("E1_composed_scores")
+def composed_scores(spark, sf_dir):
+    """Documents as posts, raters' comments below them, composed and scored: the community is passed on."""
+    known = threads.compose(ex.document_posts(spark, sf_dir), _rated(spark, sf_dir), keep=["subreddit"]).filter("part = 0")
+    calls = assess.score_conversations(known, ex.stand_in_toxicity, tasks=spark.sparkContext.defaultParallelism, backoff=0.0)
+    return assess.flatten_scores(calls).select("perspective_id", "subreddit", "post_id", "toxicity_score", "threat_score")
+
+
 @query("E10_best_span")
 def best_span(spark, sf_dir):
     """Words of a text as spans scored by length modulo 5, so that ties abound."""

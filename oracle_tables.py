@@ -277,14 +277,16 @@ SELECT post_id, offset_ // 50000 AS part, string_agg(line, '' ORDER BY path) AS
     "D7_conversation_beginnings": f"""WITH RECURSIVE {EVENT_THREAD}, {TREE}, {LINES}, {CONVERSATIONS}
 SELECT post_id, 0::BIGINT AS part, substr(full_conversation, 1, 19000) AS full_conversation FROM conv""",
     "D8_unreached_comments": """WITH RECURSIVE tc AS (
-  SELECT conv_id || '_' || turn AS id, conv_id, turn,
-         CASE WHEN (turn - 1) // 2 = 0 THEN 't3_' ELSE 't1_' END || conv_id || '_' || ((turn - 1) // 2) AS parent_id
+  SELECT conv_id || '_' || turn AS id, conv_id, CASE WHEN turn = 3 AND conv_id % 5 = 0 THEN 't1_' || conv_id || '_7'
+         WHEN turn = 4 AND conv_id % 7 = 0 THEN 'x9_odd'
+         ELSE CASE WHEN (turn - 1) // 2 = 0 THEN 't3_' ELSE 't1_' END || conv_id || '_' || ((turn - 1) // 2) END AS parent_id
   FROM conversations WHERE turn > 0 AND turn <> 2),
-linked(id, conv_id) AS (SELECT id, conv_id FROM tc WHERE parent_id LIKE 't3_%'
-  UNION ALL SELECT c.id, c.conv_id FROM tc c JOIN linked l ON c.parent_id = 't1_' || l.id)
-SELECT c.id, c.parent_id, CASE WHEN l.id IS NULL THEN 'no post' ELSE 'unknown post' END AS reason
-FROM tc c LEFT JOIN linked l ON l.id = c.id
-WHERE l.id IS NULL OR c.conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0 AND role = 'system')""",
+walk(id, parent_id, above, steps) AS (SELECT id, parent_id, parent_id, 0 FROM tc
+  UNION ALL SELECT w.id, w.parent_id, c.parent_id, w.steps + 1 FROM walk w JOIN tc c ON w.above = 't1_' || c.id WHERE w.steps < 20),
+ends AS (SELECT id, any_value(parent_id) AS parent_id, arg_max(above, steps) AS above, max(steps) AS steps FROM walk GROUP BY id)
+SELECT id, parent_id, CASE WHEN steps = 20 THEN 'cycle' WHEN above LIKE 't3_%' THEN 'unknown post'
+                           WHEN above LIKE 't1_%' THEN 'missing comment' ELSE 'unreadable parent' END AS reason
+FROM ends WHERE NOT (above LIKE 't3_%' AND substr(above, 4) IN (SELECT conv_id || '_0' FROM conversations WHERE turn = 0 AND role <> 'system'))""",
     "D9_duplicates_kept_once": f"WITH RECURSIVE {THREADS}, {TREE}, {LINES}, {CONVERSATIONS} SELECT post_id, 0::BIGINT AS part, full_conversation FROM conv",
     "D9_duplicates_repeated": f"""WITH RECURSIVE {THREADS.replace('tc AS', 'tc0 AS')},
 tc AS (SELECT id, ord, body, author, parent_id FROM tc0 UNION ALL SELECT id, ord + 100, body, author, parent_id FROM tc0 WHERE ord < 3),
@@ -306,6 +308,18 @@ UNION ALL SELECT post_id, n, NULL, 'no answer', 'the model returned nothing' FRO
     "E8_batch_slices": """SELECT doc_id, position, (position - 120) // 50 AS batch
 FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) WHERE position >= 120""",
     "E8_resume": "SELECT CAST(doc_id AS VARCHAR) AS post_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "E8_continued_calls": f"""WITH {VERDICTS}, l AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS post_id FROM labels),
+n AS (SELECT post_id, count(*) AS n FROM verdicts GROUP BY post_id)
+SELECT d.post_id, CASE WHEN l.post_id IS NULL THEN 1 ELSE 2 END::BIGINT AS n_calls, CASE WHEN l.post_id IS NULL THEN 0 ELSE 1 END::BIGINT AS last_copy,
+       coalesce(n.n, 0) * CASE WHEN l.post_id IS NULL THEN 1 ELSE 2 END AS n_verdicts
+FROM (SELECT CAST(doc_id AS VARCHAR) AS post_id FROM documents) d LEFT JOIN l USING (post_id) LEFT JOIN n USING (post_id)""",
+    "E1_composed_scores": f"""WITH {POSTS}, conv AS (
+  SELECT id AS post_id, subreddit, {HEADER} || CASE WHEN l.doc_id IS NULL THEN 'No comments' || {LF} ELSE 'Comment ID: c' || l.doc_id || {LF} ||
+         'Comment Author: rater' || {LF} || 'Comment Body: quality ' || l.quality || {LF} || '{COMMENT_RULE}' || {LF} END AS full_conversation
+  FROM dp LEFT JOIN labels l ON l.doc_id = dp.doc_id), {sent("SELECT * FROM conv")}
+SELECT sha256('conversations:' || post_id) AS perspective_id, subreddit, post_id, ((n * 7) % 1000)::DOUBLE / 1000.0::DOUBLE AS toxicity_score,
+       CASE WHEN n % 3 = 0 THEN NULL ELSE ((n * 23) % 1000)::DOUBLE / 1000.0::DOUBLE END AS threat_score
+FROM sent JOIN conv USING (post_id) WHERE {ANSWERED}""",
     "E10_best_span": """WITH spans AS (SELECT doc_id, i - 1 AS span_begin, i - 1 + length(w) AS span_end, (length(w) % 5)::DOUBLE AS score
   FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents))
 SELECT doc_id, score, CAST(span_begin AS INTEGER) AS span_begin, CAST(span_end AS INTEGER) AS span_end

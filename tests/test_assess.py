@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from threadwarden.operators import assess
+from threadwarden.sources import ledger
 from threadwarden.operators.assess import ScorerError
 
 
@@ -232,3 +233,57 @@ def test_missing_data_and_fabrication(spark):
     ruled = {r.n: (r.user_id, r.comment_id, r.is_flagged) for r in assess.apply_missing_data_rules(verdicts, comments).collect()}
     assert ruled == {1: ("ann", "c1", True), 2: ("N/A", "c2", True), 3: ("bob", "c3", False), 4: ("eve", "N/A", True), 5: ("N/A", "N/A", True), 6: ("ann", "c1", True)}
     assert {r.n for r in assess.fabricated_verdicts(verdicts, comments).collect()} == {4, 6}
+
+
+def counted(spark, answer=lambda text: "[]"):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def call(text):
+            calls.add(1)
+            return answer(text)
+
+        return call
+
+    return calls, factory
+
+
+def test_every_row_of_one_id_is_called_once(spark, folder):
+    """Many rows of one id, some with the same text, and rows without an id: one call each, in any run."""
+    rows = [("same", f"t{i % 40}") for i in range(120)] + [(None, "none"), (None, "none"), ("other", "x")]
+    items = spark.createDataFrame(rows, "post_id string, text string").withColumn("text_length", F.length("text")).repartition(6)
+    calls, factory = counted(spark)
+    got = assess.continue_calls(items, f"{folder}/calls", factory, batches=7).collect()
+    assert calls.value == len(rows) == len(got)
+    assert sorted((str(r.post_id), r.text) for r in got) == sorted((str(p), t) for p, t in rows)
+    assert len({(r.post_id, r.copy) for r in got}) == len(rows)
+    more = items.unionByName(spark.createDataFrame([("new", "y", 1), (None, "zz", 2)], items.schema))
+    assert assess.continue_calls(more, f"{folder}/calls", factory).count() == len(rows) + 2
+    assert calls.value == len(rows) + 2
+
+
+def test_more_batches_than_items(spark, folder):
+    items = spark.createDataFrame([(f"p{i}", "t", 1) for i in range(3)], "post_id string, text string, text_length int")
+    calls, factory = counted(spark)
+    assert assess.continue_calls(items, f"{folder}/calls", factory, batches=10).count() == 3 == calls.value
+    assert ledger.commits(spark, f"{folder}/calls") == [0, 1, 2]
+    assert assess.continue_calls(items, f"{folder}/calls", factory, batches=10).count() == 3 == calls.value
+    assert assess.continue_calls(items.limit(0), f"{folder}/none", factory).count() == 0
+
+
+def test_new_calls_are_parsed_once(spark, folder):
+    parsed = []
+
+    def parse(calls):
+        parsed.append(sorted(r.post_id for r in calls.collect()))
+        return calls.select("post_id")
+
+    items = spark.createDataFrame([(f"p{i}", "t", 1) for i in range(4)], "post_id string, text string, text_length int")
+    calls, factory = counted(spark)
+    paths = f"{folder}/calls", f"{folder}/scores"
+    assess.continue_calls(items.filter("post_id < 'p2'"), paths[0], factory, batches=2)
+    assert assess.parse_new_calls(spark, *paths, parse).count() == 2
+    assess.continue_calls(items, paths[0], factory)
+    assert assess.parse_new_calls(spark, *paths, parse).count() == 4
+    assert assess.parse_new_calls(spark, *paths, parse).count() == 4
+    assert parsed == [["p0", "p1"], ["p2", "p3"]]

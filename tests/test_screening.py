@@ -5,6 +5,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 import example_tables as ex
 import __spark_entry__ as contract
@@ -23,7 +24,7 @@ def never():
 
 
 def test_screening_run_is_saved_and_goes_on(spark, folder):
-    posts, comments = ex.thread_posts(spark, SF), ex.thread_comments(spark, SF)
+    posts, comments = ex.thread_posts(spark, SF).withColumn("subreddit", F.lit("forum")), ex.thread_comments(spark, SF)
     run = Screening(spark, folder, ex.stand_in_toxicity, ex.stand_in_judge, backoff=0.0)
     run.run(posts=posts, comments=comments)
     conversations = {r.post_id: r.full_conversation for r in run.table("conversations").collect()}
@@ -35,6 +36,7 @@ def test_screening_run_is_saved_and_goes_on(spark, folder):
     failed = {r.post_id for r in run.errors().filter("stage = 'score'").collect()}
     scored = {r.post_id for r in run.table("scores").collect()}
     assert failed | scored == set(conversations) and len(scored) == len(ranked)
+    assert {r.subreddit for r in run.table("scores").collect()} == {"forum"}
     verdicts = run.table("verdicts")
     n_verdicts = verdicts.count()
     assert n_verdicts > 0 and {r.post_id for r in verdicts.collect()} <= scored

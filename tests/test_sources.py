@@ -1,12 +1,11 @@
 import glob
-
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from threadwarden import schemas
-from threadwarden.sources import staging, tables
+from threadwarden.sources import ledger, staging, tables
 
 
 def test_csv_round_trip_keeps_text(spark, folder):
@@ -36,12 +35,37 @@ def test_aligned_append(spark, folder):
     tables.append_aligned(spark.createDataFrame([("1", 2.0)], "ID string, Score double"), path)
     tables.append_aligned(spark.createDataFrame([(3, "2", "x")], "score int, id string, extra string"), path)
     tables.append_aligned(spark.createDataFrame([("3",)], "id string"), path)
-    table = spark.read.parquet(path)
+    table = tables.read_appended(spark, path)
     assert table.dtypes == [("id", "string"), ("score", "double")]
     assert sorted(tuple(r) for r in table.collect() if r.score) == [("1", 2.0), ("2", 3.0)]
     first = f"{folder}/fresh"
     tables.append_aligned(spark.createDataFrame([("u",)], "username string"), first, schemas.scores_schema(["threat"]))
-    assert spark.read.parquet(first).columns == schemas.scores_schema(["threat"]).names
+    assert tables.read_appended(spark, first).columns == schemas.scores_schema(["threat"]).names
+
+
+def test_an_append_given_twice_counts_once(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.createDataFrame([("1",)], "id string")
+    assert tables.append_aligned(rows, path, number=7) and not tables.append_aligned(rows, path, number=7)
+    assert tables.append_aligned(rows, path) and tables.read_appended(spark, path).count() == 2
+    assert ledger.commits(spark, path) == [7, 8]
+
+
+def test_an_append_cut_short_is_not_read_and_written_again(spark, folder):
+    path = f"{folder}/t"
+    ledger.commit(spark.range(3), path, 0)
+
+    def broken(batches):
+        yield from batches
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception):
+        ledger.commit(spark.range(5).mapInArrow(broken, "id bigint"), path, 1)
+    assert ledger.commits(spark, path) == [0] and ledger.read_commits(spark, path).count() == 3
+    assert ledger.next_commit(spark, path) == 1 and ledger.commit(spark.range(5), path, 1)
+    assert ledger.read_commits(spark, path).count() == 8 and ledger.read_commits(spark, path, [1]).count() == 5
+    with pytest.raises(ValueError, match="No commit"):
+        ledger.read_commits(spark, f"{folder}/nothing")
 
 
 def test_materialize_once(spark, folder):
@@ -90,13 +114,20 @@ def test_stage_tables(spark):
 
 
 def test_whole_numbers_written_with_a_point(spark, folder):
-    spark.createDataFrame([("12.0", "a", "1"), ("7", "b", "x"), ("1.5", "c", ""), ("bad", "d", "9")], "n string, id string, m string").write.option("header", "true").csv(f"{folder}/n")
+    spark.createDataFrame([("12.0", "a", "1"), ("9007199254740993.0", "e", ""), ("7", "b", "x"), ("1.5", "c", ""), ("bad", "d", "9")], "n string, id string, m string").write.option("header", "true").csv(f"{folder}/n")
     got = tables.read_csv(spark, f"{folder}/n", "id string, n bigint, m int", malformed="odd")
-    assert sorted((r.id, r.n, r.m, r.odd) for r in got.collect()) == [("a", 12, 1, []), ("b", 7, None, ["m"]), ("c", None, None, ["n"]), ("d", None, 9, ["n"])]
-
-
-def test_entities_lie_in_a_bounded_number_of_files(spark, folder):
-    rows = spark.range(400).selectExpr("cast(id as string) as id", "concat('s', id % 3) as subreddit").repartition(16)
-    tables.write_entities(rows, f"{folder}/e")
+    assert sorted((r.id, r.n, r.m, r.odd) for r in got.collect()) == [("a", 12, 1, []), ("b", 7, None, ["m"]), ("c", None, None, ["n"]), ("d", None, 9, ["n"]), ("e", 9007199254740993, None, [])]
+
+
+def test_entities_lie_in_files_by_counted_rows(spark, folder):
+    """A community of most rows is written by many tasks, small ones and the null one by one."""
+    rows = spark.range(400).selectExpr("cast(id as string) as id", "case when id % 20 = 0 then null when id % 7 = 0 then 'small' else 'hot' end as subreddit")
+    # so few bytes would be put together again
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_entities(rows.repartition(16), f"{folder}/e", rows_per_file=60)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert tables.read_entities(spark, f"{folder}/e", rows.schema).count() == 400
-    assert all(sum(f.endswith(".json") for f in os.listdir(f"{folder}/e/subreddit=s{i}")) <= 4 for i in range(3))
+    files = lambda name: sum(f.endswith(".json") for f in os.listdir(f"{folder}/e/subreddit={name}"))
+    assert files("__HIVE_DEFAULT_PARTITION__") == files("small") == 1 and 2 <= files("hot") <= 6

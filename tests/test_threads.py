@@ -245,6 +245,29 @@ def test_comments_of_posts_and_top_level(spark):
     assert {(r.id, r.post_id) for r in top.collect()} == {("a", "p1"), ("f", "p1"), ("g", "p1"), ("h", "p2")}
 
 
+@pytest.mark.parametrize("levels", [1, 2, 24])
+def test_reached_comments_are_those_of_the_linked_tree(spark, levels):
+    """Level by level, or by doubling below the first levels, with copies of ids and cycles around."""
+    rng = random.Random(11)
+    rows = [(f"c{i}", f"t1_c{i - 1 - rng.randrange(min(i, 3))}" if i % 60 else f"t3_p{i // 60}", "b", "u", i) for i in range(240)]
+    rows += COMMENTS + [("c7", "t3_p3", "later copy", "u", 9999)]
+    posts, comments = frames(spark, POSTS, rows)
+    chosen = posts.filter("id <> 'p3'")
+    tree = threads.link_comments(comments).filter("post_id in ('p1', 'p2')").select("id", "post_id", "depth")
+    got = threads.reach_comments(chosen, comments, levels=levels)
+    assert sorted(got.collect()) == sorted(tree.collect()) and got.count() > 120
+    assert threads.reach_comments(chosen.limit(0), comments, levels=levels).count() == 0
+
+
+def test_columns_of_the_post_are_kept(spark):
+    posts = spark.createDataFrame([("p1", "t", "x", "u", 2, "late"), ("p1", "t", "y", "u", 1, "s1"), ("p2", "t", "z", "u", 1, None)],
+                                  "id string, title string, selftext string, author string, ord bigint, subreddit string")
+    comments = spark.createDataFrame(COMMENTS, COMMENT_DDL)
+    got = threads.compose(posts, comments, part_chars=60, keep=["subreddit", "ord"])
+    assert got.columns == ["post_id", "part", "full_conversation", "subreddit", "ord"]
+    assert {(r.post_id, r.subreddit, r.ord) for r in got.collect()} == {("p1", "s1", 1), ("p2", None, 1)}
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match=r"comments: \['body', 'author'\]"):
         threads.link_comments(spark.createDataFrame([("a", "t3_p")], "id string, parent_id string"))

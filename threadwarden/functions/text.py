@@ -69,8 +69,13 @@ def matched_terms(text: Column, terms: Sequence[str]) -> Column:
     if not wanted:
         return none
     vocabulary = sorted({w for _, words in wanted for w in words})
-    lengths = sorted({len(w) for w in vocabulary if not any(c.isalnum() for c in w)})
-    hits = F.array_intersect(text_words(text, lengths), F.array(*[F.lit(w) for w in vocabulary]))
+    # a run of symbols is looked for as it stands; cutting it out of the text would cost much more
+    symbols = [w for w in vocabulary if not any(c.isalnum() for c in w)]
+    words = [F.lit(w) for w in vocabulary if w not in symbols]
+    hits = F.array_intersect(tokens(text), F.array(*words).cast("array<string>"))
+    if symbols:
+        found = [F.when(F.contains(F.lower(text), F.lit(s)), F.lit(s)) for s in symbols]
+        hits = F.concat(hits, F.array_compact(F.array(*found)))
     listed = F.array(
         *[F.struct(F.lit(t).alias("term"), F.array(*[F.lit(w) for w in words]).alias("words")) for t, words in wanted]
     )

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,8 @@ from threadwarden import schemas
 from threadwarden.functions.scores import best_span
 from threadwarden.functions.text import CONTEXT_LIMIT, JUDGE_LIMIT, prompt, stable_id, token_estimate, truncated
 from threadwarden.operators.distributed import row_position
-from threadwarden.sources.staging import new_stage_path, stage, table_exists
+from threadwarden.sources import ledger
+from threadwarden.sources.staging import new_stage_path, stage
 
 # Seconds before the one retry after a 429, rows per batch, and the sheet name
 # stamped on conversation results.
@@ -400,31 +401,62 @@ def continue_calls(
     order: Sequence[Column | str] = ("post_id",),
     **call_options,
 ) -> DataFrame:
-    """Call the scorer for the items not yet in the calls table at ``path``, and append them.
-
-    The open items are stored once, in batches by ``order`` (whose columns the items must
-    have; worst first, so that a quota cuts the least toxic), and answers are saved batch by
-    batch: a run that stopped goes on where it ended and loses one batch at most. Without
-    ``batches`` a batch holds BATCH_SIZE items, or a hundredth of them if that is more. With
-    ``retry_failed`` items that so far have only errors are sent again.
+    """Call the scorer for the items not yet in the ledger at ``path``; returns all calls so far.
+
+    Every item row is answered once: rows of one post_id, null too, are told apart by ``copy``,
+    their number in order of the text sent, and ledger rows carry both. The open items are
+    stored once, in batches by ``order`` (whose columns the items must have; worst first, so that
+    a quota cuts the least toxic), and each batch is a commit: a run that stopped goes on where
+    it ended and loses one batch at most. Without ``batches`` a batch holds BATCH_SIZE items, or
+    a hundredth of them if that is more. With ``retry_failed`` items that so far have only
+    errors are sent again, which adds rows to theirs.
     """
     spark = items.sparkSession
-    if table_exists(spark, path):
-        done = spark.read.parquet(path)
-        items = not_yet_done(items, done.filter(F.col("response_json").isNotNull()) if retry_failed else done)
+    items = _numbered_copies(items, send)
+    if ledger.commits(spark, path):
+        done = ledger.read_commits(spark, path)
+        done = done.filter(F.col("response_json").isNotNull()) if retry_failed else done
+        done = done.select(F.col("post_id").alias("_post"), F.col("copy").alias("_copy")).distinct()
+        items = items.join(done, F.col("post_id").eqNullSafe(F.col("_post")) & (F.col("copy") == F.col("_copy")), "left_anti")
     items = stage(items, "open_items")
-    keys = ["post_id", *[c for c in ("max_score",) if c in items.columns]]
-    placed = stage(row_position(items.select(*keys), order, "position"), "positions")
+    keys = ["_row", "post_id", *[c for c in ("max_score",) if c in items.columns]]
+    placed = stage(row_position(items.select(*keys), [*order, "_row"], "position"), "positions")
     n = placed.count()
-    if batches is None:
-        batches = min(100, -(-n // BATCH_SIZE))
-    numbered = placed.select("post_id", F.expr(f"position * {max(1, batches)} div {max(1, n)}").alias("batch")).distinct()
+    batches = min(n, min(100, -(-n // BATCH_SIZE)) if batches is None else max(1, batches))
+    sent = items.drop("max_score")
+    first = ledger.next_commit(spark, path)
+    if not n:
+        if not first:
+            ledger.commit(call_scorer(sent.drop("_row"), factory, send, **call_options), path, 0)
+        return ledger.read_commits(spark, path)
+    numbered = placed.select("_row", F.expr(f"position * {batches} div {n}").alias("batch"))
     folder = new_stage_path(spark, "batches")
-    items.drop("max_score").join(numbered, "post_id").write.partitionBy("batch").parquet(folder)
-    schema = T.StructType([f for f in items.schema if f.name != "max_score"])
+    sent.join(numbered, "_row").drop("_row").write.partitionBy("batch").parquet(folder)
+    schema = sent.drop("_row").schema
     for number in range(batches):
         batch = spark.read.schema(schema).parquet(f"{folder}/batch={number}")
-        call_scorer(batch, factory, send, **call_options).write.mode("append").parquet(path)
-    if not n and not table_exists(spark, path):
-        call_scorer(items.drop("max_score"), factory, send, **call_options).write.parquet(path)
-    return spark.read.parquet(path)
+        ledger.commit(call_scorer(batch, factory, send, **call_options), path, first + number)
+    return ledger.read_commits(spark, path)
+
+
+def _numbered_copies(items: DataFrame, send: str) -> DataFrame:
+    """``items``, stored, with a row number and the number of each row among those of its post_id."""
+    rows = stage(items.withColumn("_row", F.monotonically_increasing_id()), "items")
+    narrow = rows.select("_row", "post_id", F.xxhash64(send).alias("_text"))
+    if rows.groupBy("post_id").count().filter("count > 1").isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    copies = row_position(stage(narrow, "copies"), ["_text", "_row"], "copy", ["post_id"])
+    return rows.join(copies.select("_row", "copy"), "_row")
+
+
+def parse_new_calls(spark: SparkSession, calls_path: str, path: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Append what ``parse`` makes of the commits of calls that the ledger at ``path`` has not seen.
+
+    The commit bears the number of the last commit of calls in it, so earlier ones are never
+    parsed again, and a repeated run adds nothing.
+    """
+    seen = max(ledger.commits(spark, path), default=-1)
+    new = [n for n in ledger.commits(spark, calls_path) if n > seen]
+    if new:
+        ledger.commit(parse(ledger.read_commits(spark, calls_path, new)), path, new[-1])
+    return ledger.read_commits(spark, path)

@@ -260,7 +260,13 @@ def _sums(unfinished: DataFrame) -> DataFrame:
     return unfinished.groupBy(F.col("ancestor").alias("id")).agg(*added)
 
 
-def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None = None, max_chars: int | None = None) -> DataFrame:
+def place_lines(
+    posts: DataFrame,
+    tree: DataFrame,
+    order: Sequence[str] | None = None,
+    max_chars: int | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Post headers and linked comments with their character offset in the conversation.
 
     ``tree`` is made by ``link_comments`` with ``sizes``. A comment stands behind its parent and
@@ -269,7 +275,7 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
     partial sum that reaches it ends a path. Comments of unknown posts are dropped.
 
     Columns: post_id, id (null for the header), parent_comment_id, depth, offset, content,
-    n_comments, copies (post rows with this id).
+    n_comments, copies (post rows with this id), kept (the columns ``keep`` of the post, if named).
     """
     require_columns(posts, POST_COLUMNS, "posts")
     filled = fill_posts(posts).filter(F.col("id").isNotNull())
@@ -287,21 +293,23 @@ def place_lines(posts: DataFrame, tree: DataFrame, order: Sequence[str] | None =
         F.min_by(F.length(header), rank).alias("header_chars"),
         F.min_by(_content(posts), rank).alias("header_content"),
         F.count(F.lit(1)).alias("copies"),
+        *([F.min_by(F.struct(*keep), rank).alias("kept")] if keep else []),
     )
+    kept = ["kept"] if keep else []
     comments_of = rows.filter("parent_comment_id is null").groupBy("post_id").agg(F.sum(1 + F.col("comments_below")).alias("n_comments"))
     headers = headers.join(comments_of, "post_id", "left").withColumn("n_comments", F.coalesce("n_comments", F.lit(0)))
     headers = stage(headers, "headers")
     offsets = _descend(_before_siblings(rows), max_chars, repeat)
     offset = (F.col("header_chars") + F.col("before") + len(INDENT) * F.col("depth") * F.col("before_lines")).alias("offset")
     placed = offsets.join(headers, "post_id").select(
-        "post_id", "id", "parent_comment_id", "depth", offset, "content", "n_comments", "copies"
+        "post_id", "id", "parent_comment_id", "depth", offset, "content", "n_comments", "copies", *kept
     )
     if max_chars is not None:
         placed = placed.filter(F.col("offset") < max_chars)
     nothing = F.lit(None).cast("string")
     first = headers.select(
         "post_id", nothing.alias("id"), nothing.alias("parent_comment_id"), F.lit(-1).alias("depth"),
-        F.lit(0).cast("long").alias("offset"), F.col("header_content").alias("content"), "n_comments", "copies",
+        F.lit(0).cast("long").alias("offset"), F.col("header_content").alias("content"), "n_comments", "copies", *kept,
     )
     return first.unionByName(placed)
 
@@ -384,8 +392,9 @@ def compose(
     duplicates: str = "first",
     part_chars: int = PART_CHARS,
     max_chars: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One conversation text per post: (post_id, part, full_conversation).
+    """One conversation text per post: (post_id, part, full_conversation), and the post's columns ``keep``.
 
     A thread of up to ``part_chars`` characters is one row with part 0. A longer one comes
     in several rows which, joined in order of ``part``, give the whole text; a part breaks
@@ -393,7 +402,7 @@ def compose(
     text, and only the comments it needs are fetched.
     """
     tree = link_comments(comments, order, duplicates, sizes=True)
-    return render(posts, comments, place_lines(posts, tree, max_chars=max_chars), order, duplicates, part_chars, max_chars)
+    return render(posts, comments, place_lines(posts, tree, max_chars=max_chars, keep=keep), order, duplicates, part_chars, max_chars)
 
 
 def render(
@@ -428,13 +437,14 @@ def render(
         .agg(
             F.expr("listagg(text, '') within group (order by offset)").alias("full_conversation"),
             F.max("copies").alias("copies"),
+            *([F.first("kept").alias("kept")] if "kept" in placed.columns else []),
         )
     )
     if max_chars is not None:
         parts = parts.withColumn("full_conversation", F.substring("full_conversation", 1, max_chars))
     if duplicates == "repeat":
         parts = parts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return parts.select("post_id", "part", "full_conversation")
+    return parts.select("post_id", "part", "full_conversation", *(["kept.*"] if "kept" in parts.columns else []))
 
 
 def _texts(filled: DataFrame, content: Column, is_post: Column, title: Column, body: Column) -> DataFrame:
@@ -522,3 +532,43 @@ def comments_of_posts(
     wanted = chosen.select(F.col("id").alias("post_id")).distinct()
     members = tree.select("id", "post_id", "depth").join(wanted, "post_id", "left_semi")
     return comments.join(members, "id")
+
+
+# Levels that ``reach_comments`` goes down one by one before it doubles its steps.
+LEVELS = 24
+
+
+def reach_comments(chosen: DataFrame, comments: DataFrame, order: Sequence[str] | None = None, levels: int = LEVELS) -> DataFrame:
+    """(id, post_id, depth) of the comments below the chosen posts (column ``id``), at any depth.
+
+    Level by level, the comments that answer the level above are joined to it, until a level
+    is empty: the work after the first pass follows the chosen threads. Of the other comments
+    only ids and sibling order are ever read. What is still open below ``levels`` is linked by
+    pointer doubling. Of rows repeated under one id the first in sibling order counts, of
+    equals the one with the least parent id; null ids are left out.
+    """
+    order = _order_columns(comments, order)
+    kind, key = parent_kind(F.col("parent_id")), parent_key(F.col("parent_id"))
+    rank = F.struct(_sort_text(order, comments), "parent_id")
+    first = comments.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min_by("parent_id", rank).alias("parent_id"))
+    edges = stage(first.select("id", kind.alias("kind"), key.alias("key")).filter(F.col("kind").isNotNull()), "edges")
+    replies = edges.filter("kind = 'comment'").select("id", "key")
+    top = edges.filter("kind = 'post'").join(chosen.select(F.col("id").alias("key")).distinct(), "key", "left_semi")
+    level = top.select("id", F.col("key").alias("post_id"), F.lit(0).alias("depth"))
+    path, seen = write_stage(level, "level", n=F.count(F.lit(1)))
+    paths = [path]
+    while seen["n"] and len(paths) < levels:
+        above = read_stages(level, paths[-1]).select(F.col("id").alias("key"), "post_id", (F.col("depth") + 1).alias("depth"))
+        path, seen = write_stage(replies.join(above, "key").select(*level.columns), "level", n=F.count(F.lit(1)))
+        paths.append(path)
+    reached = read_stages(level, *paths)
+    if not seen["n"]:
+        return reached
+    deepest = read_stages(level, paths[-1])
+    nothing = {"chars": F.lit(0).cast("long"), "lines": F.lit(0).cast("long")}
+    roots = deepest.select("id", F.lit(None).cast("string").alias("parent_comment_id"), "post_id")
+    rest = replies.join(reached.select("id"), "id", "left_anti")
+    rest = rest.select("id", F.col("key").alias("parent_comment_id"), F.lit(None).cast("string").alias("post_id"))
+    linked, _ = _ascend(roots.unionByName(rest).withColumns(nothing), repeat=False, sizes=False)
+    below = linked.filter("depth > 0").select("id", "post_id", (F.col("depth") + len(paths) - 1).alias("depth"))
+    return reached.unionByName(below)

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from threadwarden import schemas
 from threadwarden.functions.text import CONTEXT_LIMIT, JUDGE_LIMIT
 from threadwarden.operators import assess, gather, rank, threads
-from threadwarden.sources import tables
+from threadwarden.sources import ledger, tables
 
 # Stage names, posts requested per community, communities' recency in days.
 STAGES = ("gather", "process", "score", "rank", "judge")
 NUM_POSTS = 200
 DAYS_BACK = 99999
+# Columns of a post that its conversation keeps.
+PASSED_ON = ("subreddit", "created", "query")
 
 
 class Screening:
@@ -62,6 +64,8 @@ class Screening:
         return f"{self.folder}/{name}"
 
     def table(self, name: str) -> DataFrame:
+        if ledger.commits(self.spark, self.path(name)):
+            return ledger.read_commits(self.spark, self.path(name))
         return tables.first_existing(self.spark, self.path(name))
 
     def gather(
@@ -88,7 +92,7 @@ class Screening:
         found = tables.materialize(self.spark, self.path("posts"), lambda: gather.dedup_hits(hits), self.refresh)
 
         def replies() -> DataFrame:
-            members = threads.comments_of_posts(threads.link_comments(comments), found, comments, now, days_back)
+            members = threads.comments_of_posts(threads.reach_comments(found, comments), found, comments, now, days_back)
             term = found.select(F.col("id").alias("post_id"), "query", "subreddit")
             return members.drop("query", "subreddit").join(term, "post_id").drop("depth")
 
@@ -99,9 +103,9 @@ class Screening:
         """Rebuild the conversations of the given posts, or of the gathered ones."""
 
         def rebuilt() -> DataFrame:
-            return threads.compose(
-                self.table("posts") if posts is None else posts, self.table("comments") if comments is None else comments
-            )
+            known = self.table("posts") if posts is None else posts
+            keep = [c for c in PASSED_ON if c in known.columns]
+            return threads.compose(known, self.table("comments") if comments is None else comments, keep=keep)
 
         return tables.materialize(self.spark, self.path("conversations"), rebuilt, self.refresh)
 
@@ -111,11 +115,13 @@ class Screening:
         A model reads the beginning of a conversation only, which lies in its first part.
         """
         items = assess.prepare(self._first_parts(start_row), context_size=self.context_size)
-        calls = assess.continue_calls(
-            items, self.path("toxicity_calls"), self.toxicity, retry_failed=retry_failed, **self.call_options
-        )
-        scores = assess.flatten_scores(assess.parse_responses(calls), self.attributes)
-        return tables.materialize(self.spark, self.path("scores"), lambda: scores, refresh=True)
+        path = self.path("toxicity_calls")
+        assess.continue_calls(items, path, self.toxicity, retry_failed=retry_failed, **self.call_options)
+
+        def parsed(calls: DataFrame) -> DataFrame:
+            return assess.flatten_scores(assess.parse_responses(calls), self.attributes)
+
+        return assess.parse_new_calls(self.spark, path, self.path("scores"), parsed)
 
     def _first_parts(self, start_row: int) -> DataFrame:
         first = self.table("conversations").filter(F.col("part") == 0)
@@ -148,23 +154,27 @@ class Screening:
             narrow = assess.batch_slices(narrow, order, start_row=start_row).drop("position", "batch")
         # texts are joined to the ids that were chosen
         texts = assess.prepare_prompts(source, context_size=self.judge_context_size)
-        calls = assess.continue_calls(
+        path = self.path("verdict_calls")
+        assess.continue_calls(
             texts.join(narrow, "post_id"),
-            self.path("verdict_calls"),
+            path,
             self.judge,
             send="prompt",
             retry_failed=retry_failed,
             order=order,
             **self.call_options,
         )
-        verdicts = assess.parse_verdicts(calls, self.verdict_col, response_items=self.response_items)
-        return tables.materialize(self.spark, self.path("verdicts"), lambda: verdicts, refresh=True)
+
+        def parsed(calls: DataFrame) -> DataFrame:
+            return assess.parse_verdicts(calls, self.verdict_col, response_items=self.response_items)
+
+        return assess.parse_new_calls(self.spark, path, self.path("verdicts"), parsed)
 
     def errors(self) -> DataFrame:
         """Failed calls and unreadable responses of both models so far, with their stage."""
         scoring = assess.parse_responses(self.table("toxicity_calls"))
         found = assess.error_rows(scoring).unionByName(assess.parse_error_rows(scoring)).withColumn("stage", F.lit("score"))
-        if tables.table_exists(self.spark, self.path("verdict_calls")):
+        if ledger.commits(self.spark, self.path("verdict_calls")):
             judging = self.table("verdict_calls")
             judged = assess.error_rows(judging).unionByName(
                 assess.verdict_error_rows(judging, self.verdict_col, self.response_items)

@@ -68,6 +68,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    target, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True for a completely written table: a failed job leaves no success marker."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from threadwarden import schemas
 from threadwarden.functions.clean import NULL_TOKENS, lower_header, nulls_from_tokens
+from threadwarden.sources import ledger
 from threadwarden.sources.staging import table_exists
 
 # Quoted cells may hold line breaks, doubled quotes, backslashes and outer blanks.
@@ -63,8 +64,9 @@ def _from_text(cell: Column, kind: T.DataType) -> Column:
     """A text cell as ``kind``, null if it is none; a whole number may be written as 12.0."""
     plain = cell.try_cast(kind)
     if isinstance(kind, WHOLE):
-        number = cell.try_cast("double")
-        return F.coalesce(plain, F.when(number == F.floor(number), number.try_cast(kind)))
+        # a decimal keeps every digit of a whole number, a double does not
+        number = cell.try_cast("decimal(38,18)")
+        return F.coalesce(plain, F.when(number == F.floor(number), F.floor(number).try_cast(kind)))
     return plain
 
 
@@ -95,25 +97,39 @@ def conform(df: DataFrame, schema: T.StructType, malformed: str | None = None) -
     return df.select(*columns)
 
 
-def append_aligned(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Append rows to a Parquet table under the table's own columns.
+def append_aligned(df: DataFrame, path: str, schema: T.StructType | None = None, number: int | None = None) -> bool:
+    """Append rows to a Parquet table under the table's own columns; read it with ``read_appended``.
 
     The columns are those of the existing table, else of ``schema``, else the lower-cased
     ones of ``df``. Columns the rows lack become null; columns the table lacks are left out.
+    ``number`` names the append: one that stands already is not repeated, and false is returned.
+    Without it the append takes the next number.
     """
     spark = df.sparkSession
     rows = lower_header(df)
-    if table_exists(spark, path):
-        rows = conform(rows, spark.read.parquet(path).schema)
+    standing = ledger.commits(spark, path)
+    if standing:
+        rows = conform(rows, ledger.read_commits(spark, path).schema)
     elif schema is not None:
         rows = conform(rows, T.StructType([T.StructField(f.name.lower(), f.dataType) for f in schema]))
-    rows.write.mode("append").parquet(path)
+    return ledger.commit(rows, path, max(standing, default=-1) + 1 if number is None else number)
 
 
-def write_entities(df: DataFrame, path: str, by: str = "subreddit", mode: str = "errorifexists", files: int = 4) -> None:
-    """One JSON record per entity, in one folder per community of at most ``files`` files."""
-    share = F.pmod(F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]), F.lit(files))
-    df.repartition(F.col(by), share).write.mode(mode).partitionBy(by).json(path)
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all appends that stand."""
+    return ledger.read_commits(spark, path)
+
+
+def write_entities(df: DataFrame, path: str, by: str = "subreddit", mode: str = "errorifexists", rows_per_file: int = 100_000) -> None:
+    """One JSON record per entity, in one folder per community.
+
+    A community is dealt over as many tasks as ``rows_per_file`` goes into its counted rows;
+    adaptive execution puts shares of few bytes together again. ``df`` is evaluated twice: pass a stored table.
+    """
+    counts = df.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    share = F.pmod(F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]), F.col("_files"))
+    dealt = df.join(counts, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_share", share)
+    dealt.repartition(F.col(by), F.col("_share")).select(*df.columns).write.mode(mode).partitionBy(by).json(path)
 
 
 def read_entities(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

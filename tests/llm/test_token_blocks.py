@@ -62,6 +62,23 @@ def test_documents_read_back_from_files(spark, encoder, folder):
     assert sorted((str(r.doc_id), r.ids_crc32) for r in got) == sorted((str(i), sums(t)) for i, t in rows)
 
 
+def test_only_the_manifests_files_are_read(spark, encoder, folder):
+    """A folder may hold files of an earlier write, or of a task that ran again."""
+    write = lambda rows: token_blocks.write_token_files(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), f"file://{folder}/t", lambda: token_blocks.WordEncoder(PATH), "w", 1, file_ids=50)
+    write([(i, f"an earlier text {i}") for i in range(300)])
+    manifest = write([(i, f"later {i}") for i in range(5)])
+    got = token_blocks.read_token_files(spark, f"file://{folder}/t", manifest).collect()
+    assert sorted(r.doc_id for r in got) == list(range(5)) and {r.n_tokens for r in got} == {len(encoder.tokenizer.encode("later 0").ids) + 1}
+
+
+def test_one_doc_id_fills_several_ranges(spark):
+    rows = [(None, f"text {i} of a nameless row") for i in range(400)] + [(1, "one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = token_blocks.tokenise(df, PATH).collect()
+    assert len(got) == 401 and [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [None] * 400 + [1]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id bigint, text string").limit(0)
     assert token_blocks.tokenise(df, PATH).count() == 0

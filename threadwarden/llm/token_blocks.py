@@ -24,8 +24,8 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,10 +165,17 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
+        # pieces are normalised and cut already: the model alone is asked about them
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # white space at an end of a text leaves an empty word there
+        self.words: dict[bytes, bytes] = {b"": b""}
         self.pieces_of = regex.compile(self.PIECES).findall
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -198,7 +205,7 @@ class WordEncoder:
 
     def _learn_joined(self, pieces: list[bytes]) -> None:
         """One call for many pieces; each ends with the first token that ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.model.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(pieces):
             for piece in pieces:
@@ -210,26 +217,27 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [[] if b"<|" in t else t.lower().split() for t in texts]
-        words = np.empty(sum(map(len, split)), object)
-        words[:] = list(itertools.chain.from_iterable(split))
+        odd = [b"<|" in t for t in texts]
+        plain = pa.array([b"" if x else t for t, x in zip(texts, odd)], pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(pc.ascii_lower(plain))
         # distinct words are looked up once; the ids of all words are then copied from one array
-        which, distinct = pd.factorize(words)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
         found = list(map(self.words.get, distinct))
-        missing = {w for w, ids in zip(distinct, found) if ids is None}
-        if missing:
+        if None in found:
+            missing = {w for w, ids in zip(distinct, found) if ids is None}
             if len(self.words) + len(missing) > self.MAX_WORDS:
-                self.words.clear()
+                self.words = {b"": b""}
                 missing = set(distinct)
-            self._learn(missing)
+            self._learn(missing.difference(self.words))
             found = list(map(self.words.__getitem__, distinct))
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         table = np.frombuffer(b"".join(found), "<u4")
-        lengths = sizes[which]
-        ends = np.cumsum(lengths)
-        ids = table[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - lengths), lengths) + np.arange(lengths.sum())]
-        bounds = np.r_[0, ends][np.cumsum([0, *map(len, split)])]
-        return [self._whole(t) if b"<|" in t else ids[i:j] for t, i, j in zip(texts, bounds[:-1], bounds[1:])]
+        starts = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+        copied = pa.ListArray.from_arrays(pa.array(starts), pa.array(table)).take(words.indices)
+        ids = copied.flatten().to_numpy()
+        bounds = copied.offsets.to_numpy()[split.offsets.to_numpy()]
+        return [self._whole(t) if x else ids[i:j] for t, x, i, j in zip(texts, odd, bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def _whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4")
@@ -255,6 +263,9 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
     Documents are buffered up to one file.
     """
 
+    # names of this write alone: files of an earlier one in the folder stay as they are
+    run = uuid.uuid4().hex[:8]
+
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _open_store(folder)
         tool = worker_store(name, encoder)
@@ -263,7 +274,7 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate(state["ids"])
-            name = f"tokens-{state['part']:07d}-{state['seq']:05d}.pfor"
+            name = f"tokens-{run}-{state['part']:07d}-{state['seq']:05d}.pfor"
             draft = f"{base}/.{name}.{uuid.uuid4().hex}"
             with store.open_output_stream(draft) as out:
                 out.write(encode_file(state["docs"], state["counts"], ids, state["first"]))
@@ -279,7 +290,7 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
             state["part"] = batch.column("part")[0].as_py()
             doc_ids = batch.column("doc_id").to_pylist()
             texts = utf8(batch.column("text"))
-            for part in slices_by_bytes(texts, 1 << 23):
+            for part in slices_by_bytes(texts, 1 << 25):
                 for doc_id, ids in zip(doc_ids[part], tool.encode(texts[part])):
                     state["docs"].append(doc_id)
                     state["counts"].append(len(ids) + 1)
@@ -292,7 +303,9 @@ def write_token_files(docs: DataFrame, folder: str, encoder: Callable[[], object
 
     _make_folder(docs.sparkSession, folder)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    ranged = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id())
+    # the rows of one doc_id, null too, may fill several ranges: a hash of the text deals them
+    order = ["doc_id", F.xxhash64("text")]
+    ranged = texts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     return stage(ranged.mapInArrow(written, "part int, seq int, file string, docs bigint, ids bigint"), "manifest")
 
 
@@ -312,14 +325,18 @@ def part_offsets(manifest: DataFrame) -> dict[int, int]:
 
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document in the files of ``folder``."""
+    """doc_id, start, n_tokens and ids_crc32 of every document in the files of ``manifest``.
+
+    Other files in the folder, of an earlier write or of a task that ran again, are not read.
+    """
     offsets = part_offsets(manifest)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _open_store(folder)
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                file = TokenFile(content.as_buffer())
-                part = int(path.as_py().rpartition("/")[2].split("-")[1])
+            for part, name in zip(batch.column("part").to_pylist(), batch.column("file").to_pylist()):
+                with store.open_input_stream(f"{base}/{name}") as stream:
+                    file = TokenFile(stream.read())
                 start = file.starts[:-1] + file.first + offsets[part]
                 ids = [None if f & 1 else d for d, f in zip(file.docs["doc_id"].tolist(), file.docs["flags"].tolist())]
                 columns = [
@@ -328,7 +345,9 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.pfor").load(folder).select("path", "content")
+    # a task per file, up to the number of shuffle partitions
+    tasks = min(max(1, manifest.count()), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = manifest.select("part", "file").repartition(tasks, "file")
     return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

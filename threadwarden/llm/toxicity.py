@@ -34,9 +34,10 @@ CALIBRATION = 4
 # Ordinary words in the dictionary, the most frequent ones.
 ORDINARY_WORDS = 1_000
 # Limits that are tried for toxic words: the log odds of the shares of toxic and of ordinary
-# texts that hold the word, less DEVIATIONS of its standard errors. The calibration part decides.
+# texts that hold the word, less some of its standard errors. The calibration part decides.
 WORD_LIMITS = (1.0, 1.5, 2.0, 2.5, 3.0)
-DEVIATIONS = 2.0
+# Where so few toxic texts are labelled that no word passes, fewer are taken off.
+DEVIATIONS = (2.0, 1.0, 0.5, 0.0)
 FAMILY_KEYS = 4
 SPELLING = 12
 WINDOW_BYTES = 32
@@ -197,10 +198,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([binary_column(found), *counts], ["word", "n", "ordinary", "toxic"])
 
 
-def word_odds(toxic: Column, ordinary: Column, n_toxic: int, n_ordinary: int) -> Column:
+def word_odds(toxic: Column, ordinary: Column, n_toxic: int, n_ordinary: int, deviations: float) -> Column:
     """The lower end of the log odds of a word that so many toxic and ordinary texts hold."""
     shares = F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((ordinary + 0.5) / (n_ordinary + 1))
-    return shares - DEVIATIONS * F.sqrt(1 / (toxic + 0.5) + 1 / (ordinary + 0.5))
+    return shares - deviations * F.sqrt(1 / (toxic + 0.5) + 1 / (ordinary + 0.5))
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
@@ -208,7 +209,6 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
 
     ``usable`` tells which label rows may be learned from. A document labelled both ways
     counts as toxic. Without labels of either kind every score will be 0. Words come to the
-    counts as toxic. Without labels of either kind every score will be 0. Words come to the
     driver, not texts: the most frequent ordinary ones and those above the least of WORD_LIMITS.
     The limit with the fewest errors on the calibration part is taken, the higher one of equals.
     """
@@ -217,9 +217,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     words = train.mapInArrow(_word_counts, "word binary, n bigint, ordinary bigint, toxic bigint")
     words = words.groupBy("word").agg(F.sum("n").alias("n"), F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    odds = word_odds(F.col("toxic"), F.col("ordinary"), sizes.get(1, 0), sizes.get(0, 0))
-    words = stage(words.withColumn("odds", odds), "words")
-    named = [(r["odds"], bytes(r["word"])) for r in words.filter(F.col("odds") > WORD_LIMITS[0]).orderBy("odds", "word").collect()]
+    words = stage(words, "counts")
+    for deviations in DEVIATIONS:
+        odds = word_odds(F.col("toxic"), F.col("ordinary"), sizes.get(1, 0), sizes.get(0, 0), deviations)
+        rated = words.withColumn("odds", odds)
+        named = [(r["odds"], bytes(r["word"])) for r in rated.filter(F.col("odds") > WORD_LIMITS[0]).orderBy("odds", "word").collect()]
+        if named:
+            break
+    words = rated
     common = words.filter((F.col("odds") <= WORD_LIMITS[0]) & (F.col("n") > 0))
     common = [bytes(r["word"]) for r in common.orderBy(F.col("n").desc(), "word").limit(ORDINARY_WORDS).collect()]
     if not named or not common:

@@ -7,15 +7,17 @@ last cut (open suffix). Two neighbouring fragments compose: the suffix of one an
 of the other close a group. Composition is associative, so the byte ranges of a very long
 document are tokenised and cut by different tasks and composed as a tree.
 
-Tokens are found word by word and kept: a single blank between two other characters that are
-not white space is a place that no token of either tokenizer spans, so a range only needs the
-text between the nearest such places around it.
+A single blank between two other characters that are not white space is a place that no token
+of either tokenizer spans, so a range is tokenised by itself: it only needs the text between
+the nearest such places around it.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
+import json
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -47,44 +49,49 @@ _FRAGMENT_SCHEMA = f"row bigint, part bigint, at bigint, body binary, cut boolea
 # ---- the monoid ----
 
 
+def _no_numbers() -> np.ndarray:
+    return np.empty(0, np.int64)
+
+
 @dataclass
 class Tokens:
     """Neighbouring tokens of both tokenizers: ids and the byte offsets at which they end."""
 
-    a: list[int] = field(default_factory=list)
-    a_ends: list[int] = field(default_factory=list)
-    b: list[int] = field(default_factory=list)
-    b_ends: list[int] = field(default_factory=list)
+    a: np.ndarray = field(default_factory=_no_numbers)
+    a_ends: np.ndarray = field(default_factory=_no_numbers)
+    b: np.ndarray = field(default_factory=_no_numbers)
+    b_ends: np.ndarray = field(default_factory=_no_numbers)
 
     def __add__(self, other: Tokens) -> Tokens:
-        return Tokens(self.a + other.a, self.a_ends + other.a_ends, self.b + other.b, self.b_ends + other.b_ends)
+        return Tokens(*[np.concatenate([getattr(self, k), getattr(other, k)]) for k in TOKENS])
 
     def between(self, begin: float, end: float) -> Tokens:
         """Those that end after ``begin``, at ``end`` at the latest."""
-
-        def cut(ids: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
-            i, j = np.searchsorted(ends, [begin, end], "right") if ends else (0, 0)
-            return ids[i:j], ends[i:j]
-
-        return Tokens(*cut(self.a, self.a_ends), *cut(self.b, self.b_ends))
+        i, j = np.searchsorted(self.a_ends, [begin, end], "right")
+        k, n = np.searchsorted(self.b_ends, [begin, end], "right")
+        return Tokens(self.a[i:j], self.a_ends[i:j], self.b[k:n], self.b_ends[k:n])
 
     def pack(self) -> dict[str, bytes]:
-        return {k: np.array(getattr(self, k), "<i8").tobytes() for k in ("a", "a_ends", "b", "b_ends")}
+        return {k: getattr(self, k).astype("<i8").tobytes() for k in TOKENS}
 
     @staticmethod
     def unpack(cells: dict[str, bytes]) -> Tokens:
-        return Tokens(*[np.frombuffer(cells[k], "<i8").tolist() for k in ("a", "a_ends", "b", "b_ends")])
+        return Tokens(*[np.frombuffer(cells[k], "<i8") for k in TOKENS])
+
+
+TOKENS = ("a", "a_ends", "b", "b_ends")
 
 
 @dataclass
 class Closed:
-    """Closed groups one after the other: their text, links as codes, and the end of the first."""
+    """Closed groups one after the other: their text, their links as codes, the end of the first group."""
 
-    text: list[str]
-    codes: list[int]
-    at: int | None
-    n_a: int
-    n_b: int
+    text: str = ""
+    codes: np.ndarray = field(default_factory=_no_numbers)
+    at: int | None = None
+    n_a: int = 0
+    n_b: int = 0
+    n_groups: int = 0
 
 
 @dataclass
@@ -97,34 +104,49 @@ class Fragment:
     valid: bool = True
 
 
+@functools.cache
+def _shown(bits: int, mark: str) -> np.ndarray:
+    """Decimal numbers of so many bits, each with ``mark`` behind it."""
+    return np.array([f"{i}{mark}" for i in range(1 << bits)], object)
+
+
+def _with_marks(ids: np.ndarray, last: np.ndarray, mark: str) -> np.ndarray:
+    bits = int(ids.max(initial=0)).bit_length()
+    return np.where(last, _shown(bits, mark)[ids], _shown(bits, ",")[ids])
+
+
+def links(tokens: Tokens, b_size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends and codes of all links; a link's code is a's id * ``b_size`` + b's id.
+
+    Between two neighbouring token ends of either kind lies one token of each, and every
+    overlapping pair has one such place.
+    """
+    ends = np.union1d(tokens.a_ends, tokens.b_ends)
+    a, b = tokens.a[np.searchsorted(tokens.a_ends, ends)], tokens.b[np.searchsorted(tokens.b_ends, ends)]
+    return ends, a.astype(np.int64) * b_size + b
+
+
+def group_marks(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """The cuts, and the tokens' ids with their marks, group by group, A before B."""
+    cuts = np.intersect1d(tokens.a_ends, tokens.b_ends, assume_unique=True)
+    of_a, of_b = np.searchsorted(cuts, tokens.a_ends), np.searchsorted(cuts, tokens.b_ends)
+    marked = [_with_marks(tokens.a, cuts[of_a] == tokens.a_ends, "|"), _with_marks(tokens.b, cuts[of_b] == tokens.b_ends, ";")]
+    return cuts, np.concatenate(marked)[np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")]
+
+
 def close(tokens: Tokens, b_size: int) -> Closed:
-    """The groups of tokens that end with a cut. A link's code is a's id * ``b_size`` + b's id."""
-    a, a_ends, b, b_ends = tokens.a, tokens.a_ends, tokens.b, tokens.b_ends
-    text, codes, at = [], [], None
-    i = j = i0 = j0 = 0
-    while i < len(a):
-        # the tokens in hand overlap
-        codes.append(a[i] * b_size + b[j])
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            text.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            if at is None:
-                at = a_ends[i - 1]
-            i0, j0 = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return Closed(text, codes, at, len(a), len(b))
+    """The groups of tokens that end with a cut."""
+    if not len(tokens.a):
+        return Closed()
+    cuts, marked = group_marks(tokens)
+    return Closed("".join(marked.tolist())[:-1], links(tokens, b_size)[1], int(cuts[0]), len(tokens.a), len(tokens.b), len(cuts))
 
 
 def fragment(tokens: Tokens, first: bool, b_size: int) -> tuple[Fragment, Closed]:
     """The fragment of a range's tokens; a document's beginning is a cut, so its first range has no prefix."""
-    cuts = np.intersect1d(tokens.a_ends, tokens.b_ends).tolist()
-    if not cuts:
-        if first:
-            return Fragment(Tokens(), tokens, True), close(Tokens(), b_size)
-        return Fragment(tokens, Tokens(), False), close(Tokens(), b_size)
+    cuts = np.intersect1d(tokens.a_ends, tokens.b_ends, assume_unique=True)
+    if not len(cuts):
+        return (Fragment(Tokens(), tokens, True) if first else Fragment(tokens, Tokens(), False)), Closed()
     begin = -1 if first else cuts[0]
     rest = tokens.between(cuts[-1], float("inf"))
     return Fragment(tokens.between(-1, begin), rest, True), close(tokens.between(begin, cuts[-1]), b_size)
@@ -132,7 +154,7 @@ def fragment(tokens: Tokens, first: bool, b_size: int) -> tuple[Fragment, Closed
 
 def compose(left: Fragment, right: Fragment, b_size: int) -> tuple[Fragment, Closed]:
     """The fragment of two neighbouring ranges, and the group that closes between them, if any."""
-    valid, nothing = left.valid and right.valid, Closed([], [], None, 0, 0)
+    valid, nothing = left.valid and right.valid, Closed()
     if not valid:
         # no token of such a document counts
         return Fragment(Tokens(), Tokens(), left.cut or right.cut, False), nothing
@@ -156,164 +178,115 @@ def byte_of_character() -> dict[str, int]:
 
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+# Fixed value: the pattern by which byte-level vocabularies of this kind cut a text.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Aligner:
-    """Both tokenizers of a worker, with the aligned words that it has met.
+    """Both tokenizers of a worker. A document is a blank and its text: A (``byte_level``) encodes
+    that, B (``pieces``) the text, in front of which it puts a blank itself.
 
-    A document is a blank and its text. ``byte_level`` (A) encodes that, ``pieces`` (B) the text.
+    A byte-level vocabulary whose merges are numbered in their order gives the same ids by ranks,
+    several times faster; any other is left to its own library.
     """
 
-    # Words and bytes kept at a time; the table is emptied when it is full.
-    MAX_WORDS, MAX_BYTES = 500_000, 1 << 27
-
     def __init__(self, byte_level: str, pieces: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tool_a = Tokenizer.from_file(byte_level)
-        self.tool_a.encode_special_tokens = True
         self.tool_b = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        with open(byte_level, encoding="utf-8") as f:
+            known = json.load(f)
+        model, cut = known["model"], known["pre_tokenizer"]
         bytes_of = byte_of_character()
-        vocabulary = self.tool_a.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        special = {t["content"]: t["id"] for t in known["added_tokens"]}
+        vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+        self.bytes_a = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
         for token, i in vocabulary.items():
-            self.bytes_a[i] = bytes(bytes_of[c] for c in token) if all(c in bytes_of for c in token) else token.encode()
+            self.bytes_a[i] = bytes(bytes_of[c] for c in token)
+        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        plain = known["normalizer"] is None and cut == cut | {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if plain and merged == sorted(merged) and not model.get("ignore_merges"):
+            import tiktoken
+
+            ranks = {self.bytes_a[i]: i for i in vocabulary.values()}
+            self.encode_a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            from tokenizers import Tokenizer
+
+            tool = Tokenizer.from_file(byte_level)
+            tool.encode_special_tokens = True
+            self.encode_a = lambda text: tool.encode(text, add_special_tokens=False).ids
         self.bytes_b = []
         self.b_size = self.tool_b.get_piece_size()
-        spanning = False
+        # with pieces across words, only whole texts are safe
+        self.cuts_words = True
         for i in range(self.b_size):
             piece = self.tool_b.id_to_piece(i)
             one = _BYTE_PIECE.fullmatch(piece)
             self.bytes_b.append(bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode())
-            spanning |= bool(re.search("[^▁]▁", piece))
-        # a vocabulary with pieces across words leaves only whole texts
-        self.cuts_words = not spanning
+            self.cuts_words &= not re.search("[^▁]▁", piece)
         self.length_a = np.array([len(x) for x in self.bytes_a])
         self.length_b = np.array([len(x) for x in self.bytes_b])
-        self.known: dict[str, int] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known.clear()
-        # per word: counts of a, b and groups, and validity; then its groups' text and its links
-        self.counts: list[tuple[int, int, int, bool]] = []
-        self.texts: list[str] = []
-        self.codes: list[np.ndarray] = []
-        self.held = 0
-
-    def words(self, text: str) -> list[str]:
-        """The text cut at its safe blanks, which go; each word is encoded behind a blank."""
-        parts = text.split(" ")
-        if len(parts) == 1 or not self.cuts_words:
-            return [text]
-        if all(parts) and "\n" not in text and text.isprintable():
-            # no white space but single blanks
-            return parts
-        found = [parts[0]]
-        for part in parts[1:]:
-            last = found[-1]
-            if part and last and not part[0].isspace() and not last[-1].isspace():
-                found.append(part)
-            else:
-                found[-1] = f"{last} {part}"
-        return found
-
-    def tokens(self, words: Sequence[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of each word by A and by B."""
-        found_b = self.tool_b.encode(list(words), num_threads=1)
-        found_a: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if w and not w[0].isspace() and not w[-1].isspace()]
-        if plain:
-            # one call for many words: their ids part where their bytes do
-            ids = np.array(self.tool_a.encode("".join([" " + words[i] for i in plain]), add_special_tokens=False).ids, np.int64)
-            ends = np.cumsum(self.length_a[ids])
-            wanted = np.cumsum([1 + len(words[i].encode()) for i in plain])
-            at = np.searchsorted(ends, wanted)
-            if len(ends) and at[-1] < len(ends) and (ends[at] == wanted).all():
-                for i, begin, end in zip(plain, [0, *(at[:-1] + 1).tolist()], (at + 1).tolist()):
-                    found_a[i] = ids[begin:end].tolist()
-            else:
-                plain = []
-        for i in set(range(len(words))).difference(plain):
-            found_a[i] = self.tool_a.encode(" " + words[i], add_special_tokens=False).ids
-        return list(zip(found_a, found_b))
-
-    def is_valid(self, word: str, a: list[int], b: list[int]) -> bool:
-        whole = b" " + word.encode()
-        return b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
-
-    def learn(self, words: list[str]) -> None:
-        for begin in range(0, len(words), 256):
-            chosen = words[begin : begin + 256]
-            for word, (a, b) in zip(chosen, self.tokens(chosen)):
-                self.known[word] = len(self.counts)
-                if not self.is_valid(word, a, b):
-                    self.counts.append((0, 0, 0, False))
-                    self.texts.append("")
-                    self.codes.append(np.empty(0, np.int64))
-                    continue
-                ends = [np.cumsum(x[y]).tolist() for x, y in ((self.length_a, a), (self.length_b, b))]
-                closed = close(Tokens(a, ends[0], b, ends[1]), self.b_size)
-                self.counts.append((len(a), len(b), len(closed.text), True))
-                self.texts.append(";".join(closed.text))
-                self.codes.append(np.array(closed.codes, np.int64))
-                self.held += len(word) + len(self.texts[-1]) + self.codes[-1].nbytes
-
-    def whole_texts(self, texts: list[str]) -> list[tuple]:
-        """Of each text, which is neither null nor empty: sha256 of its groups, counts, validity, links."""
-        split = [self.words(t) for t in texts]
-        words = list(itertools.chain.from_iterable(split))
-        missing = set(words).difference(self.known)
-        if missing:
-            if len(self.known) + len(missing) > self.MAX_WORDS or self.held > self.MAX_BYTES:
-                self._clear()
-                missing = set(words)
-            self.learn(sorted(missing))
-        numbers, which = np.unique(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)), return_inverse=True)
-        counts = np.array([self.counts[i] for i in numbers.tolist()], np.int64)[which]
-        text_of = [self.texts[i] for i in numbers.tolist()]
-        codes = [self.codes[i] for i in numbers.tolist()]
-        starts = np.cumsum([0, *map(len, split)])
-        sums = np.add.reduceat(counts, starts[:-1], axis=0)
-        out = []
-        for n, (begin, end) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
-            n_a, n_b, n_groups, valid = sums[n].tolist()
-            if valid < end - begin:
-                out.append((None, 0, 0, 0, False, b"", b""))
-                continue
-            mine = which[begin:end]
-            digest = hashlib.sha256(";".join([text_of[i] for i in mine.tolist()]).encode()).hexdigest()
-            own, repeats = np.unique(mine, return_counts=True)
-            links = [codes[i] for i in own.tolist()]
-            packed = pack_links(np.concatenate(links), np.repeat(repeats, [len(x) for x in links]), self.links_type)
-            out.append((digest, n_a, n_b, n_groups, True, *packed))
-        return out
 
     @property
     def links_type(self) -> str:
         return "<u4" if len(self.bytes_a) * self.b_size < 1 << 32 else "<u8"
 
+    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of a blank and the text by A and by B; None if either does not give back its bytes."""
+        a, b = self.encode_a(" " + text), self.tool_b.encode(text)
+        whole = b" " + text.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+            return None
+        return a, b
+
+    def tokens(self, pairs: Sequence[tuple[list[int], list[int]]], begin: int = 0) -> Tokens:
+        """Tokens of texts that follow each other from byte ``begin`` on."""
+        a, b = (np.fromiter(itertools.chain.from_iterable(p[k] for p in pairs), np.int64) for k in (0, 1))
+        return Tokens(a, begin + np.cumsum(self.length_a[a]), b, begin + np.cumsum(self.length_b[b]))
+
+    def whole_texts(self, texts: list[str]) -> list[tuple]:
+        """Of each text, which is neither null nor empty: sha256 of its groups, counts, validity, links."""
+        pairs = [self.encode(t) for t in texts]
+        valid = [p for p in pairs if p is not None]
+        if not valid:
+            return [_NOTHING] * len(texts)
+        # texts end with a cut, so all of them are aligned in one go
+        tokens = self.tokens(valid)
+        n_a, n_b = (np.array([len(p[k]) for p in valid]) for k in (0, 1))
+        text_ends = tokens.a_ends[np.cumsum(n_a) - 1]
+        cuts, marked = group_marks(tokens)
+        marked = marked.tolist()
+        n_groups = np.bincount(np.searchsorted(text_ends, cuts), minlength=len(valid))
+        ends, codes = links(tokens, self.b_size)
+        pair_space = len(self.bytes_a) * self.b_size
+        keys, times = np.unique(np.searchsorted(text_ends, ends) * pair_space + codes, return_counts=True)
+        bounds = np.searchsorted(keys, np.arange(len(valid) + 1) * pair_space).tolist()
+        codes, times = (keys % pair_space).astype(self.links_type), times.astype("<u4")
+        places = np.r_[0, np.cumsum(n_a + n_b)].tolist()
+        found = iter(
+            (
+                hashlib.sha256("".join(marked[places[i] : places[i + 1]])[:-1].encode()).hexdigest(),
+                int(n_a[i]), int(n_b[i]), int(n_groups[i]), True,
+                codes[bounds[i] : bounds[i + 1]].tobytes(), times[bounds[i] : bounds[i + 1]].tobytes(),
+            )
+            for i in range(len(valid))
+        )
+        return [_NOTHING if p is None else next(found) for p in pairs]
+
     def range_tokens(self, context: str, begin: int) -> tuple[Tokens, bool]:
         """All tokens of a blank and ``context``, which stand from byte ``begin`` on, and their validity."""
-        words = self.words(context)
-        found = self.tokens(words)
-        if not all(self.is_valid(w, a, b) for w, (a, b) in zip(words, found)):
-            return Tokens(), False
-        a, b = (list(itertools.chain.from_iterable(f[k] for f in found)) for k in (0, 1))
-        ends = [(begin + np.cumsum(x[np.array(y, np.int64)])).tolist() for x, y in ((self.length_a, a), (self.length_b, b))]
-        return Tokens(a, ends[0], b, ends[1]), True
+        found = self.encode(context)
+        return (Tokens(), False) if found is None else (self.tokens([found], begin), True)
+
+
+_NOTHING = (None, 0, 0, 0, False, b"", b"")
 
 
-def pack_links(codes: np.ndarray, times: np.ndarray | None, kind: str) -> tuple[bytes, bytes]:
+def pack_links(codes: np.ndarray, kind: str) -> tuple[bytes, bytes]:
     """Distinct codes in order and how often each occurs."""
-    order = np.argsort(codes, kind="stable")
-    codes = codes[order]
-    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
-    times = np.ones(len(codes), np.int64) if times is None else times[order]
-    total = np.add.reduceat(times, first) if len(first) else times
-    return codes[first].astype(kind).tobytes(), total.astype("<u4").tobytes()
+    codes, times = np.unique(codes, return_counts=True)
+    return codes.astype(kind).tobytes(), times.astype("<u4").tobytes()
 
 
 # ---- short texts, and ranges of long ones ----
@@ -338,8 +311,7 @@ def align_short(docs: DataFrame, aligner: Callable[[], Aligner], name: str) -> D
             for part in slices_by_bytes(texts):
                 full = [t.decode() for t in texts[part] if t]
                 found = iter(tool.whole_texts(full) if full else [])
-                nothing = (None, 0, 0, 0, False, b"", b"")
-                out = [(d, r, *(next(found) if t else nothing)) for d, r, t in zip(ids[part], rows[part], texts[part])]
+                out = [(d, r, *(next(found) if t else _NOTHING)) for d, r, t in zip(ids[part], rows[part], texts[part])]
                 yield _binary_rows(out, ["doc_id", "row", "groups_sha256", *_PIECE_NAMES], [pa.int64(), pa.int64(), pa.string(), *_PIECE_TYPES])
 
     return docs.select("doc_id", "row", "text").mapInArrow(aligned, _SHORT_SCHEMA)
@@ -417,11 +389,11 @@ def split_long(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _fragment_row(row: int, part: int, found: Fragment | None, closed: Closed, kind: str) -> dict:
-    codes, times = pack_links(np.array(closed.codes, np.int64), None, kind)
+    codes, times = pack_links(closed.codes, kind)
     return {
-        "row": row, "part": part, "at": closed.at, "body": ";".join(closed.text).encode() if closed.text else None,
+        "row": row, "part": part, "at": closed.at, "body": closed.text.encode() if closed.text else None,
         "cut": found and found.cut, "prefix": found and found.prefix.pack(), "suffix": found and found.suffix.pack(),
-        "n_a": closed.n_a, "n_b": closed.n_b, "n_groups": len(closed.text), "valid": found and found.valid,
+        "n_a": closed.n_a, "n_b": closed.n_b, "n_groups": closed.n_groups, "valid": found and found.valid,
         "codes": codes, "times": times,
     }
 
@@ -466,7 +438,7 @@ def compose_ranges(fragments: DataFrame, b_size: int, kind: str, fan_in: int) ->
             whole, closed = compose(whole, own, b_size)
             if closed.text:
                 out.append(_fragment_row(r["row"], r["part"], None, closed, kind))
-        out.append(_fragment_row(rows[0]["row"], rows[0]["part"] // fan_in, whole, Closed([], [], None, 0, 0), kind))
+        out.append(_fragment_row(rows[0]["row"], rows[0]["part"] // fan_in, whole, Closed(), kind))
         return pa.Table.from_pylist(out, _FRAGMENT_TYPES)
 
     while parts:

@@ -121,7 +121,9 @@ def links(tokens: Tokens, b_size: int) -> tuple[np.ndarray, np.ndarray]:
     Between two neighbouring token ends of either kind lies one token of each, and every
     overlapping pair has one such place.
     """
-    ends = np.union1d(tokens.a_ends, tokens.b_ends)
+    # two sorted runs are merged
+    ends = np.sort(np.concatenate([tokens.a_ends, tokens.b_ends]), kind="stable")
+    ends = ends[np.r_[True, ends[1:] != ends[:-1]]] if len(ends) else ends
     a, b = tokens.a[np.searchsorted(tokens.a_ends, ends)], tokens.b[np.searchsorted(tokens.b_ends, ends)]
     return ends, a.astype(np.int64) * b_size + b
 

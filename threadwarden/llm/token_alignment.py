@@ -38,7 +38,9 @@ FAN_IN = 16
 # Counts of the most frequent pairs, at most so many, go to every task; the rest are joined.
 HEAD_PAIRS = 1 << 18
 # Distinct pairs that a task counts before it hands them on.
-COUNTED_PAIRS = 1 << 21
+COUNTED_PAIRS = 1 << 20
+# Bytes of text, and rows, that a task works on at a time.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 1_000
 
 _PIECE = "n_a bigint, n_b bigint, n_groups bigint, valid boolean, codes binary, times binary"
 _SHORT_SCHEMA = f"doc_id bigint, row bigint, groups_sha256 string, {_PIECE}"
@@ -310,7 +312,7 @@ def align_short(docs: DataFrame, aligner: Callable[[], Aligner], name: str) -> D
         tool = worker_store(name, aligner)
         for batch in batches:
             ids, rows, texts = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), utf8(batch.column("text"))
-            for part in slices_by_bytes(texts):
+            for part in slices_by_bytes(texts, SLICE_BYTES):
                 full = [t.decode() for t in texts[part] if t]
                 found = iter(tool.whole_texts(full) if full else [])
                 out = [(d, r, *(next(found) if t else _NOTHING)) for d, r, t in zip(ids[part], rows[part], texts[part])]
@@ -480,6 +482,12 @@ def digest_pieces(pieces: DataFrame) -> DataFrame:
 # ---- counts ----
 
 
+def _row_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(begin, SLICE_ROWS)
+
+
 def count_links(pieces: DataFrame, kind: str) -> DataFrame:
     """(code, n): how many links of all pieces have each pair; counted in tasks before they meet."""
 
@@ -495,7 +503,7 @@ def count_links(pieces: DataFrame, kind: str) -> DataFrame:
         def rows():
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(times)], ["code", "n"])
 
-        for batch in batches:
+        for batch in _row_slices(batches):
             own = np.frombuffer(b"".join(batch.column("codes").to_pylist()), kind).astype(np.int64)
             n = np.frombuffer(b"".join(batch.column("times").to_pylist()), "<u4").astype(np.int64)
             codes, times = merged(np.r_[codes, own], np.r_[times, n])
@@ -529,7 +537,7 @@ def weigh_links(pieces: DataFrame, counts: DataFrame, keep: Sequence[str], kind:
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, n, best = known.value
-        for batch in batches:
+        for batch in _row_slices(batches):
             cells = batch.column("codes").to_pylist()
             sizes = np.array([len(c) for c in cells], np.int64) // np.dtype(kind).itemsize
             own = np.frombuffer(b"".join(cells), kind).astype(np.int64)

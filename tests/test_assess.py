@@ -1,4 +1,5 @@
 import json
+import re
 import sys
 import time
 
@@ -86,6 +87,24 @@ def test_retries_and_errors(spark):
     assert results.filter(F.col("response_json").isNull() & (F.size("errors") == 0)).count() == 0
 
 
+def test_a_worker_gets_the_sent_column_alone_and_hands_answers_on(spark, capsys):
+    items = spark.range(0, 6, 1, 1).select(F.col("id").cast("string").alias("post_id"), F.repeat(F.lit("x"), 50).alias("text"), F.lit(50).alias("text_length"))
+    items = items.withColumn("prompt", F.concat("post_id", "text"))
+
+    def long_answers():
+        return lambda prompt: prompt[0] * 600_000
+
+    calls = assess.call_scorer(items, long_answers, send="prompt")
+    # the rows themselves stay in the JVM: no operator takes whole rows to Python
+    calls.explain()
+    plan = capsys.readouterr().out
+    assert "MapIn" not in plan and re.search(r"ArrowEvalPython \[answer\(prompt", plan)
+    # 3.6 million characters of answers come in several pieces; rows and answers still belong together
+    got = calls.select("post_id", "text_length", F.length("response_json").alias("n"), F.substring("response_json", 1, 1).alias("c"), "attempts").collect()
+    assert sorted(tuple(r) for r in got) == [(str(i), 50, 600_000, str(i), 1) for i in range(6)]
+    assert calls.filter("response_json is not null").count() == 6 and calls.columns[:4] == items.columns
+
+
 def test_calls_are_saved_in_batches_and_go_on(spark, folder):
     items = assess.prepare(spark.createDataFrame([(f"t{i}", f"t{i}") for i in range(20)] + [("jam", "jam")], "post_id string, full_conversation string"))
     path = f"{folder}/calls"

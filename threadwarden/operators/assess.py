@@ -11,7 +11,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +29,12 @@ RETRY_WAIT = 10.0
 MAX_RETRIES = 1
 BATCH_SIZE = 50
 SHEET_NAME = "conversations"
+# Answers leave a Python worker when so many characters, or rows, have come together.
+ANSWER_CHARS = 1_000_000
+ANSWER_ROWS = 500
+# ``schemas.SCORER_OUTPUT`` as Arrow holds it.
+_ERROR = pa.struct({"at": pa.timestamp("us", "UTC"), "error_code": pa.int32(), "message": pa.string(), "details": pa.string()})
+_ANSWER = pa.struct({"response_json": pa.string(), "attempts": pa.int32(), "errors": pa.list_(_ERROR)})
 # The sampling parameters of a generate call.
 GENERATE_PARAMS = {"temperature": 0.7, "max_output_tokens": 500, "top_p": 0.95, "top_k": 40}
 
@@ -103,28 +109,40 @@ def call_scorer(
     retried ``max_retries`` times after ``backoff`` seconds; any other failure is not.
     Every failure is an element of ``errors``; nothing is lost silently.
 
+    Only column ``send`` goes to Python, and answers come back a few at a time, so a worker holds
+    one Arrow batch of texts and never the rows of its task.
+
     Save the result before using it more than once: each use of the lazy result, and each
     task that is run again, repeats its calls.
     """
     if pace and not tasks:
         raise ValueError("pace needs tasks: the rate is kept by so many tasks together")
     wait = pace * tasks if tasks else 0.0
-    kept = items.columns
     spread = items.repartition(tasks) if tasks else items
     outcome = T.StructType.fromDDL(schemas.SCORER_OUTPUT)
-    schema = T.StructType(items.schema.fields + outcome.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(outcome)
+    def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         call = None
-        for batch in batches:
-            call = call or factory()
-            answers = [_attempt(call, value, wait, max_retries, backoff) for value in batch[send]]
-            out = batch[kept].copy()
-            for field in outcome.names:
-                out[field] = [a[field] for a in answers]
-            yield out
-
-    return spread.mapInPandas(run, schema)
+        for column in columns:
+            answers, size = [], 0
+            for value in column:
+                call = call or factory()
+                answers.append(_attempt(call, value.as_py(), wait, max_retries, backoff))
+                size += _answer_chars(answers[-1])
+                if size >= ANSWER_CHARS or len(answers) >= ANSWER_ROWS:
+                    yield pa.array(answers, _ANSWER)
+                    answers, size = [], 0
+            if answers:
+                yield pa.array(answers, _ANSWER)
+
+    # nondeterministic: no plan may move a filter below the calls or repeat them per field
+    answered = spread.withColumn("_answer", answer.asNondeterministic()(F.col(send)))
+    return answered.select(*items.columns, *[F.col(f"_answer.{n}") for n in outcome.names])
+
+
+def _answer_chars(answer: dict) -> int:
+    return len(answer["response_json"] or "") + sum(len(e["details"]) for e in answer["errors"])
 
 
 def _attempt(call, value: str, wait: float, max_retries: int, backoff: float) -> dict:

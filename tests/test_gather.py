@@ -77,6 +77,17 @@ def test_gather_of_nothing(spark, posts):
     assert gather.gather(posts, draws, NOW).count() == 0
 
 
+def test_words_of_no_term_are_dropped_before_anything_is_shuffled(spark, capsys):
+    posts = spark.createDataFrame([("a", "x y **** z"), ("a", "y x"), ("a", "x"), ("b", "x -- *"), ("c", None)], "id string, t string")
+    # terms out of an RDD: Spark cannot tell their size
+    terms = spark.createDataFrame(spark.sparkContext.parallelize([("x y",), ("***",), ("--",), ("Z x",)]), "term string")
+    found = gather.term_matches_by_join(posts, F.col("t"), terms)
+    assert sorted(tuple(r) for r in found.collect()) == [("a", "***"), ("a", "Z x"), ("a", "x y"), ("b", "--")]
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_both_ways_to_match_terms_agree(spark, posts):
     terms = spark.createDataFrame([("red fox",), ("BLUE",), ("title 7",), ("fox fox",), ("none of these",), ("red-fox",), ("blue\u00a0fox",), ("***",), (" ",)], "term string")
     text = post_text(F.col("title"), F.col("selftext"))

@@ -33,7 +33,9 @@ def text_words(text: Column, symbol_lengths: Sequence[int] = ()) -> Column:
     words = tokens(text)
     if not symbol_lengths:
         return F.array_distinct(words)
-    between = F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN_BREAK})"), F.lit(1))
+    # only runs that are long enough for some piece; a greedy match is always a whole run
+    long_run = f"({TOKEN_BREAK.removesuffix('+')}{{{min(symbol_lengths)},}})"
+    between = F.regexp_extract_all(F.lower(text), F.lit(long_run), F.lit(1))
     pieces = [
         F.flatten(
             F.transform(

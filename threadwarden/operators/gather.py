@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadwarden.functions.clean import recent
 from threadwarden.functions.text import is_symbols, matched_terms, post_text, term_words, text_words
 from threadwarden.operators.distributed import ranked_top_n, top_n_per_group
+from threadwarden.sources.staging import stage
 
 # Posts asked for per draw, and the sort names each listing accepts.
 POSTS_PER_DRAW = 40
@@ -74,16 +75,16 @@ def term_matches_by_join(df: DataFrame, text: Column, terms: DataFrame, keys: Se
     Common words are hot keys of the text side; adaptive execution splits them.
     """
     wanted = terms.select("term").distinct().select("term", term_words(F.col("term")).alias("words"))
-    wanted = wanted.select("term", F.size("words").alias("n_words"), F.explode("words").alias("word"))
+    # stored, so that the join knows its size: a short list goes to every task and no text word is shuffled
+    wanted = stage(wanted.select("term", F.size("words").alias("n_words"), F.explode("words").alias("word")), "wanted")
     symbols = wanted.filter(is_symbols(F.col("word"))).select(F.length("word").alias("n")).distinct().collect()
     words = text_words(text, sorted(r.n for r in symbols))
-    # rows that share their keys are texts of their own
+    # rows that share their keys are texts of their own; words of no term are gone before anything is grouped
     occurring = df.select(*keys, F.xxhash64(text).alias("_text"), F.explode(words).alias("word"))
     return (
-        occurring.distinct()
-        .join(wanted, "word")
-        .groupBy(*keys, "_text", "term")
-        .agg(F.count(F.lit(1)).alias("n_met"), F.first("n_words").alias("n_words"))
+        occurring.join(wanted, "word")
+        .groupBy(*keys, "_text", "term", "n_words")
+        .agg(F.count_distinct("word").alias("n_met"))
         .filter(F.col("n_met") == F.col("n_words"))
         .select(*keys, "term")
         .distinct()

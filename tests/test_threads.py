@@ -273,3 +273,29 @@ def test_missing_columns_are_named(spark):
         threads.link_comments(spark.createDataFrame([("a", "t3_p")], "id string, parent_id string"))
     with pytest.raises(ValueError, match="duplicates"):
         threads.link_comments(spark.createDataFrame(COMMENTS, COMMENT_DDL), duplicates="some")
+
+
+def test_leaves_are_peeled_off_before_pointers_double(spark, monkeypatch):
+    """Bushy trees, a chain, cycles with trees on them and lost replies: the doubling carries few rows, results are whole."""
+    rng = random.Random(7)
+    rows = [(f"c{i}", f"t1_c{rng.randrange(i)}" if i > 2 else f"t3_p{i % 2 + 1}", "text" * (1 + i % 3), "u", i) for i in range(400)]
+    rows += [(f"k{i}", f"t1_k{i - 1}" if i else "t1_c9", "x", "u", 1000 + i) for i in range(40)]
+    rows += [("r1", "t1_r2", "x", "u", 2000), ("r2", "t1_r1", "x", "u", 2001), ("o", "t1_gone", "x", "u", 2002)]
+    rows += [(f"r1_{i}", "t1_r1", "x", "u", 2010 + i) for i in range(20)] + [(f"o{i}", "t1_o", "x", "u", 2040 + i) for i in range(9)]
+    posts, comments = frames(spark, POSTS, rows)
+
+    def results():
+        tree = threads.link_comments(comments, sizes=True)
+        bare = threads.link_comments(comments).select("id", "post_id", "depth", "parent_comment_id")
+        placed = [threads.place_lines(posts, tree, max_chars=n) for n in (None, 900)]
+        shown = tree.select("id", "post_id", "depth", "chars_below", "lines_below", "comments_below")
+        return [sorted(map(tuple, df.collect()), key=str) for df in (shown, bare, *[p.select("post_id", "id", "depth", "offset", "n_comments") for p in placed])]
+
+    plain = results()
+    doubled = []
+    ascend = threads._ascend
+    monkeypatch.setattr(threads, "_ascend", lambda nodes, *a: doubled.append(nodes.count()) or ascend(nodes, *a))
+    monkeypatch.setattr(threads, "PEEL_ROWS", 20)
+    assert results() == plain and len(plain[0]) == 440
+    assert max(doubled) < len(rows) / 2
+    assert whole(threads.compose(posts, comments)) == walk(POSTS, rows)

@@ -124,7 +124,7 @@ def link_comments(
     along a path; a path that would meet an id again is left out).
 
     With ``sizes`` each comment also knows what stands below it: how many comments, lines and
-    characters, the latter as if the comment itself were at depth 0.
+    characters, the latter as if the comment itself were at depth 0; and its layer (see ``_peel``).
     """
     if duplicates not in ("first", "none", "repeat"):
         raise ValueError(f"Invalid duplicates value: {duplicates}")
@@ -141,7 +141,9 @@ def link_comments(
         _content(comments).alias("content"),
     )
     if duplicates == "first":
-        narrow = keep_first(narrow, ["id"], ["sibling", "content"])
+        # texts and sort keys only meet an aggregate if some id is repeated
+        if not narrow.groupBy("id").count().filter("count > 1").isEmpty():
+            narrow = keep_first(narrow, ["id"], ["sibling", "content"])
     elif repeat:
         # the first copy's text stands for the id, wherever a copy of it is shown
         shown = ["author_chars", "body_chars", "content"]
@@ -159,7 +161,12 @@ def link_comments(
         # tells identical copies apart; frozen by the stage table
         (F.monotonically_increasing_id() if repeat else F.lit(0).cast("long")).alias("copy"),
     )
-    nodes = stage(placed.withColumns({"chars": _own_chars(), "lines": _own_lines()}), "nodes")
+    nodes = placed.withColumns({"chars": _own_chars(), "lines": _own_lines()})
+    path, seen = write_stage(nodes, "nodes", n=F.count(F.lit(1)))
+    nodes = read_stages(nodes, path)
+    if not repeat and seen["n"] > PEEL_ROWS:
+        core, layers = _peel(nodes)
+        return nodes.drop("post_id", *([] if sizes else ["chars", "lines"])).join(_linked_layers(core, layers, sizes), "id")
     finished, unfinished = _ascend(nodes, repeat, sizes)
     places = finished.select("id", "parent_comment_id", "post_id", "depth")
     if repeat:
@@ -171,7 +178,7 @@ def link_comments(
     if not sizes:
         return tree.drop("chars", "lines")
     below = _sums(unfinished).groupBy("id").agg(*[F.sum(c).alias(c) for c in _BELOW])
-    return tree.join(below, "id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in _BELOW})
+    return tree.join(below, "id", "left").withColumns({**{c: F.coalesce(c, F.lit(0)) for c in _BELOW}, "layer": F.lit(0)})
 
 
 # What stands below a comment: characters as if it were at depth 0, lines, comments.
@@ -189,6 +196,58 @@ def _own_lines() -> Column:
     return F.when(F.col("parent_comment_id").isNull(), len(COMMENT_LINES) + 1).otherwise(len(COMMENT_LINES) + 2).cast("long")
 
 
+# Tables of more comments lose their leaves, layer by layer, before pointers are doubled.
+PEEL_ROWS = 100_000
+
+
+def _peel(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(what is left, the layers taken off): comments nothing is left below, as long as they are a quarter.
+
+    A layer hands what stands below it and its own size to its parents, and knows the same of
+    itself for good; it is linked again from its parents. Tables shrink by a quarter at least,
+    so all layers together cost a few passes, where each doubling would carry every row.
+    Chains have few leaves and are left to the doubling, as is what is left here.
+    """
+    parent = F.col("parent_comment_id")
+    children = nodes.filter(parent.isNotNull()).groupBy(parent.alias("id")).agg(F.count(F.lit(1)).alias("children"))
+    own = nodes.select("id", "parent_comment_id", "post_id", "chars", "lines").join(children, "id", "left")
+    rows = own.withColumns({"children": F.coalesce("children", F.lit(0)), **{c: F.lit(0).cast("long") for c in _BELOW}})
+    leaf = (F.col("children") == 0) & parent.isNotNull()
+    measures = {"n": F.count(F.lit(1)), "leaves": F.count(F.when(leaf, 1))}
+    path, seen = write_stage(rows, "peeled", **measures)
+    left, layers = read_stages(rows, path), []
+    while seen["n"] > PEEL_ROWS and 4 * seen["leaves"] >= seen["n"]:
+        layer = left.filter(leaf)
+        layers.append(layer.drop("children"))
+        handed = layer.withColumns({"ancestor": parent, "depth": F.lit(1), "copies": F.lit(1)})
+        more = _sums(handed, F.count(F.lit(1)).alias("gone")).withColumnsRenamed({c: f"more_{c}" for c in _BELOW})
+        added = {c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in _BELOW}
+        rest = left.filter(~leaf).join(more, "id", "left")
+        rest = rest.withColumns({**added, "children": F.col("children") - F.coalesce("gone", F.lit(0))})
+        path, seen = write_stage(rest.select(*rows.columns), "peeled", **measures)
+        left = read_stages(rows, path)
+    return left.drop("children"), layers
+
+
+def _linked_layers(core: DataFrame, layers: list[DataFrame], sizes: bool) -> DataFrame:
+    """Post and depth of the linked comments of a peeled table; with ``sizes``, what is below them and the layer."""
+    finished, unfinished = _ascend(core, False, sizes)
+    places = finished.select("id", "post_id", "depth")
+    if sizes:
+        more = _sums(unfinished).withColumnsRenamed({c: f"more_{c}" for c in _BELOW})
+        below = core.select("id", *_BELOW).join(more, "id", "left")
+        below = below.select("id", *[(F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in _BELOW])
+        places = places.join(below, "id").withColumn("layer", F.lit(0))
+    path, _ = write_stage(places, "places")
+    paths = [path]
+    for number in range(len(layers), 0, -1):
+        above = read_stages(places, *paths).select(F.col("id").alias("parent_comment_id"), "post_id", (F.col("depth") + 1).alias("depth"))
+        linked = layers[number - 1].drop("post_id").join(above, "parent_comment_id")
+        path, _ = write_stage(linked.withColumn("layer", F.lit(number)).select(*places.columns), "places")
+        paths.append(path)
+    return read_stages(places, *paths)
+
+
 def _ascend(nodes: DataFrame, repeat: bool, sizes: bool) -> tuple[DataFrame, DataFrame]:
     """Pointer doubling towards the posts: (linked rows, all unfinished rows of all rounds).
 
@@ -199,7 +258,8 @@ def _ascend(nodes: DataFrame, repeat: bool, sizes: bool) -> tuple[DataFrame, Dat
     Copies under one parent are one row with their number; numbers multiply along a path.
     """
     keys = ["id", "parent_comment_id", "post_id"]
-    own = nodes.select(*keys, "chars", "lines")
+    peeled = [c for c in _BELOW if sizes and c in nodes.columns]
+    own = nodes.select(*keys, "chars", "lines", *peeled)
     if repeat:
         # a path that meets an id again meets one that has several parents: only those are remembered
         parents = F.struct(F.col("parent_comment_id").isNull().alias("top"), F.coalesce("parent_comment_id", "post_id").alias("key"))
@@ -209,7 +269,8 @@ def _ascend(nodes: DataFrame, repeat: bool, sizes: bool) -> tuple[DataFrame, Dat
     else:
         edges = own.withColumn("copies", F.lit(1).cast("long"))
     extra = ["met"] if repeat else []
-    below = {c: F.lit(0).cast("long") for c in _BELOW} if sizes else {}
+    # what was peeled off counts as part of the comment it hung on
+    below = {c: F.lit(0).cast("long") for c in _BELOW if c not in peeled} if sizes else {}
     start = edges.withColumns({"ancestor": F.col("parent_comment_id"), "depth": F.when(F.col("post_id").isNull(), 1).otherwise(0), **below})
     sums = ["chars", "lines", *_BELOW] if sizes else []
     start = start.select("id", "parent_comment_id", "ancestor", "post_id", "depth", "copies", *sums, *extra)
@@ -251,13 +312,13 @@ def _ascend(nodes: DataFrame, repeat: bool, sizes: bool) -> tuple[DataFrame, Dat
     return rows.filter(F.col("post_id").isNotNull()), rows.filter(F.col("ancestor").isNotNull())
 
 
-def _sums(unfinished: DataFrame) -> DataFrame:
+def _sums(unfinished: DataFrame, *others: Column) -> DataFrame:
     """What unfinished rows add to the ancestor that they point to, per ancestor as ``id``."""
     lines = F.col("lines") + F.col("lines_below")
     chars = F.col("chars") + F.col("chars_below") + len(INDENT) * F.col("depth") * lines
     adds = {"chars_below": chars, "lines_below": lines, "comments_below": 1 + F.col("comments_below")}
     added = [F.try_sum(F.try_multiply("copies", value)).alias(name) for name, value in adds.items()]
-    return unfinished.groupBy(F.col("ancestor").alias("id")).agg(*added)
+    return unfinished.groupBy(F.col("ancestor").alias("id")).agg(*added, *others)
 
 
 def place_lines(
@@ -283,7 +344,7 @@ def place_lines(
     ranked = _order_columns(posts, order)
     rank = F.struct(_sort_text(ranked, posts) if ranked else F.lit(""), _content(posts))
     repeat = _is_repeated(tree)
-    columns = ["id", "post_id", "parent_comment_id", "sibling", "copy", "content", "chars", "lines", *_BELOW]
+    columns = ["id", "post_id", "parent_comment_id", "sibling", "copy", "content", "chars", "lines", *_BELOW, "layer"]
     rows = tree.select(*columns)
     if repeat:
         # a copy below several places is one row
@@ -345,7 +406,7 @@ def _descend(rows: DataFrame, max_chars: int | None, repeat: bool) -> DataFrame:
     start = rows.select(
         "id", "parent_comment_id", "content", "chars", "lines", "before", "before_lines",
         F.col("parent_comment_id").alias("ancestor"), F.when(top, F.col("post_id")).alias("post_id"),
-        F.when(top, 0).otherwise(1).alias("depth"), *extra,
+        F.when(top, 0).otherwise(1).alias("depth"), "layer", *extra,
     )
 
     def within_reach(df: DataFrame) -> DataFrame:
@@ -353,12 +414,8 @@ def _descend(rows: DataFrame, max_chars: int | None, repeat: bool) -> DataFrame:
             return df
         return df.filter(F.col("before") + len(INDENT) * F.col("depth") * F.col("before_lines") < max_chars)
 
-    measures = {"waiting": F.count("ancestor"), "done": F.count("post_id")}
-    path, seen = write_stage(within_reach(start), "offsets", **measures)
-    paths = [path]
-    while seen["waiting"] and (len(paths) == 1 or seen["done"]):
-        open_rows = read_stages(start, paths[-1]).filter(F.col("ancestor").isNotNull())
-        known = read_stages(start, *paths).filter(F.col("post_id").isNotNull()).unionByName(open_rows)
+    def lengthened(open_rows: DataFrame, known: DataFrame) -> DataFrame:
+        """``open_rows`` with what their ancestor knows."""
         known = known.select(
             F.col("id").alias("ancestor"),
             F.col("ancestor").alias("next_ancestor"),
@@ -373,16 +430,31 @@ def _descend(rows: DataFrame, max_chars: int | None, repeat: bool) -> DataFrame:
         if repeat:
             joined = joined.filter(~F.arrays_overlap("met", "upper_met"))
         raised = F.col("before") + F.col("upper") - len(INDENT) * F.col("depth") * F.col("upper_lines")
-        step = joined.select(
+        return within_reach(joined.select(
             "id", "parent_comment_id", "content", "chars", "lines",
             raised.alias("before"), (F.col("before_lines") + F.col("upper_lines")).alias("before_lines"),
             F.col("next_ancestor").alias("ancestor"), F.col("known_post").alias("post_id"),
-            (F.col("depth") + F.col("steps")).alias("depth"),
+            (F.col("depth") + F.col("steps")).alias("depth"), "layer",
             *([F.concat("upper_met", "met").alias("met")] if repeat else []),
-        )
-        path, seen = write_stage(within_reach(step), "offsets", **measures)
+        ))
+
+    def finished(paths: list[str]) -> DataFrame:
+        return read_stages(start, *paths).filter(F.col("post_id").isNotNull())
+
+    # layers that were peeled off wait until all that is above them is placed
+    waiting = F.col("ancestor").isNotNull() & (F.col("layer") == 0)
+    measures = {"waiting": F.count(F.when(waiting, 1)), "done": F.count("post_id")}
+    path, seen = write_stage(within_reach(start), "offsets", **measures, layers=F.max("layer"))
+    paths, layers = [path], seen["layers"] or 0
+    while seen["waiting"] and (len(paths) == 1 or seen["done"]):
+        open_rows = read_stages(start, paths[-1]).filter(waiting)
+        path, seen = write_stage(lengthened(open_rows, finished(paths).unionByName(open_rows)), "offsets", **measures)
+        paths.append(path)
+    for number in range(layers, 0, -1):
+        layer = read_stages(start, paths[0]).filter(F.col("layer") == number)
+        path, _ = write_stage(lengthened(layer, finished(paths)), "offsets")
         paths.append(path)
-    return read_stages(start, *paths).filter(F.col("post_id").isNotNull()).drop("ancestor", *extra)
+    return finished(paths).drop("ancestor", "layer", *extra)
 
 
 def compose(

@@ -145,7 +145,10 @@ def stand_in_toxicity():
     def score(text: str) -> str | None:
         n = len(text)
         kind = n % 10
-        if kind == 1 or (kind == 3 and text not in tried):
+        if kind == 1:
+            raise ScorerError(429, "slow down")
+        if kind == 3 and text not in tried:
+            # until its retry only: the set must not grow with the calls
             tried.add(text)
             raise ScorerError(429, "slow down")
         tried.discard(text)

@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+import example_tables as ex
 from threadwarden.operators import assess
 from threadwarden.sources import ledger
 from threadwarden.operators.assess import ScorerError
@@ -105,6 +106,19 @@ def test_a_worker_gets_the_sent_column_alone_and_hands_answers_on(spark, capsys)
     assert calls.filter("response_json is not null").count() == 6 and calls.columns[:4] == items.columns
 
 
+def test_the_stand_in_remembers_no_text_after_its_retry():
+    score = ex.stand_in_toxicity()
+    for n in range(1, 400):
+        for _ in range(2):
+            try:
+                score("x" * n)
+                break
+            except ScorerError:
+                pass
+    (tried,) = [c.cell_contents for c in score.__closure__ if isinstance(c.cell_contents, set)]
+    assert not tried
+
+
 def test_calls_are_saved_in_batches_and_go_on(spark, folder):
     items = assess.prepare(spark.createDataFrame([(f"t{i}", f"t{i}") for i in range(20)] + [("jam", "jam")], "post_id string, full_conversation string"))
     path = f"{folder}/calls"

@@ -299,3 +299,32 @@ def test_leaves_are_peeled_off_before_pointers_double(spark, monkeypatch):
     assert results() == plain and len(plain[0]) == 440
     assert max(doubled) < len(rows) / 2
     assert whole(threads.compose(posts, comments)) == walk(POSTS, rows)
+
+
+def test_small_families_are_summed_in_one_window(spark, monkeypatch):
+    """Only replies to a parent with more than FAMILY_ROWS of them go through slices; the text is the same."""
+    rows = [(f"h{i}", "t3_p1" if i % 2 else "t1_f", "x" * (1 + i % 5), "u", 1000 - i) for i in range(60)]
+    rows += COMMENTS + [(f"r{i}", f"t1_h{i}", "y", "u", i) for i in range(30)]
+    posts, comments = frames(spark, POSTS, rows)
+    expected = walk(POSTS, rows)
+    sliced = []
+    running_total = threads.running_total
+
+    def counted(df, *a, **b):
+        sliced.append(sorted({r.family for r in df.select("family").collect()}))
+        return running_total(df, *a, **b)
+
+    monkeypatch.setattr(threads, "running_total", counted)
+    assert whole(threads.compose(posts, comments)) == expected and not sliced
+    monkeypatch.setattr(threads, "FAMILY_ROWS", 20)
+    assert whole(threads.compose(posts, comments)) == expected and sliced == [["cf", "pp1"]]
+
+
+def test_ids_without_copies_are_counted_once(spark, monkeypatch):
+    """Repeated posts are still shown once when no comment is repeated."""
+    seen = []
+    any_repeated = threads._any_repeated
+    monkeypatch.setattr(threads, "_any_repeated", lambda df, keys: seen.append(sorted(df.columns)) or any_repeated(df, keys))
+    posts, comments = frames(spark, POSTS + POSTS, COMMENTS)
+    assert whole(threads.compose(posts, comments)) == walk(POSTS, COMMENTS)
+    assert len(seen) == 2 and "parent_id" in seen[0] and "title" in seen[1]

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadwarden.functions.clean import (
@@ -142,7 +142,7 @@ def link_comments(
     )
     if duplicates == "first":
         # texts and sort keys only meet an aggregate if some id is repeated
-        if not narrow.groupBy("id").count().filter("count > 1").isEmpty():
+        if _any_repeated(narrow, ["id"]):
             narrow = keep_first(narrow, ["id"], ["sibling", "content"])
     elif repeat:
         # the first copy's text stands for the id, wherever a copy of it is shown
@@ -343,13 +343,15 @@ def place_lines(
     header = post_header(F.col("id"), F.col("title"), F.col("selftext"), F.col("author"))
     ranked = _order_columns(posts, order)
     rank = F.struct(_sort_text(ranked, posts) if ranked else F.lit(""), _content(posts))
-    repeat = _is_repeated(tree)
     columns = ["id", "post_id", "parent_comment_id", "sibling", "copy", "content", "chars", "lines", *_BELOW, "layer"]
     rows = tree.select(*columns)
+    path, seen = write_stage(rows, "siblings", copies=F.max("copy"))
+    rows = read_stages(rows, path)
+    # only if row copies are visited do rows have a number of their own
+    repeat = (seen["copies"] or 0) > 0
     if repeat:
         # a copy below several places is one row
-        rows = rows.withColumn("post_id", F.when(F.col("parent_comment_id").isNull(), F.col("post_id"))).distinct()
-    rows = stage(rows, "siblings")
+        rows = stage(rows.withColumn("post_id", F.when(F.col("parent_comment_id").isNull(), F.col("post_id"))).distinct(), "siblings")
     headers = filled.groupBy(F.col("id").alias("post_id")).agg(
         F.min_by(F.length(header), rank).alias("header_chars"),
         F.min_by(_content(posts), rank).alias("header_content"),
@@ -375,18 +377,27 @@ def place_lines(
     return first.unionByName(placed)
 
 
-def _is_repeated(tree: DataFrame) -> bool:
-    """Whether row copies are visited: only then do rows have a number of their own."""
-    return not tree.select("copy").filter("copy > 0").isEmpty()
+# Replies to one parent are summed in one window up to this number, more of them slice by slice.
+FAMILY_ROWS = 10_000
 
 
 def _before_siblings(rows: DataFrame) -> DataFrame:
     """``rows`` with ``before`` and ``before_lines``: characters and lines of the earlier siblings and all below them."""
     group = F.coalesce(F.concat(F.lit("c"), "parent_comment_id"), F.concat(F.lit("p"), "post_id"))
     sizes = {"before": F.col("chars") + F.col("chars_below"), "before_lines": F.col("lines") + F.col("lines_below")}
+    order = ["sibling", "id", "copy"]
     narrow = rows.withColumn("family", group)
-    return running_total(
-        narrow, ["sibling", "id", "copy"], list(sizes.values()), list(sizes), within=["family"], null_groups=False
+    # counted by a hash: families that share one may be summed in slices too, which is as right
+    hashed = F.xxhash64("family").alias("hashed")
+    large = stage(narrow.groupBy(hashed).count().filter(F.col("count") > FAMILY_ROWS).select("hashed"), "families")
+    earlier = Window.partitionBy("family").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = {name: F.coalesce(F.sum(size).over(earlier), F.lit(0)) for name, size in sizes.items()}
+    if large.isEmpty():
+        return narrow.withColumns(summed)
+    small = narrow.join(large, hashed == F.col("hashed"), "left_anti").withColumns(summed)
+    sliced = narrow.join(large, hashed == F.col("hashed"), "left_semi")
+    return small.unionByName(
+        running_total(sliced, order, list(sizes.values()), list(sizes), within=["family"], null_groups=False)
     )
 
 
@@ -473,6 +484,9 @@ def compose(
     only between comments. With ``max_chars`` the result is the exact beginning of each
     text, and only the comments it needs are fetched.
     """
+    if duplicates == "first" and not _any_repeated(comments, ["id"]):
+        # counted once for the tree and the texts
+        duplicates = "none"
     tree = link_comments(comments, order, duplicates, sizes=True)
     return render(posts, comments, place_lines(posts, tree, max_chars=max_chars, keep=keep), order, duplicates, part_chars, max_chars)
 
@@ -496,7 +510,8 @@ def render(
     post_texts = _texts(fill_posts(posts), _content(posts), F.lit(True), F.col("title"), F.col("selftext").alias("body"))
     comment_texts = _texts(fill_comments(comments), _content(comments), F.lit(False), no_title, F.col("body"))
     # the line names the copy that stands for its id, so texts meet no aggregate
-    texts = _without_repeats(post_texts, duplicates).unionByName(_without_repeats(comment_texts, duplicates))
+    comment_texts = comment_texts if duplicates == "none" else _without_repeats(comment_texts)
+    texts = _without_repeats(post_texts).unionByName(comment_texts)
     is_post = F.col("depth") < 0
     lines = placed.withColumns({"is_post": is_post, "line_id": F.when(is_post, F.col("post_id")).otherwise(F.col("id"))})
     header = post_header(F.col("line_id"), F.col("title"), F.col("body"), F.col("author"))
@@ -525,12 +540,16 @@ def _texts(filled: DataFrame, content: Column, is_post: Column, title: Column, b
     )
 
 
-def _without_repeats(texts: DataFrame, duplicates: str) -> DataFrame:
+def _without_repeats(texts: DataFrame) -> DataFrame:
     """One row per id and content; texts are only shuffled for it if some row is repeated."""
     keys = ["line_id", "content"]
-    if duplicates == "none" or texts.groupBy(*keys).count().filter("count > 1").isEmpty():
-        return texts
-    return texts.dropDuplicates(keys)
+    return texts.dropDuplicates(keys) if _any_repeated(texts, keys) else texts
+
+
+def _any_repeated(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether two rows agree in ``keys``; rows with a null key are no rows of a thread."""
+    known = df.select(*keys).dropna()
+    return not known.groupBy(*keys).count().filter("count > 1").isEmpty()
 
 
 def _content(df: DataFrame) -> Column:

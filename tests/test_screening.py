@@ -1,6 +1,7 @@
 """The whole chain, its incremental form and the driver contract."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -117,3 +118,15 @@ def test_plans_prune_and_push_down(spark):
     tree = ex.thread_comments(spark, SF).filter("ord > 2").select("id")
     plan = tree._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(turn), GreaterThan(turn" in plan and "text" not in plan.split("ReadSchema")[1]
+
+
+def sent_to_python(df):
+    """The columns that the scorer's workers get, by the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "MapIn" not in plan
+    return [re.sub(r"#\d+", "", sent) for sent in re.findall(r"ArrowEvalPython \[answer\((.*?)\)", plan)]
+
+
+@pytest.mark.parametrize("name, sent", [("G4_verdicts_with_source", "prompt")])
+def test_workers_of_a_query_get_one_column(spark, name, sent):
+    assert sent_to_python(contract.queries()[name](spark, SF)) == [sent]

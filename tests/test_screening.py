@@ -12,6 +12,7 @@ import example_tables as ex
 import __spark_entry__ as contract
 from threadwarden.operators import assess, rank
 from threadwarden.plans.screening import Screening
+from threadwarden.sources import ledger
 from threadwarden.streaming.assessing import assess_stream
 
 # workers cannot import test modules
@@ -130,3 +131,11 @@ def sent_to_python(df):
 @pytest.mark.parametrize("name, sent", [("G4_verdicts_with_source", "prompt"), ("E1_composed_scores", "text")])
 def test_workers_of_a_query_get_one_column(spark, name, sent):
     assert sent_to_python(contract.queries()[name](spark, SF)) == [sent]
+
+
+def test_batches_of_continued_calls_send_one_column(spark, monkeypatch):
+    sent, commit = [], ledger.commit
+    monkeypatch.setattr(ledger, "commit", lambda df, path, number: sent.append(sent_to_python(df)) or commit(df, path, number))
+    contract.queries()["E8_continued_calls"](spark, SF)
+    # three batches, four batches, and the verdicts parsed from them without Python
+    assert sent == [["prompt"]] * 7 + [[]]

@@ -128,7 +128,7 @@ def sent_to_python(df):
     return [re.sub(r"#\d+", "", sent) for sent in re.findall(r"ArrowEvalPython \[answer\((.*?)\)", plan)]
 
 
-@pytest.mark.parametrize("name, sent", [("G4_verdicts_with_source", "prompt"), ("E1_composed_scores", "text")])
+@pytest.mark.parametrize("name, sent", [("G4_verdicts_with_source", "prompt"), ("E1_composed_scores", "text"), ("E18_fabricated_verdicts", "prompt")])
 def test_workers_of_a_query_get_one_column(spark, name, sent):
     assert sent_to_python(contract.queries()[name](spark, SF)) == [sent]
 

@@ -1,4 +1,6 @@
 import json
+import os
+import random
 import re
 import sys
 import time
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 import example_tables as ex
 from threadwarden.operators import assess
-from threadwarden.sources import ledger
+from threadwarden.sources import ledger, staging
 from threadwarden.operators.assess import ScorerError
 
 
@@ -320,3 +322,73 @@ def test_new_calls_are_parsed_once(spark, folder):
     assert assess.parse_new_calls(spark, *paths, parse).count() == 4
     assert assess.parse_new_calls(spark, *paths, parse).count() == 4
     assert parsed == [["p0", "p1"], ["p2", "p3"]]
+
+
+def stored_bytes(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(folder) for f in names)
+
+
+def test_continued_calls_store_each_text_once(spark, folder, monkeypatch):
+    """Beside the ledger there is one copy of the texts at most, less with every batch, and nothing at the end."""
+    root = f"{folder}/shared"
+    monkeypatch.setattr(staging, "stage_root", lambda spark: root)
+    rng, seen, commit = random.Random(7), [], ledger.commit
+    monkeypatch.setattr(ledger, "commit", lambda df, path, n: seen.append(stored_bytes(root)) or commit(df, path, n))
+    letters = [chr(c) for c in range(33, 123)]
+    rows = [(f"p{i:03}", "".join(rng.choices(letters, k=20_000))) for i in range(200)]
+    items = assess.prepare_prompts(spark.createDataFrame(rows + rows[:80], "post_id string, full_conversation string").repartition(4))
+    calls, factory = counted(spark)
+    path = f"{folder}/calls"
+    assert assess.continue_calls(items, path, factory, send="prompt", batches=4).count() == 280 == calls.value
+    texts = 280 * 20_000
+    assert len(seen) == 4 and seen[0] < 1.1 * texts and seen[3] < 0.4 * texts
+    assert stored_bytes(root) == 0 and spark.conf.get(staging.SHUFFLE_CLEANUP, None) in (None, "false")
+
+
+def test_temporary_stages_go_when_a_call_fails(spark, folder, monkeypatch):
+    monkeypatch.setattr(staging, "stage_root", lambda spark: f"{folder}/shared")
+    items = spark.createDataFrame([(f"p{i}", "t", 1) for i in range(4)], "post_id string, text string, text_length int")
+
+    def broken():
+        raise KeyboardInterrupt
+
+    with pytest.raises(Exception):
+        assess.continue_calls(items, f"{folder}/calls", broken, batches=2)
+    assert stored_bytes(f"{folder}/shared") == 0 and not staging._temporary
+
+
+def test_sent_texts_come_back_as_they_were(spark, folder):
+    """Prompts that end with the text, that do not, that are shorter, empty or null."""
+    rows = [
+        ("a", "text", "say: text"), ("b", "text", "text, it says"), ("c", "long text", "text"), ("d", "", "only this"), ("e", "", ""),
+        ("f", None, "no text"), ("g", "no prompt", None), ("h", "\u00e9\U0001f600", "\U0001f600\u00e9\U0001f600"), ("i", "same", "same"), (None, "x", "[None] x"),
+    ]
+    items = spark.createDataFrame(rows, "post_id string, text string, prompt string").withColumn("text_length", F.length("text"))
+    calls, factory = counted(spark, lambda text: json.dumps([text]))
+    got = assess.continue_calls(items, f"{folder}/calls", factory, send="prompt", batches=3).collect()
+    assert sorted(((r.post_id, r.text, r.prompt) for r in got), key=repr) == sorted(rows, key=repr)
+    assert all(json.loads(r.response_json) == [r.prompt] for r in got) and calls.value == len(rows)
+
+
+def test_copies_are_told_apart_by_the_whole_text_sent(spark, folder):
+    """A run that stopped after some rows of one id goes on with the others, in whatever order they come."""
+    texts = [f"t{i:02}" for i in range(12)]
+
+    def items(order):
+        return assess.prepare_prompts(spark.createDataFrame([("same", t) for t in order], "post_id string, full_conversation string").coalesce(1))
+
+    def stopping():
+        def call(prompt):
+            if prompt[-3:] not in first:
+                raise KeyboardInterrupt
+            return "[]"
+
+        return call
+
+    first = set(texts[:4])
+    with pytest.raises(Exception):
+        assess.continue_calls(items(texts), f"{folder}/calls", stopping, send="prompt", batches=3)
+    assert {r.text for r in ledger.read_commits(spark, f"{folder}/calls").collect()} == first
+    calls, factory = counted(spark)
+    got = assess.continue_calls(items(texts[::-1]), f"{folder}/calls", factory, send="prompt", batches=2).collect()
+    assert sorted(r.text for r in got) == texts and calls.value == 8

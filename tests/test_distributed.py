@@ -1,12 +1,15 @@
 """Distributed building blocks against plain Spark forms."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from threadwarden.operators.distributed import keep_first, ranked_top_n, row_position, running_total, top_n_per_group
+from threadwarden.operators import distributed
+from threadwarden.operators.distributed import keep_first, move_rows, ranked_top_n, row_position, running_total, semi_join_stored, store_rows, top_n_per_group
+from threadwarden.sources.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +67,25 @@ def test_keep_first_collapses_copies(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 1, "z"), ("b", 1, "z"), ("c", None, "n")], "id string, o int, t string")
     assert collected(keep_first(df, ["id"], ["o"])) == [("a", 1, "y"), ("b", 1, "z"), ("c", None, "n")]
     assert keep_first(df.select("id"), ["id"]).count() == 3
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_semi_join_without_a_shuffle_of_the_rows(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(distributed, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(distributed, "SLICE_ROWS", 500)
+    keys = spark.createDataFrame([("hot",), ("hot",), ("k3",), (None,), ("not there",)], "key string")
+    assert collected(semi_join_stored(rows, keys, "key")) == collected(rows.join(keys, "key", "left_semi").select(*rows.columns))
+    assert semi_join_stored(rows, keys.limit(0), "key").collect() == semi_join_stored(rows.limit(0), keys, "key").collect() == []
+
+
+def test_rows_are_moved_a_slice_at_a_time(spark, rows, folder, monkeypatch):
+    monkeypatch.setattr(distributed, "SLICE_ROWS", 500)
+    left, drop = [], distributed.drop
+    stored = store_rows(rows)
+    source = os.path.dirname(stored.inputFiles()[0].removeprefix("file://"))
+    monkeypatch.setattr(distributed, "drop", lambda *a: drop(*a) or left.append(sum(f.endswith(".parquet") for f in os.listdir(source))))
+    places = stage(stored.filter("v < 90").select("_row", (F.col("v") % 3).alias("third")), "places")
+    move_rows(stored, places, f"{folder}/moved", "third")
+    assert left[-1] == 0 and len(left) > 3 and left == sorted(left, reverse=True)
+    got = [r for k in range(3) for r in spark.read.parquet(f"{folder}/moved/third={k}").filter(F.col("v") % 3 == k).collect()]
+    assert sorted((tuple(r) for r in got), key=repr) == collected(rows.filter("v < 90"))

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from threadwarden import schemas
 from threadwarden.functions.scores import best_span
 from threadwarden.functions.text import CONTEXT_LIMIT, JUDGE_LIMIT, prompt, stable_id, token_estimate, truncated
-from threadwarden.operators.distributed import row_position
+from threadwarden.operators.distributed import move_rows, row_position, store_rows
 from threadwarden.sources import ledger
-from threadwarden.sources.staging import new_stage_path, stage
+from threadwarden.sources.staging import drop, new_stage_path, read_stages, stage, temporary_stages
 
 # Seconds before the one retry after a 429, rows per batch, and the sheet name
 # stamped on conversation results.
@@ -422,49 +422,74 @@ def continue_calls(
     """Call the scorer for the items not yet in the ledger at ``path``; returns all calls so far.
 
     Every item row is answered once: rows of one post_id, null too, are told apart by ``copy``,
-    their number in order of the text sent, and ledger rows carry both. The open items are
-    stored once, in batches by ``order`` (whose columns the items must have; worst first, so that
-    a quota cuts the least toxic), and each batch is a commit: a run that stopped goes on where
-    it ended and loses one batch at most. Without ``batches`` a batch holds BATCH_SIZE items, or
-    a hundredth of them if that is more. With ``retry_failed`` items that so far have only
-    errors are sent again, which adds rows to theirs.
+    their number in order of the text sent, and ledger rows carry both. The items are stored once,
+    then moved, those that are open, to batches by ``order`` (whose columns the items must have;
+    worst first, so that a quota cuts the least toxic), and each batch is a commit: a run that
+    stopped goes on where it ended and loses one batch at most. Without ``batches`` a batch holds
+    BATCH_SIZE items, or a hundredth of them if that is more. With ``retry_failed`` items that so
+    far have only errors are sent again, which adds rows to theirs.
+
+    Texts are not shuffled here, and besides the ledger there is one stored copy of each: what has been
+    moved is deleted, and so is a batch that has been committed.
     """
     spark = items.sparkSession
-    items = _numbered_copies(items, send)
-    if ledger.commits(spark, path):
-        done = ledger.read_commits(spark, path)
-        done = done.filter(F.col("response_json").isNotNull()) if retry_failed else done
-        done = done.select(F.col("post_id").alias("_post"), F.col("copy").alias("_copy")).distinct()
-        items = items.join(done, F.col("post_id").eqNullSafe(F.col("_post")) & (F.col("copy") == F.col("_copy")), "left_anti")
-    items = stage(items, "open_items")
-    keys = ["_row", "post_id", *[c for c in ("max_score",) if c in items.columns]]
-    placed = stage(row_position(items.select(*keys), [*order, "_row"], "position"), "positions")
-    n = placed.count()
-    batches = min(n, min(100, -(-n // BATCH_SIZE)) if batches is None else max(1, batches))
-    sent = items.drop("max_score")
-    first = ledger.next_commit(spark, path)
-    if not n:
-        if not first:
-            ledger.commit(call_scorer(sent.drop("_row"), factory, send, **call_options), path, 0)
-        return ledger.read_commits(spark, path)
-    numbered = placed.select("_row", F.expr(f"position * {batches} div {n}").alias("batch"))
-    folder = new_stage_path(spark, "batches")
-    sent.join(numbered, "_row").drop("_row").write.partitionBy("batch").parquet(folder)
-    schema = sent.drop("_row").schema
-    for number in range(batches):
-        batch = spark.read.schema(schema).parquet(f"{folder}/batch={number}")
-        ledger.commit(call_scorer(batch, factory, send, **call_options), path, first + number)
+    kept = [c for c in items.columns if c != "max_score"]
+    ranked = [c for c in ("max_score",) if c in items.columns]
+    with temporary_stages(spark):
+        rows = store_rows(_folded(items.withColumn("_text", F.xxhash64(send)), send))
+        keys = _numbered_copies(rows.select("_row", "post_id", "_text", *ranked))
+        if ledger.commits(spark, path):
+            done = ledger.read_commits(spark, path)
+            done = done.filter(F.col("response_json").isNotNull()) if retry_failed else done
+            done = done.select(F.col("post_id").alias("_post"), F.col("copy").alias("_copy")).distinct()
+            keys = keys.join(done, F.col("post_id").eqNullSafe(F.col("_post")) & (F.col("copy") == F.col("_copy")), "left_anti")
+        keys = stage(keys.drop("_text"), "open_items")
+        placed = stage(row_position(keys, [*order, "_row"], "position").select("_row", "copy", "position"), "positions")
+        n = placed.count()
+        batches = min(n, min(100, -(-n // BATCH_SIZE)) if batches is None else max(1, batches))
+        first = ledger.next_commit(spark, path)
+        rows = rows.drop("_text", *ranked)
+        like = rows.drop("_row").withColumn("copy", F.lit(0).cast("long"))
+
+        def answered(stored: DataFrame) -> DataFrame:
+            return call_scorer(_unfolded(stored, send).select(*kept, "copy"), factory, send, **call_options)
+
+        if not n and not first:
+            ledger.commit(answered(like), path, 0)
+        elif n:
+            folder = new_stage_path(spark, "batches")
+            move_rows(rows, placed.select("_row", "copy", F.expr(f"position * {batches} div {n}").alias("batch")), folder, "batch")
+            for number in range(batches):
+                ledger.commit(answered(read_stages(like, f"{folder}/batch={number}")), path, first + number)
+                drop(spark, f"{folder}/batch={number}")
     return ledger.read_commits(spark, path)
 
 
-def _numbered_copies(items: DataFrame, send: str) -> DataFrame:
-    """``items``, stored, with a row number and the number of each row among those of its post_id."""
-    rows = stage(items.withColumn("_row", F.monotonically_increasing_id()), "items")
-    narrow = rows.select("_row", "post_id", F.xxhash64(send).alias("_text"))
-    if rows.groupBy("post_id").count().filter("count > 1").isEmpty():
-        return rows.withColumn("copy", F.lit(0).cast("long"))
-    copies = row_position(stage(narrow, "copies"), ["_text", "_row"], "copy", ["post_id"])
-    return rows.join(copies.select("_row", "copy"), "_row")
+def _folded(items: DataFrame, send: str) -> DataFrame:
+    """``items`` with a sent text that ends with column ``text`` cut down to what stands before that.
+
+    A prompt is mostly the text beside it, which would be stored twice. Column ``_folded`` marks
+    the rows that ``_unfolded`` has to put together; joined again they gave the very text.
+    """
+    types = dict(items.dtypes)
+    if send == "text" or types.get("text") != "string" or types[send] != "string":
+        return items
+    head = F.substring(send, F.lit(1), F.length(send) - F.length("text"))
+    same = F.coalesce(F.concat(head, "text") == F.col(send), F.lit(False))
+    return items.withColumns({"_folded": same, send: F.when(same, head).otherwise(F.col(send))})
+
+
+def _unfolded(rows: DataFrame, send: str) -> DataFrame:
+    if "_folded" not in rows.columns:
+        return rows
+    return rows.withColumn(send, F.when(F.col("_folded"), F.concat(send, "text")).otherwise(F.col(send)))
+
+
+def _numbered_copies(keys: DataFrame) -> DataFrame:
+    """Stored ``keys`` with the number of each row among those of its post_id."""
+    if keys.groupBy("post_id").count().filter("count > 1").isEmpty():
+        return keys.withColumn("copy", F.lit(0).cast("long"))
+    return row_position(keys, ["_text", "_row"], "copy", ["post_id"])
 
 
 def parse_new_calls(spark: SparkSession, calls_path: str, path: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Running totals, top-n and de-duplication that never put an unbounded group into one task.
 
-Joins need no helper here: adaptive execution splits the partitions of a hot key, for inner,
-left, semi and anti joins alike, and evaluates each side once.
+Hot keys of joins need no helper here: adaptive execution splits their partitions, for inner,
+left, semi and anti joins alike, and evaluates each side once. ``semi_join_stored`` is for rows too
+wide to be shuffled.
 """
 
 from __future__ import annotations
@@ -11,7 +12,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadwarden.sources.staging import stage
+from threadwarden.sources.staging import COMPACT, drop, new_stage_path, read_stages, stage, temporary_stages
+
+# Stored rows are moved in so many slices, a slice of so many rows at least. What belongs to the rows of
+# a slice is broadcast up to so many rows.
+SLICES = 16
+SLICE_ROWS = 5_000
+BROADCAST_ROWS = 500_000
+
 
 def running_total(
     df: DataFrame,
@@ -107,3 +115,51 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return (
         df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_first")).select(*keys, "_first.*").select(*df.columns)
     )
+
+
+def store_rows(df: DataFrame) -> DataFrame:
+    """``df`` as a stage table of few bytes with a number ``_row`` for each row, for ``move_rows``."""
+    path = new_stage_path(df.sparkSession, "rows")
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    numbered.write.option("compression", COMPACT).parquet(path)
+    return read_stages(numbered, path)
+
+
+def move_rows(rows: DataFrame, wanted: DataFrame, path: str, by: str | None = None) -> None:
+    """Move those of ``store_rows`` that ``wanted`` names by ``_row`` to a table at ``path``, in folders ``by`` a column.
+
+    ``wanted`` is stored and narrow, has a number once and may add columns. Rows are not shuffled, however wide,
+    and no second copy of the table comes about: a slice of its files is moved at a time and
+    then deleted, so ``rows`` is gone afterwards. The numbers of a file lie together, so a slice needs
+    few of ``wanted``. They are broadcast; where they are too many, the slice alone is shuffled.
+    """
+    columns = [c for c in [*rows.columns, *wanted.columns] if c != "_row"]
+    file = F.col("_metadata.file_path").alias("file")
+    files = rows.groupBy(file).agg(F.min("_row").alias("low"), F.max("_row").alias("high"), F.count(F.lit(1)).alias("n")).orderBy("low").collect()
+    if not files:
+        rows.join(wanted, "_row").select(*columns).write.parquet(path)
+        return
+    size = -(-len(files) // max(1, min(SLICES, sum(f.n for f in files) // SLICE_ROWS)))
+    for start in range(0, len(files), size):
+        part = files[start : start + size]
+        few = sum(f.n for f in part) <= BROADCAST_ROWS
+        named = wanted.filter(F.col("_row").between(part[0].low, part[-1].high))
+        named = F.broadcast(named) if few else named.hint("shuffle_hash")
+        moved = read_stages(rows, *[f.file for f in part]).join(named, "_row").select(*columns)
+        writer = moved.write.mode("append").option("compression", COMPACT)
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        drop(rows.sparkSession, *[f.file for f in part])
+
+
+def semi_join_stored(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose ``on`` is among ``keys``, stored.
+
+    As a left semi join that shuffles column ``on`` alone: ``df`` is stored once, and the rows are
+    moved out of it.
+    """
+    path = new_stage_path(df.sparkSession, "joined")
+    with temporary_stages(df.sparkSession):
+        rows = store_rows(df)
+        wanted = stage(rows.select("_row", on).join(keys.select(on), on, "left_semi").select("_row"), "wanted")
+        move_rows(rows, wanted, path)
+    return read_stages(df, path)

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadwarden.sources.staging import list_folder, table_exists
+from threadwarden.sources.staging import COMPACT, list_folder, table_exists
 
 _PREFIX = "commit="
 
@@ -34,7 +34,7 @@ def commit(df: DataFrame, path: str, number: int) -> bool:
     """Write ``df`` as commit ``number``; false, and nothing is evaluated, if that one stands already."""
     if table_exists(df.sparkSession, _folder(path, number)):
         return False
-    df.write.mode("overwrite").parquet(_folder(path, number))
+    df.write.mode("overwrite").option("compression", COMPACT).parquet(_folder(path, number))
     return True
 
 

@@ -7,11 +7,21 @@ depend on how the data was partitioned (partition ids, generated sequence number
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+# Written tables of whole texts: about two thirds of the bytes of Spark's default.
+COMPACT = "zstd"
+# Spark then drops the shuffle files of a statement when it ends, not some time after.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
+# Per thread the folder of the stage tables that are deleted when ``temporary_stages`` ends.
+_temporary: dict[int, str] = {}
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -32,7 +42,32 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_temporary.get(threading.get_ident()) or stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Stage tables that this thread writes inside, and shuffle files, go when they have served.
+
+    Nothing lazy that reads such a table may leave the block.
+    """
+    thread, outer = threading.get_ident(), _temporary.get(threading.get_ident())
+    folder = new_stage_path(spark, "temporary")
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    _temporary[thread] = folder
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+        if outer is None:
+            del _temporary[thread]
+        else:
+            _temporary[thread] = outer
+        drop(spark, folder)
 
 
 def write_stage(df: DataFrame, name: str, **measures: Column) -> tuple[str, dict]:
@@ -57,10 +92,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return read_stages(df, path)
 
 
+def drop(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables, or single files of them, that nothing reads any more."""
+    for path in paths:
+        target, fs = _file_system(spark, path)
+        fs.delete(target, True)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete this application's stage tables, once the results built on them are saved."""
-    root, fs = _file_system(spark, stage_root(spark))
-    fs.delete(root, True)
+    drop(spark, stage_root(spark))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

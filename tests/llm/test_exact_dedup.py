@@ -73,3 +73,20 @@ def test_drop_copies_keeps_columns_and_one_of_repeats(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(2, "A"), (3, "b"), (None, "c"), (3, "d")], key=str)
     plain = exact_dedup.drop_copies(spark.createDataFrame([(i, "ab"[i % 2], "") for i in range(6)], SCHEMA))
     assert sorted(r.doc_id for r in plain.collect()) == [4, 5]
+
+
+def test_byte_check_hashes_only_texts_of_positives(spark):
+    """Digests are no key of the join that finds the texts, and texts are not sorted for it."""
+    rows = [(1, "Same"), (2, "sAME"), (None, "same"), (3, None), (4, ""), (7, "Same"), (7, "other"), (7, "other"), (None, None)]
+    rows += [(50, f"text {i}") for i in range(200)] + [(100 + i, f"TEXT {i}") for i in range(200)]
+    df = spark.createDataFrame([(i, t, "") for i, t in rows], SCHEMA)
+    assert found(df) == brute(rows)
+    digest = lambda t: hashlib.sha256(t.encode()).digest()
+    pairs = [(digest("same"), 1), (digest("same"), 7), (digest(""), 3), (digest(""), None), (digest("absent"), 7)]
+    pairs += [(digest(f"text {i}"), d) for i in range(200) for d in (50, 100 + i)]
+    pairs = spark.createDataFrame(pairs, "digest binary, doc_id bigint")
+    checked = exact_dedup.differing_bytes(df, pairs)
+    assert checked.count() == 0
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" not in plan and "translate" not in plan and "BroadcastHashJoin" not in plan
+    assert "ShuffledHashJoin [doc_id" in plan and plan.count("MapInArrow") == 1

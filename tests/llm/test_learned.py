@@ -127,3 +127,28 @@ def test_no_cut_of_a_long_word_hides_a_match():
         pieces = toxicity.overlapping(b"x" * at + b"scumbag" + b"y" * (200 - at))
         assert any(b"scumbag" in p for p in pieces) and max(map(len, pieces)) <= toxicity.WINDOW_BYTES
     assert toxicity.overlapping(b"Some words") == [b"some", b"words"]
+
+
+def test_figures_of_several_dictionaries_in_one_pass():
+    """Each as on its own, window by window; a window meets the ordinary dictionary once for all of them."""
+    rng = random.Random(5)
+    common = sorted({w.encode() for w in text_of("en", rng, 2_000).split()})
+    ordinary, toxic = toxicity.train_dictionary(common), [toxicity.train_dictionary([w.encode() for w in BAD[i:]]) for i in range(3)]
+    texts = [b"", b" \n", b"\x00 \xff", b"x" * 100, b"A a A", " ".join(BAD * 3).encode(), BAD[0].encode() * 30]
+    texts += [f"{text_of('en', rng, 30)} {' '.join(rng.sample(BAD, 2))} {BAD[0].upper()}".encode() for _ in range(40)]
+    tool, seen = toxicity.Measure(ordinary, toxic), []
+    plain = tool.by_ordinary
+    tool.by_ordinary = lambda spelled: seen.append(spelled) or plain(spelled)
+    got = tool.figures(texts)
+    windows = {w for t in texts for w in toxicity.overlapping(t)}
+    assert len(seen) == len(windows) == len(set(seen))
+    assert all((a == b).all() for a, b in zip(got, tool.figures(texts))) and len(seen) == len(windows)
+    for nth, dictionary in enumerate(toxic):
+        alone = toxicity.Measure(ordinary, [dictionary])
+        saved = {w: len(plain(tool.spell(w))) - len(tool.by_toxic[nth](tool.spell(w))) for w in windows}
+        for text, peak, rate in zip(texts, *got[nth].T):
+            found = toxicity.overlapping(text)
+            best = sorted(saved[w] for w in set(found))[-2:]
+            assert peak == sum(x for x in best if x > 0)
+            assert rate == (sum(x for x in map(saved.get, found) if x > 0) / len(found) if found else 0)
+        assert (alone.figures(texts)[0] == got[nth]).all() and alone.figures([])[0].shape == (0, 2)

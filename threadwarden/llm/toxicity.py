@@ -17,6 +17,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ _OFFSETS = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"
 def windows(text: bytes) -> list[bytes]:
     """Words of the text, A-Z in lower case; longer ones in pieces."""
     words = text.lower().split()
-    if all(len(w) <= WINDOW_BYTES for w in words):
+    if max(map(len, words), default=0) <= WINDOW_BYTES:
         return words
     return [w[i : i + WINDOW_BYTES] for w in words for i in range(0, len(w), WINDOW_BYTES)]
 
@@ -58,7 +59,7 @@ def windows(text: bytes) -> list[bytes]:
 def overlapping(text: bytes) -> list[bytes]:
     """Words of the text as they are scored: pieces of long ones overlap by half, so that no cut hides a match."""
     words = text.lower().split()
-    if all(len(w) <= WINDOW_BYTES for w in words):
+    if max(map(len, words), default=0) <= WINDOW_BYTES:
         return words
     step = WINDOW_BYTES // 2
     return [w[i : i + WINDOW_BYTES] for w in words for i in range(0, max(1, len(w) - step), step)]
@@ -69,10 +70,10 @@ class Speller:
 
     def __init__(self):
         order = mix64(np.arange(256 * SPELLING, dtype=np.uint64) + np.uint64(1)).reshape(SPELLING, 256)
-        self.tables = order.argsort(axis=1).astype(np.uint8).T.copy()
+        self.of_byte = [row.tobytes() for row in order.argsort(axis=1).astype(np.uint8).T]
 
     def __call__(self, window: bytes) -> bytes:
-        return self.tables[np.frombuffer(b" " + window + b" ", np.uint8)].tobytes()
+        return b"".join([self.of_byte[b] for b in b" " + window + b" "])
 
 
 @dataclass(frozen=True)
@@ -87,11 +88,11 @@ class Detector:
 
 
 class Measure:
-    """Bytes that the toxic dictionary saves on a window; windows met before are remembered."""
+    """Bytes that each toxic dictionary saves on a window; windows met before are remembered."""
 
     MAX_WORDS = 400_000
 
-    def __init__(self, detector: Detector):
+    def __init__(self, ordinary: bytes, toxic: list[bytes]):
         import zstandard
 
         def compressor(content: bytes):
@@ -103,24 +104,44 @@ class Measure:
             ).compress
 
         self.spell = Speller()
-        self.by_ordinary, self.by_toxic = compressor(detector.ordinary), compressor(detector.toxic)
-        self.known: dict[bytes, int] = {}
-
-    def figures(self, texts: list[bytes]) -> np.ndarray:
-        """Per text, the two largest savings among its different windows, and all savings per window."""
+        self.by_ordinary, self.by_toxic = compressor(ordinary), [compressor(t) for t in toxic]
+        self.known: list[dict[bytes, int]] = [{} for _ in toxic]
+
+    def savings(self, windows: list[bytes]) -> list[np.ndarray]:
+        """Per dictionary, what it saves on each of different windows."""
+        if len(self.known[0]) > self.MAX_WORDS:
+            for known in self.known:
+                known.clear()
+        for window in windows:
+            if window not in self.known[0]:
+                spelled = self.spell(window)
+                plain = len(self.by_ordinary(spelled))
+                for known, compress in zip(self.known, self.by_toxic):
+                    known[window] = plain - len(compress(spelled))
+        return [np.fromiter(map(known.__getitem__, windows), np.int64, len(windows)) for known in self.known]
+
+    def figures(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Per dictionary and text, the two largest savings among its different windows, and all savings per window."""
         split = [overlapping(t) for t in texts]
-        if len(self.known) > self.MAX_WORDS:
-            self.known.clear()
-        for window in set().union(*split).difference(self.known):
-            spelled = self.spell(window)
-            self.known[window] = len(self.by_ordinary(spelled)) - len(self.by_toxic(spelled))
-        out = np.zeros((len(texts), 2))
-        for i, found in enumerate(split):
-            savings = list(map(self.known.__getitem__, found))
-            if savings and max(savings) > 0:
-                best = sorted(map(self.known.__getitem__, set(found)))[-2:]
-                out[i] = sum(x for x in best if x > 0), sum(x for x in savings if x > 0) / len(savings)
-        return out
+        sizes = np.array([len(found) for found in split], np.int64)
+        codes = pa.array(list(chain.from_iterable(split)), pa.binary()).dictionary_encode()
+        del split
+        text, code = np.repeat(np.arange(len(sizes)), sizes), codes.indices.to_numpy()
+        return [_figures(saved, text, code, sizes) for saved in self.savings(codes.dictionary.to_pylist())]
+
+
+def _figures(saved: np.ndarray, text: np.ndarray, code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The two figures per text, given the saving of each code and the text and code of each window."""
+    gain = saved[code]
+    text, code, gain = (x[gain > 0] for x in (text, code, gain))
+    rate = np.bincount(text, gain, len(sizes)) / np.maximum(sizes, 1)
+    # different windows of a text, its largest savings first
+    once = np.unique(text * len(saved) + code)
+    text, gain = once // max(1, len(saved)), saved[once % max(1, len(saved))]
+    order = np.lexsort((-gain, text))
+    text, gain = text[order], gain[order]
+    best = np.arange(len(text)) - np.searchsorted(text, text) < 2
+    return np.c_[np.bincount(text[best], gain[best], len(sizes)), rate]
 
 
 def train_dictionary(words: list[bytes]) -> bytes:
@@ -230,21 +251,39 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Detector:
     if not named or not common:
         return Detector(b"", b"")
     ordinary = train_dictionary(common[::-1])
-    calibration, best = sample.filter("part = 0"), None
-    for least in WORD_LIMITS[::-1]:
-        toxic = [word for odds, word in named if odds > least]
-        if not toxic:
-            continue
-        errors, found = _calibrated(Detector(ordinary, train_dictionary(toxic)), calibration)
-        if best is None or errors < best[0]:
-            best = (errors, found)
-    return best[1]
+    chosen = [[word for odds, word in named if odds > least] for least in WORD_LIMITS[::-1]]
+    tried = [Detector(ordinary, train_dictionary(toxic)) for toxic in chosen if toxic]
+    seen = _figures_of_each(sample.filter("part = 0"), tried)
+    # the first of equals
+    return min((_calibrated(d, s) for d, s in zip(tried, seen)), key=lambda found: found[0])[1]
+
+
+def _figures_of_each(calibration: DataFrame, tried: list[Detector]) -> list[list[tuple]]:
+    """Per detector, the sorted (peak, rate, toxic, texts) of ``calibration``.
+
+    The texts are read and cut once for all detectors, which share the ordinary dictionary: a
+    window is spelled and compressed with that one once.
+    """
+    ordinary, toxic = tried[0].ordinary, [d.toxic for d in tried]
+
+    def measured(batches):
+        tool = Measure(ordinary, toxic)
+        for batch in batches:
+            texts, kinds = utf8(batch.column("text")), batch.column("toxic")
+            for part in slices_by_bytes(texts):
+                for n, found in enumerate(tool.figures(texts[part])):
+                    columns = [pa.array([n] * len(found), pa.int32()), kinds[part], *map(pa.array, found.T)]
+                    yield pa.RecordBatch.from_arrays(columns, ["nth", "toxic", "peak", "rate"])
+
+    found = calibration.select("toxic", "text").mapInArrow(measured, "nth int, toxic int, peak double, rate double")
+    seen = [[] for _ in tried]
+    for r in found.groupBy("nth", "toxic", "peak", "rate").count().collect():
+        seen[r["nth"]].append((r["peak"], r["rate"], r["toxic"], r["count"]))
+    return [sorted(rows) for rows in seen]
 
 
-def _calibrated(detector: Detector, calibration: DataFrame) -> tuple[int, Detector]:
-    """The detector with weights and limit, and the texts of ``calibration`` it is wrong about."""
-    seen = measure(calibration, detector, ("toxic",), keep=False).groupBy("toxic", "peak", "rate").count().collect()
-    seen = sorted((r["peak"], r["rate"], r["toxic"], r["count"]) for r in seen)
+def _calibrated(detector: Detector, seen: list[tuple]) -> tuple[int, Detector]:
+    """The texts that the detector is wrong about, and it with weights and limit, given what it measures of them."""
     if not seen:
         return 0, replace(detector, limit=1.0)
     figures = np.array([r[:2] for r in seen])
@@ -293,18 +332,18 @@ def _best_limit(counts: list[tuple[float, int, int]]) -> tuple[int, float]:
 # ---- scoring ----
 
 
-def measure(docs: DataFrame, detector: Detector, columns: tuple[str, ...] = ("doc_id",), keep: bool = True) -> DataFrame:
+def measure(docs: DataFrame, detector: Detector, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` of every row with the peak, the rate and the saving, their weighted sum, of its whole text.
 
-    With ``keep``, workers keep the windows they have met for later tasks.
+    Workers keep the windows they have met for later tasks.
     """
     name = f"toxicity {hash((detector.ordinary, detector.toxic))}"
 
     def measured(batches):
-        tool = worker_store(name, lambda: Measure(detector)) if keep else Measure(detector)
+        tool = worker_store(name, lambda: Measure(detector.ordinary, [detector.toxic]))
         for batch in batches:
             texts = utf8(batch.column("_text"))
-            found = [tool.figures(texts[part]) for part in slices_by_bytes(texts)]
+            found = [tool.figures(texts[part])[0] for part in slices_by_bytes(texts)]
             peak, rate = np.concatenate(found).T if found else np.empty((2, 0))
             rest = batch.drop_columns(["_text"])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(peak), pa.array(rate)], [*rest.schema.names, "peak", "rate"])

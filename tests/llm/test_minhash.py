@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -131,3 +132,32 @@ def test_a_pair_at_the_limit_whose_signatures_differ_in_many_slots(spark):
     a, b = scheme.signatures([minhash.shingle_set(text.encode(), 1) for _, text in rows])
     assert (a != b).sum() == 25
     assert found(frame(spark, rows), 1) == brute(rows, 1)
+
+
+def test_links_of_a_crowded_cell(monkeypatch):
+    """They join the same components as all similar pairs do, whatever number of pairs waits; one link a join."""
+    rng = np.random.default_rng(3)
+    base = np.arange(100)
+    sets = [np.sort(rng.choice(130, 100, replace=False)) for _ in range(30)]
+    sets += [np.r_[base[: 100 - n], 1000 * n + np.arange(n)] for n in (0, 9, 10, 11, 12, 30)]
+    sets += [base[:80], base[:79], base[:1], np.array([-(2**63)]), base[:1], np.array([7, 2**63 - 1])]
+    components = np.arange(len(sets)) % 37
+    shingles = pa.chunked_array([pa.array([s.tolist() for s in part], pa.list_(pa.int64())) for part in (sets[:5], sets[5:])])
+
+    def closed(links):
+        group = components.copy()
+        for i, j in links:
+            group[group == group[j]] = group[i]
+        return {tuple(np.flatnonzero(group == g)) for g in group}
+
+    similar = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    right = [(i, j) for i, j in pairs if similar(set(sets[i].tolist()), set(sets[j].tolist()))]
+    steps = [(np.arange(len(sets) - k), np.arange(k, len(sets))) for k in range(1, len(sets))]
+    for waiting in (1, 50, 1 << 18):
+        monkeypatch.setattr(minhash, "PAIRS_AT_A_TIME", waiting)
+        found = list(minhash._links_of(shingles, components, iter(steps), 80))
+        links = [(i, j) for a, b in found for i, j in zip(a.tolist(), b.tolist())]
+        assert closed(links) == closed(right) and set(links) <= set(right)
+        assert len(links) == len(set(components.tolist())) - len(closed(right))
+        assert list(minhash._links_of(shingles, components, iter([]), 80)) == []

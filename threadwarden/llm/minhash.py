@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ from threadwarden.sources.staging import stage
 
 # Members of one bucket that a task compares with as many others at a time.
 BLOCK_MEMBERS = 2_048
+# Close pairs that wait to be compared in full, row by row.
+PAIRS_AT_A_TIME = 1 << 18
 # Text that is split into words at a time.
 SLICE_BYTES = 1 << 22
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -294,6 +297,49 @@ def _search(scheme: Scheme, table: pa.Table) -> Iterator[tuple[np.ndarray, np.nd
         step += 1
 
 
+def _by_row(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows and those that each is paired with, from PAIRS_AT_A_TIME pairs or a few more at a time."""
+    waiting, n = [], 0
+    for found in itertools.chain(pairs, [None]):
+        if found is not None:
+            waiting.append(found)
+            n += len(found[0])
+        if waiting and (found is None or n >= PAIRS_AT_A_TIME):
+            rows, others = map(np.concatenate, zip(*waiting))
+            order = np.argsort(rows, kind="stable")
+            rows, others = rows[order], others[order]
+            starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+            yield from zip(rows[starts].tolist(), np.split(others, starts[1:]))
+            waiting, n = [], 0
+
+
+def _links_of(
+    shingles: pa.ChunkedArray, components: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]], percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of ``pairs`` that are similar enough and join components which no earlier ones join.
+
+    The sets become codes once, and the set of a row is marked once for all it is paired with.
+    """
+    lists = shingles.combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy()
+    codes, different = pd.factorize(lists.flatten().to_numpy())
+    sets = np.split(codes, np.cumsum(sizes)[:-1])
+    held = np.zeros(len(different), bool)
+    group = components.copy()
+    for i, others in _by_row(pairs):
+        others = others[group[others] != group[i]]
+        # no more can be shared than the smaller set holds
+        others = others[100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])]
+        held[sets[i]] = True
+        shared = np.array([np.count_nonzero(held[sets[j]]) for j in others.tolist()], np.int64)
+        held[sets[i]] = False
+        similar = others[100 * shared >= percent * (sizes[i] + sizes[others] - shared)]
+        if len(similar):
+            joined, first = np.unique(group[similar], return_index=True)
+            yield np.full(len(first), i), similar[first]
+            group[np.isin(group, joined)] = group[i]
+
+
 def search_mixed(crowded: DataFrame, components: DataFrame, nodes: DataFrame, docs: DataFrame, scheme: Scheme) -> DataFrame | None:
     """Links between components that share a bucket; None if there are no candidates.
 
@@ -337,33 +383,10 @@ def search_mixed(crowded: DataFrame, components: DataFrame, nodes: DataFrame, do
     def linked(batches):
         for table in runs(batches, "cell"):
             nodes, components = table.column("node").to_numpy(), table.column("component").to_numpy()
-            lists = table.column("shingles").combine_chunks()
-            cache: dict[int, frozenset] = {}
-            parent: dict[int, int] = {}
-
-            def of(i: int) -> frozenset:
-                if i not in cache:
-                    cache[i] = frozenset(lists[i].as_py())
-                return cache[i]
-
-            def root(c: int) -> int:
-                while parent.get(c, c) != c:
-                    c = parent[c]
-                return c
-
-            links = []
-            for rows, others in _search(scheme, table):
-                for i, j in zip(rows.tolist(), others.tolist()):
-                    left, right = root(components[i]), root(components[j])
-                    if left == right:
-                        continue
-                    shared = len(of(i) & of(j))
-                    if 100 * shared >= scheme.percent * (len(of(i)) + len(of(j)) - shared):
-                        links.append((nodes[i], nodes[j]))
-                        parent[max(left, right)] = min(left, right)
+            links = list(_links_of(table.column("shingles"), components, _search(scheme, table), scheme.percent))
             if links:
-                a, b = map(np.array, zip(*links))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                i, j = map(np.concatenate, zip(*links))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
 
     full = found.join(sets, "node").select(*found.columns, "shingles")
     return full.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(linked, "a bigint, b bigint").distinct()
